@@ -73,7 +73,7 @@ def label_halves(
     The first ``size div 2`` rows get ``first_half_flag``, the others its opposite, and
     ``hour`` starts at 0 in each half. No exchange is needed.
     """
-    half = F.floor(F.col(size) / F.lit(2)).cast("long")
+    half = F.shiftright(size, 1)
     in_first = F.col(position) < half
     return df.withColumns(
         {

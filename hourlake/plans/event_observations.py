@@ -1,7 +1,8 @@
 """Hourly observations from an ``events`` table, for the checked queries.
 
 A user plays the city, one ISO week of a user plays one batch, and ``(ts, event_id)`` is
-the order in a batch. Measures are fixed expressions of ``event_id`` and ``value``; some
+the order in a batch. Landing files have one folder per city and day, so there the users
+are spread over the known cities and a batch is a week of one of these. Measures are fixed expressions of ``event_id`` and ``value``; some
 are NULL. Rows are numbered while they are narrow, and measures are computed afterwards.
 """
 
@@ -13,18 +14,22 @@ from pyspark.sql import functions as F
 from hourlake.functions.keys import object_key
 from hourlake.operators.measures import derive
 from hourlake.operators.numbering import POSITION, SIZE, label_batch, number_rows
-from hourlake.schema import BATCH_KEYS, MEASURES
+from hourlake.schema import BATCH_KEYS, CITIES, MEASURES
 
 ORDER = ["ts", "event_id"]
 # hours in one document: one past day and one forecast day
 DOCUMENT_HOURS = 48
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
+def events(spark: SparkSession, folder: str, known_cities: bool = False) -> DataFrame:
     """City, batch date and the columns the measures need."""
     table = spark.read.parquet(f"{folder}/events.parquet")
+    city = F.col("user_id").cast("string")
+    if known_cities:
+        names = F.array(*[F.lit(name) for name, _, _ in CITIES])
+        city = F.get(names, F.col("user_id") % F.lit(len(CITIES)))
     return table.select(
-        F.col("user_id").cast("string").alias("city"),
+        city.alias("city"),
         F.trunc(F.col("ts").cast("date"), "week").alias("date"),
         "event_id",
         "ts",
@@ -37,7 +42,7 @@ def measures() -> dict[str, Column]:
     i, value = F.col("event_id"), F.col("value")
 
     def cycle(n: int, scale: float) -> Column:
-        return (i % n) / F.lit(scale)
+        return (i % n) / scale
 
     def every(n: int) -> Column:
         return i % n == 0
@@ -45,8 +50,8 @@ def measures() -> dict[str, Column]:
     daytime = F.hour("ts").between(6, 17)
     return {
         "relative_humidity_2m": (i % 101).cast("double"),
-        "dew_point_2m": F.lit(10.0) + value / F.lit(7.0),
-        "apparent_temperature": F.lit(19.0) + value / F.lit(5.0),
+        "dew_point_2m": F.lit(10.0) + value / 7.0,
+        "apparent_temperature": F.lit(19.0) + value / 5.0,
         "precipitation_probability": (i % 100).cast("double"),
         "precipitation": F.when(~every(17), cycle(40, 100.0)),
         "rain": cycle(31, 100.0),
@@ -58,12 +63,12 @@ def measures() -> dict[str, Column]:
         "wind_speed_10m": F.lit(1.0) + i % 30,
         "wind_speed_80m": F.lit(3.0) + i % 37,
         "wind_speed_120m": F.lit(5.0) + i % 41,
-        "temperature_2m": F.lit(20.0) + value / F.lit(5.0),
-        "temperature_80m": F.lit(18.5) + value / F.lit(5.0) - cycle(7, 10.0),
-        "temperature_120m": F.lit(17.0) + value / F.lit(5.0),
-        "soil_temperature_0cm": F.lit(25.0) + value / F.lit(6.0),
-        "soil_temperature_6cm": F.lit(24.0) + value / F.lit(11.0),
-        "soil_temperature_18cm": F.lit(23.0) + value / F.lit(9.0),
+        "temperature_2m": F.lit(20.0) + value / 5.0,
+        "temperature_80m": F.lit(18.5) + value / 5.0 - cycle(7, 10.0),
+        "temperature_120m": F.lit(17.0) + value / 5.0,
+        "soil_temperature_0cm": F.lit(25.0) + value / 6.0,
+        "soil_temperature_6cm": F.lit(24.0) + value / 11.0,
+        "soil_temperature_18cm": F.lit(23.0) + value / 9.0,
         "soil_moisture_0_to_1cm": cycle(50, 100.0),
         "soil_moisture_1_to_3cm": cycle(45, 100.0),
         "soil_moisture_3_to_9cm": cycle(43, 100.0),
@@ -90,7 +95,8 @@ def derived(spark: SparkSession, folder: str) -> DataFrame:
 
 def landing_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows as they come from a source, with place and size of their batch."""
-    numbered = number_rows(events(spark, folder), BATCH_KEYS, ORDER).withColumns(measures())
+    rows = events(spark, folder, known_cities=True)
+    numbered = number_rows(rows, BATCH_KEYS, ORDER).withColumns(measures())
     return numbered.withColumns(
         {
             "run_date": F.col("date"),
@@ -101,9 +107,9 @@ def landing_rows(spark: SparkSession, folder: str) -> DataFrame:
     ).drop(POSITION, SIZE)
 
 
-def _documents(spark: SparkSession, folder: str) -> DataFrame:
+def _documents(spark: SparkSession, folder: str, known_cities: bool) -> DataFrame:
     """Events with the number of their document in the batch and their place in it."""
-    numbered = number_rows(events(spark, folder), BATCH_KEYS, ORDER)
+    numbered = number_rows(events(spark, folder, known_cities), BATCH_KEYS, ORDER)
     place = F.col(POSITION)
     return numbered.withColumns(
         {
@@ -117,7 +123,7 @@ def payloads(spark: SparkSession, folder: str, variables: list[str]) -> DataFram
     """Column-array payloads of at most ``DOCUMENT_HOURS`` hours."""
     hours = F.sort_array(F.collect_list(F.struct("place", *variables)))
     grouped = (
-        _documents(spark, folder)
+        _documents(spark, folder, known_cities=False)
         .groupBy("city", F.col("date").alias("batch_date"), "document")
         .agg(hours.alias("hours"))
     )
@@ -136,7 +142,7 @@ def documents(spark: SparkSession, folder: str, with_first_event: bool = False)
     iso = F.concat(F.col("date").cast("string"), F.lit("T00:00:00.000Z"))
     hour = F.struct("place", iso.alias("date"), *MEASURES)
     grouped = (
-        _documents(spark, folder)
+        _documents(spark, folder, known_cities=True)
         .groupBy("city", F.col("date").alias("run_date"), "document")
         .agg(
             F.sort_array(F.collect_list(hour)).alias("hours"),

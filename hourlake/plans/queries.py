@@ -18,7 +18,7 @@ from hourlake.session import fresh_folder
 from hourlake.sinks.landing import PARTITIONS, write_landing
 from hourlake.sinks.tables import APPEND, REPLACE, write_tables
 from hourlake.sources.cities import city_dim
-from hourlake.sources.landing import parse_documents, read_landing, split_rejected
+from hourlake.sources.landing import document_rows, read_landing, rejected_documents
 from hourlake.sources.payload import explode_payload
 from hourlake.sources.tables import read_table, read_tables, register_views
 from hourlake.streaming.incremental import incremental_load
@@ -187,12 +187,13 @@ def load_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Some documents are cut off; each city seen in a week is expected in the next."""
     documents = source.documents(spark, folder, with_first_event=True)
     cut = F.expr("substr(text, 1, length(text) - 2)")
-    damaged = documents.withColumn(
+    path = fresh_folder(spark, "documents")
+    documents.withColumn(
         "text", F.when(F.col("first_event") % 10 == 0, cut).otherwise(F.col("text"))
-    ).select("city", "run_date", "file", "text")
-    good, bad = split_rejected(parse_documents(damaged))
-    expected = documents.select("city", F.date_add("run_date", 7).alias("run_date"))
-    return audit.load_audit(good, bad, expected)
+    ).drop("document", "first_event").write.parquet(path)
+    landed = spark.read.parquet(path)
+    expected = landed.select("city", F.date_add("run_date", 7).alias("run_date"))
+    return audit.load_audit(document_rows(landed), rejected_documents(landed), expected)
 
 
 def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,8 +229,7 @@ def incremental(spark: SparkSession, folder: str) -> DataFrame:
     )
     # one document per file
     (
-        documents.hint("rebalance", *PARTITIONS)
-        .write.option("maxRecordsPerFile", 1)
+        documents.write.option("maxRecordsPerFile", 1)
         .partitionBy(*PARTITIONS)
         .text(landing)
     )

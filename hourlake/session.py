@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a daily load writes few dates; let AQE split the ones that are too large
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # no Python call site per column expression: it costs more than small queries do
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -10,6 +10,7 @@ from hourlake.functions.keys import iso_text
 from hourlake.schema import line_schema
 
 PARTITIONS = ["city", "year", "month", "day"]
+LINES_PER_FILE = 100_000
 
 
 def write_landing(df: DataFrame, path: str) -> None:
@@ -33,9 +34,11 @@ def write_landing(df: DataFrame, path: str) -> None:
         F.dayofmonth("run_date").alias("day"),
         *[value.alias(name) for name, value in fields.items()],
     )
-    # rebalance: few files per folder, but a folder with very many rows is split
+    # One task and file per folder, but a folder with very many lines is cut by place, so
+    # that no task gets all of it. Folders spread over all tasks: opening files dominates.
+    piece = F.floor(F.col("pos") / F.lit(LINES_PER_FILE))
     (
-        lines.hint("rebalance", *PARTITIONS)
+        lines.repartition(*PARTITIONS, piece)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)

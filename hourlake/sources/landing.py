@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from hourlake.functions.keys import city_of_path, run_date_of_path
 from hourlake.schema import landing_schema, line_schema
 
+DOCUMENT_KEYS = ["city", "run_date", "file"]
 UNPARSEABLE = "not a JSON document"
 NO_PLACE = "line without a place in its document"
 
@@ -41,6 +42,10 @@ def read_landing(
     cities: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Hourly rows of good documents, and the rejected documents."""
+    run_date = _as_date(run_date)
+    if layout == "object_key":
+        documents = _documents(spark, path, run_date, cities)
+        return document_rows(documents), rejected_documents(documents)
     return split_rejected(read_rows(spark, path, layout, run_date, cities))
 
 
@@ -52,8 +57,7 @@ def read_rows(
     cities: list[str] | None = None,
 ) -> DataFrame:
     """Good and rejected rows in one frame, so that one scan serves both."""
-    if isinstance(run_date, str):
-        run_date = datetime.date.fromisoformat(run_date)
+    run_date = _as_date(run_date)
     if layout == "object_key":
         return parse_documents(_documents(spark, path, run_date, cities))
     if layout == "hive":
@@ -62,6 +66,7 @@ def read_rows(
 
 
 def split_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good and rejected rows of one frame, which should be stored or cheap to read twice."""
     good = rows.where(F.col("reason").isNull()).drop("text", "reason")
     bad = rows.where(F.col("reason").isNotNull())
     return good, bad.select("city", "run_date", "file", "text", "reason")
@@ -73,12 +78,10 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     A document that is no JSON gives one row with ``reason`` and ``text``. A value that
     is NULL, absent or of another type is NULL; the other values stay.
     """
-    keys = ["city", "run_date", "file"]
-    hours = F.from_json("text", T.ArrayType(landing_schema()))
-    parsed = documents.select(*keys, "text", hours.alias("_hours"))
+    parsed = _parsed(documents)
     rejected = F.col("_hours").isNull()
     sized = parsed.select(
-        *keys,
+        *DOCUMENT_KEYS,
         F.when(rejected, F.col("text")).alias("text"),
         F.when(rejected, F.lit(UNPARSEABLE)).alias("reason"),
         F.size("_hours").cast("long").alias("doc_rows"),
@@ -88,7 +91,7 @@ def parse_documents(documents: DataFrame) -> DataFrame:
         ).alias("_pos", "_hour"),
     )
     return sized.select(
-        *keys,
+        *DOCUMENT_KEYS,
         "text",
         "reason",
         F.when(F.col("reason").isNull(), F.col("_pos").cast("long")).alias("pos"),
@@ -97,6 +100,31 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     )
 
 
+def document_rows(documents: DataFrame) -> DataFrame:
+    """Rows of the documents that parse. No filter, which would parse a second time."""
+    size = F.size("_hours").cast("long").alias("doc_rows")
+    rows = _parsed(documents).select(
+        *DOCUMENT_KEYS, size, F.posexplode("_hours").alias("_pos", "_hour")
+    )
+    return rows.select(
+        *DOCUMENT_KEYS, F.col("_pos").cast("long").alias("pos"), "doc_rows", "_hour.*"
+    )
+
+
+def rejected_documents(documents: DataFrame) -> DataFrame:
+    """The documents that do not parse, with their text."""
+    return (
+        _parsed(documents)
+        .where(F.col("_hours").isNull())
+        .select(*DOCUMENT_KEYS, "text", F.lit(UNPARSEABLE).alias("reason"))
+    )
+
+
+def _parsed(documents: DataFrame) -> DataFrame:
+    hours = F.from_json("text", T.ArrayType(landing_schema()))
+    return documents.select(*DOCUMENT_KEYS, "text", hours.alias("_hours"))
+
+
 def document_columns(path: Column, text: Column) -> list[Column]:
     return [
         city_of_path(path).alias("city"),
@@ -156,5 +184,9 @@ def _parse_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def _as_date(run_date: datetime.date | str | None) -> datetime.date | None:
+    return datetime.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
+
+
 def _glob_text(name: str) -> str:
     return "".join("\\" + ch if ch in "\\{}[]*?,^" else ch for ch in name)
