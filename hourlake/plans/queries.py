@@ -24,7 +24,8 @@ from hourlake.sources.tables import read_table, read_tables, register_views
 from hourlake.streaming.incremental import incremental_load
 
 CITY = "3"
-DATE, NEXT_DATE, LAST_DATE = "2024-01-08", "2024-01-15", "2024-01-22"
+DATE, NEXT_DATE = "2024-01-08", "2024-01-15"
+FIRST_WEEK, THIRD_WEEK = "2024-01-01", "2024-01-15"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,7 +90,7 @@ def day_over_day_all(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_report(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.wide_report(all_tables(spark, folder), CITY, DATE, LAST_DATE)
+    return reports.wide_report(all_tables(spark, folder), CITY, FIRST_WEEK, THIRD_WEEK)
 
 
 def wide_report_all(spark: SparkSession, folder: str) -> DataFrame:

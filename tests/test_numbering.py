@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourlake.operators.numbering import POSITION, SIZE, label_batch, label_halves, number_rows
+from tests.helpers import batches, rows
+
+KEYS = ["city", "date"]
+ORDER = ["first", "second"]
+
+
+def check(df):
+    wrong = df.where((F.col(POSITION) != F.col("wanted")) | (F.col(SIZE) != F.col("wanted_size")))
+    assert wrong.count() == 0
+
+
+def random_sizes(seed):
+    rng = random.Random(seed)
+    days = ["2024-01-01", "2024-01-08", None]
+    return {
+        (city, day): rng.choice([1, 2, 5, 13, 60])
+        for city in ["a", "b", "c", None]
+        for day in days
+    }
+
+
+def test_window_numbers_rows(spark):
+    df = batches(spark, random_sizes(1))
+    check(number_rows(df, KEYS, ORDER))
+    check(number_rows(df, KEYS, ORDER, hot_rows=None))
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 50])
+def test_large_batches_are_spread_with_the_same_result(spark, hot_rows):
+    df = batches(spark, random_sizes(2))
+    numbered = number_rows(df, KEYS, ORDER, hot_rows=hot_rows)
+    assert numbered.count() == df.count()
+    check(numbered)
+    assert numbered.columns == [*df.columns, POSITION, SIZE]
+
+
+def test_one_batch_with_most_rows(spark):
+    sizes = {("hot", "2024-01-01"): 30_000, (None, None): 20_000}
+    sizes |= {(f"c{i}", "2024-01-01"): 3 for i in range(40)}
+    numbered = number_rows(batches(spark, sizes), KEYS, ORDER, hot_rows=1000)
+    check(numbered)
+    # the rows of the hot batch come from many tasks, none of which has most of them
+    parts = (
+        numbered.where("city = 'hot'")
+        .groupBy(F.spark_partition_id().alias("task"))
+        .count()
+        .agg(F.max("count"), F.count("*"))
+        .first()
+    )
+    assert parts[0] < 10_000 and parts[1] >= 4
+
+
+def test_halves(spark):
+    df = spark.createDataFrame([(p, n) for n in range(1, 8) for p in range(n)], "p long, n long")
+    got = {(r.n, r.p): (r.forecast_data, r.hour) for r in label_halves(df, "p", "n").collect()}
+    for n in range(1, 8):
+        half = n // 2
+        for p in range(n):
+            assert got[n, p] == (p < half, p if p < half else p - half)
+    assert label_halves(df, "p", "n").schema["hour"].dataType.simpleString() == "bigint"
+
+
+def test_single_row_is_in_the_second_half(spark):
+    row = label_batch(batches(spark, {("a", "2024-01-01"): 1}), KEYS, ORDER).first()
+    assert (row.forecast_data, row.hour) == (False, 0)
+
+
+def test_polarity_can_be_turned(spark):
+    df = batches(spark, {("a", "2024-01-01"): 5})
+    usual = {r.wanted: r for r in label_batch(df, KEYS, ORDER).collect()}
+    turned = {r.wanted: r for r in label_batch(df, KEYS, ORDER, first_half_flag=False).collect()}
+    for place, row in usual.items():
+        assert turned[place].forecast_data is not row.forecast_data
+        assert turned[place].hour == row.hour
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_partitioning_of_the_input_does_not_matter(spark, partitions):
+    df = batches(spark, random_sizes(3))
+    wanted = rows(label_batch(df.coalesce(1), KEYS, ORDER))
+    assert rows(label_batch(df.repartition(partitions), KEYS, ORDER)) == wanted
+    assert rows(label_batch(df.repartition(partitions), KEYS, ORDER, hot_rows=10)) == wanted
+
+
+def test_invariants(spark):
+    df = label_batch(batches(spark, random_sizes(4)), KEYS, ORDER, hot_rows=20)
+    for row in df.groupBy(*KEYS).agg(
+        F.count_if("forecast_data").alias("first"),
+        F.count_if(~F.col("forecast_data")).alias("second"),
+        F.max(F.when(F.col("forecast_data"), F.col("hour"))).alias("first_max"),
+        F.max(F.when(~F.col("forecast_data"), F.col("hour"))).alias("second_max"),
+        F.count_distinct("forecast_data", "hour").alias("keys"),
+        F.count("*").alias("n"),
+    ).collect():
+        assert row["first"] == row.n // 2
+        assert row.first_max == (row["first"] - 1 if row["first"] else None)
+        assert row.second_max == row.second - 1
+        assert row["keys"] == row.n
