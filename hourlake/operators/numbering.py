@@ -44,13 +44,16 @@ def number_rows(
         df.groupBy(*batch_cols)
         .agg(F.count(F.lit(1)).alias(SIZE))
         .where(F.col(SIZE) > hot_rows)
+        .persist()  # few rows, and often none
     )
-    found = large.agg(F.count(F.lit(1)).alias("batches"), F.sum(SIZE).alias("rows")).first()
-    if not found["batches"]:
-        return _by_window(df, batch_cols, order_cols)
-
-    shared_folder(df.sparkSession)
-    keys = large.select(*[F.col(c).alias(f"_large_{c}") for c in batch_cols]).checkpoint()
+    try:
+        found = large.agg(F.count(F.lit(1)).alias("batches"), F.sum(SIZE).alias("rows")).first()
+        if not found["batches"]:
+            return _by_window(df, batch_cols, order_cols)
+        shared_folder(df.sparkSession)
+        keys = large.select(*[F.col(c).alias(f"_large_{c}") for c in batch_cols]).checkpoint()
+    finally:
+        large.unpersist()
     keys = _small_side(keys, found["batches"])
     is_large = _same(df, keys, {c: f"_large_{c}" for c in batch_cols})
     spread = _by_range(

@@ -12,7 +12,7 @@ from hourlake.operators.measures import derive
 from hourlake.operators.numbering import label_halves
 from hourlake.operators.tables import all_tables
 from hourlake.schema import BATCH_KEYS
-from hourlake.sinks.tables import APPEND, arrange, write_tables
+from hourlake.sinks.tables import APPEND, write_tables
 from hourlake.sources.landing import read_rows
 
 AUDIT_TABLE = "load_audit"
@@ -35,14 +35,14 @@ def publish_rows(
 ) -> None:
     """Publish landing rows (good and rejected) and then their audit.
 
-    The documents are parsed and exchanged once; the tables and the audit read the
-    stored rows. The audit row comes last: a batch with one is complete.
+    The documents are parsed once; the tables and the audit read the stored rows. The
+    audit row comes last: a batch with one is complete.
     """
-    stored = arrange(hourly_frame(rows, first_half_flag)).persist(StorageLevel.MEMORY_AND_DISK)
+    stored = hourly_frame(rows, first_half_flag).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = stored.where(F.col("reason").isNull())
         bad = stored.where(F.col("reason").isNotNull())
-        write_tables(all_tables(good), base, mode, batch_keys, arranged=True)
+        write_tables(all_tables(good), base, mode, batch_keys)
         if expected is None:
             expected = stored.select("city", "run_date")
         audit = load_audit(good, bad, expected).withColumn("load_id", F.lit(load_id))

@@ -19,41 +19,37 @@ def write_tables(
     base: str,
     mode: str = APPEND,
     batch_keys: list[str] = BATCH_KEYS,
-    arranged: bool = False,
 ) -> None:
     """Write tables as Parquet below ``base``, partitioned by date.
 
-    ``append`` adds rows. ``replace_batch`` first drops the published rows of every
-    batch (city and date) that the new rows contain, so that a second load changes nothing;
-    only the dates concerned are rewritten. Where one document covers two dates, one per
-    half, a batch is city, date and forecast_data: pass those as ``batch_keys``. Rows already grouped by date and sorted (see
-    ``arrange``) are written without another exchange with ``arranged=True``. The daily
-    table is small and goes last.
+    ``append`` adds rows. ``replace_batch`` first drops the published rows of every batch
+    (city and date) that the new rows contain, so that a second load changes nothing; only
+    the dates concerned are rewritten. Where one document covers two dates, one per half, a
+    batch is city, date and forecast_data: pass those as ``batch_keys``. The daily table
+    goes last.
     """
     if mode not in (APPEND, REPLACE):
         raise ValueError(f"mode must be {APPEND!r} or {REPLACE!r}, not {mode!r}")
     for name in sorted(tables, key=lambda n: n == DAILY_TABLE):
         table = tables[name]
-        ready = arranged and name != DAILY_TABLE
         if mode == REPLACE and table_exists(table.sparkSession, base, name):
-            _replace(table, base, name, batch_keys, ready)
+            _replace(table, base, name, batch_keys)
         else:
-            out = table if ready else arrange(table)
-            out.write.mode("append").partitionBy("date").parquet(table_path(base, name))
+            writer = arrange(table).write.mode("append").partitionBy("date")
+            writer.parquet(table_path(base, name))
 
 
 def arrange(df: DataFrame) -> DataFrame:
     """Rows grouped by date and sorted, for few and well-sorted files per date.
 
-    One exchange; AQE splits a date with very many rows and joins small ones.
+    One exchange; AQE splits a date with very many rows and joins small ones. It does so
+    in the plan of a write, not in a plan kept with ``persist``.
     """
     order = ["date", *[c for c in HOUR_KEYS if c in df.columns and c != "date"]]
     return df.hint("rebalance", "date").sortWithinPartitions(*order)
 
 
-def _replace(
-    incoming: DataFrame, base: str, name: str, batch_keys: list[str], ready: bool
-) -> None:
+def _replace(incoming: DataFrame, base: str, name: str, batch_keys: list[str]) -> None:
     published = read_table(incoming.sparkSession, base, name)
     # one row per day: bounded by the calendar, and it makes the read prune partitions
     dates = [r["date"] for r in incoming.select("date").distinct().collect()]
@@ -65,12 +61,9 @@ def _replace(
         lambda a, b: a & b, [published[c].eqNullSafe(batches[f"_new_{c}"]) for c in batch_keys]
     )
     kept = published.where(concerned).join(batches, same, "left_anti")
-    if ready and kept.isEmpty():
-        out = incoming
-    else:
-        out = arrange(kept.unionByName(incoming))
     (
-        out.write.mode("overwrite")
+        arrange(kept.unionByName(incoming))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .parquet(table_path(base, name))

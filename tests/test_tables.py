@@ -184,3 +184,24 @@ def test_display_names(frame):
 
 def test_every_table_of_the_report_is_covered(frame):
     assert set(reports.WIDE_REPORT) < set(HOURLY_TABLES)
+
+
+def test_one_date_with_very_many_rows_is_split(spark, path):
+    name = SOIL
+    schema = table_schema(name)
+    values = [F.rand(i).alias(f.name) for i, f in enumerate(schema) if f.name not in HOUR_KEYS]
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.concat(F.lit("city "), F.col("id") % 1000).alias("city"),
+        F.when(F.col("id") >= 0, F.lit("2025-01-02")).cast("date").alias("date"),
+        F.floor(F.col("id") / 1000).alias("hour"),
+        (F.col("id") % 2 == 0).alias("forecast_data"),
+        *[v.cast("double") for v in values],
+    )
+    df = df.select([F.col(f.name).cast(f.dataType) for f in schema])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        write_tables({name: df}, path, APPEND)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(f"{path}/{name}/date=2025-01-02/*.parquet")) >= 4
+    assert read_table(spark, path, name).count() == 60_000
