@@ -12,6 +12,11 @@ DOCUMENT_NAME = "weather_data.json"
 _KEY = r"(?:^|/)(?:city=)?([^/]+)/(?:year=)?(\d{4})/(?:month=)?(\d{1,2})/(?:day=)?(\d{1,2})/[^/]+$"
 
 
+def utc_today() -> Column:
+    """The run date of a load that starts now."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.now()) / 86_400).cast("int"))
+
+
 def object_key(city: Column, day: Column) -> Column:
     """``city/year/month/day/file`` without leading zeros."""
     parts = [F.year(day), F.month(day), F.dayofmonth(day)]
@@ -46,14 +51,14 @@ def hour_start(start_epoch: Column, position: Column, time_axis: str) -> Column:
 def iso_text(timestamp: Column) -> Column:
     """``2025-01-02T00:00:00.000Z``, in UTC whatever the session zone is."""
     millis = F.unix_millis(timestamp)
-    day = F.floor(millis / F.lit(86_400_000)).cast("int")
+    day = F.floor(millis / 86_400_000).cast("int")
     rest = F.pmod(millis, F.lit(86_400_000))
-    second = F.floor(rest / F.lit(1000))
+    second = F.floor(rest / 1000)
     clock = F.format_string(
         "T%02d:%02d:%02d.%03dZ",
-        F.floor(second / F.lit(3600)),
-        F.floor(second / F.lit(60)) % F.lit(60),
-        second % F.lit(60),
-        rest % F.lit(1000),
+        F.floor(second / 3600),
+        F.floor(second / 60) % 60,
+        second % 60,
+        rest % 1000,
     )
     return F.concat(F.date_from_unix_date(day).cast("string"), clock)

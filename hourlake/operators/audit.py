@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourlake.session import shared_folder
+
 LOADED = "loaded"
 QUARANTINED = "quarantined"
 MISSING = "missing"
 
 
-def load_audit(good: DataFrame, bad: DataFrame, expected: DataFrame) -> DataFrame:
+def load_audit(good: DataFrame, bad: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Status, row count and message of each document, and of each expected one not there.
 
     ``good`` has one row per hour and ``bad`` one per rejected document, both with
-    ``city``, ``run_date`` and ``file``; ``expected`` lists ``city`` and ``run_date``.
+    ``city``, ``run_date`` and ``file``; ``expected`` lists ``city`` and ``run_date``. Without such a list nothing can be missing,
+    and the column ``expected`` is NULL.
     """
     document = ["city", "run_date", "file"]
     loaded = (
@@ -29,6 +32,12 @@ def load_audit(good: DataFrame, bad: DataFrame, expected: DataFrame) -> DataFram
         F.col("reason").alias("message"),
     )
     seen = loaded.unionByName(rejected)
+    if expected is None:
+        return seen.withColumn("expected", F.lit(None).cast("boolean"))
+    # one short row per document, written once: both joins read it, and without this each
+    # of them would parse all documents again
+    shared_folder(seen.sparkSession)
+    seen = seen.checkpoint()
     wanted = expected.select(
         F.col("city").alias("_city"), F.col("run_date").alias("_run_date")
     ).distinct()

@@ -11,10 +11,10 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.session import shared_folder
+from hourlake.session import shared_folder, shuffle_partitions
 
 # A window over this many rows still fits one task comfortably.
 HOT_ROWS = 1_000_000
@@ -60,7 +60,7 @@ def number_rows(
         df.join(keys, is_large, "left_semi"),
         batch_cols,
         order_cols,
-        slices=max(_shuffle_partitions(df.sparkSession), math.ceil(found["rows"] / hot_rows)),
+        slices=max(shuffle_partitions(df.sparkSession), math.ceil(found["rows"] / hot_rows)),
         batches=found["batches"],
     )
     return _by_window(df.join(keys, is_large, "left_anti"), batch_cols, order_cols).unionByName(
@@ -155,7 +155,3 @@ def _same(left: DataFrame, right: DataFrame, names: dict[str, str]):
     return reduce(
         lambda a, b: a & b, [left[mine].eqNullSafe(right[other]) for mine, other in names.items()]
     )
-
-
-def _shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -14,11 +14,16 @@ from hourlake.plans import event_observations as source
 from hourlake.plans import reports
 from hourlake.plans.statements import STATEMENTS
 from hourlake.schema import CITIES, DAILY_TABLE, DAY_KEYS, HOUR_KEYS, MEASURES
-from hourlake.session import fresh_folder
+from hourlake.session import fresh_folder, shuffle_partitions
 from hourlake.sinks.landing import PARTITIONS, write_landing
 from hourlake.sinks.tables import APPEND, REPLACE, write_tables
 from hourlake.sources.cities import city_dim
-from hourlake.sources.landing import document_rows, read_landing, rejected_documents
+from hourlake.sources.landing import (
+    DOCUMENT_KEYS,
+    parse_documents,
+    read_landing,
+    split_rejected,
+)
 from hourlake.sources.payload import explode_payload
 from hourlake.sources.tables import read_table, read_tables, register_views
 from hourlake.streaming.incremental import incremental_load
@@ -194,13 +199,21 @@ def load_audit(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("document", "first_event").write.parquet(path)
     landed = spark.read.parquet(path)
     expected = landed.select("city", F.date_add("run_date", 7).alias("run_date"))
-    return audit.load_audit(document_rows(landed), rejected_documents(landed), expected)
+    # the measures are not needed, so little is stored between the two uses
+    rows = parse_documents(landed).select(*DOCUMENT_KEYS, "text", "reason").persist()
+    try:
+        return audit.load_audit(*split_rejected(rows), expected)
+    finally:
+        rows.unpersist()
 
 
 def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     base = fresh_folder(spark, "tables")
-    frame = source.derived(spark, folder)
-    write_tables(tables.all_tables(frame), base, APPEND)
+    frame = source.derived(spark, folder).persist()  # six tables read it
+    try:
+        write_tables(tables.all_tables(frame), base, APPEND)
+    finally:
+        frame.unpersist()
     register_views(read_tables(spark, base))
     return spark.sql(STATEMENTS["all_tables"])
 
@@ -209,12 +222,15 @@ def replace_batch(spark: SparkSession, folder: str) -> DataFrame:
     """One date is loaded again with other snowfall: its batches change, no row is added."""
     name = "hourly_precipitation_evaporation"
     base = fresh_folder(spark, "tables")
-    table = tables.split_tables(source.derived(spark, folder))[name]
-    write_tables({name: table}, base, REPLACE)
+    table = tables.split_tables(source.derived(spark, folder))[name].persist()
     again = table.where(F.col("date") == reports.day(DATE)).withColumn(
         "snowfall", F.col("snowfall") + F.lit(1.0)
     )
-    write_tables({name: again}, base, REPLACE)
+    try:
+        write_tables({name: table}, base, REPLACE)
+        write_tables({name: again}, base, REPLACE)
+    finally:
+        table.unpersist()
     return read_table(spark, base, name)
 
 
@@ -228,9 +244,11 @@ def incremental(spark: SparkSession, folder: str) -> DataFrame:
         F.dayofmonth("run_date").alias("day"),
         "text",
     )
-    # one document per file
+    # one document per file; see write_landing for the number of tasks
+    tasks = shuffle_partitions(spark)
     (
-        documents.write.option("maxRecordsPerFile", 1)
+        documents.repartition(tasks, "city", "year", "month", "day", F.xxhash64("text"))
+        .write.option("maxRecordsPerFile", 1)
         .partitionBy(*PARTITIONS)
         .text(landing)
     )

@@ -49,6 +49,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"

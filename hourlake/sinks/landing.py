@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from hourlake.functions.keys import iso_text
 from hourlake.schema import line_schema
+from hourlake.session import shuffle_partitions
 
 PARTITIONS = ["city", "year", "month", "day"]
 LINES_PER_FILE = 100_000
@@ -35,10 +36,11 @@ def write_landing(df: DataFrame, path: str) -> None:
         *[value.alias(name) for name, value in fields.items()],
     )
     # One task and file per folder, but a folder with very many lines is cut by place, so
-    # that no task gets all of it. Folders spread over all tasks: opening files dominates.
-    piece = F.floor(F.col("pos") / F.lit(LINES_PER_FILE))
+    # that no task gets all of it. The number of tasks is fixed, as it does not change the
+    # number of files, and opening many small files takes longer than writing them.
+    piece = F.floor(F.col("pos") / LINES_PER_FILE)
     (
-        lines.repartition(*PARTITIONS, piece)
+        lines.repartition(shuffle_partitions(df.sparkSession), *PARTITIONS, piece)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)

@@ -5,7 +5,8 @@ Layout ``hive``: JSON lines below ``city=/year=/month=/day=/``, where every line
 its place in the document, so files may be split freely.
 
 Both are read as text and parsed with the fixed schema, once. A row of an array gets its
-place from the array itself, so numbering a document needs no exchange.
+place from the array itself, so numbering a document needs no exchange. One task reads a
+document whole; data too large for that is landed as lines.
 """
 
 from __future__ import annotations
@@ -40,13 +41,14 @@ def read_landing(
     layout: str = "object_key",
     run_date: datetime.date | str | None = None,
     cities: list[str] | None = None,
+    file_pattern: str = "*.json",
 ) -> tuple[DataFrame, DataFrame]:
     """Hourly rows of good documents, and the rejected documents."""
     run_date = _as_date(run_date)
     if layout == "object_key":
-        documents = _documents(spark, path, run_date, cities)
+        documents = _documents(spark, path, run_date, cities, file_pattern)
         return document_rows(documents), rejected_documents(documents)
-    return split_rejected(read_rows(spark, path, layout, run_date, cities))
+    return split_rejected(read_rows(spark, path, layout, run_date, cities, file_pattern))
 
 
 def read_rows(
@@ -55,11 +57,12 @@ def read_rows(
     layout: str = "object_key",
     run_date: datetime.date | str | None = None,
     cities: list[str] | None = None,
+    file_pattern: str = "*.json",
 ) -> DataFrame:
     """Good and rejected rows in one frame, so that one scan serves both."""
     run_date = _as_date(run_date)
     if layout == "object_key":
-        return parse_documents(_documents(spark, path, run_date, cities))
+        return parse_documents(_documents(spark, path, run_date, cities, file_pattern))
     if layout == "hive":
         return _parse_lines(_lines(spark, path, run_date, cities))
     raise ValueError(f"layout must be 'object_key' or 'hive', not {layout!r}")
@@ -134,11 +137,16 @@ def document_columns(path: Column, text: Column) -> list[Column]:
     ]
 
 
-def _documents(spark, path, run_date, cities) -> DataFrame:
-    city = "{" + ",".join(_glob_text(c) for c in cities) + "}" if cities else "*"
-    day = f"{run_date.year}/{run_date.month}/{run_date.day}" if run_date else "*/*/*"
+def _documents(spark, path, run_date, cities, pattern) -> DataFrame:
+    # a pattern only as far as a choice needs one; below it, listing is distributed
+    root = path.rstrip("/")
+    if cities or run_date:
+        root += "/{" + ",".join(_glob_text(c) for c in cities) + "}" if cities else "/*"
+    if run_date:
+        root += f"/{run_date.year}/{run_date.month}/{run_date.day}"
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     try:
-        files = spark.read.text(f"{path.rstrip('/')}/{city}/{day}/*", wholetext=True)
+        files = reader.text(root, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

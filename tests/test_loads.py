@@ -130,6 +130,13 @@ def test_hourly_axis_batches_are_halves(spark, tmp_path):
     ]
 
 
+def test_audit_without_a_list_of_expected_documents(spark):
+    good = spark.createDataFrame([("A", DAY, "f1")], "city string, run_date date, file string")
+    bad = spark.createDataFrame([], "city string, run_date date, file string, reason string")
+    got = rows(load_audit(good, bad), "city", "status", "rows", "expected")
+    assert got == [("A", "loaded", 1, None)]
+
+
 def test_audit_of_unexpected_and_unnamed_documents(spark):
     good = spark.createDataFrame(
         [("A", DAY, "f1")] * 3 + [("A", DAY, "f2"), (None, None, "f3")],
