@@ -101,11 +101,13 @@ def label_batch(
 
 
 def _by_window(df: DataFrame, batch_cols: list[str], order_cols: list[str]) -> DataFrame:
-    batch = Window.partitionBy(*batch_cols)
+    # the size uses the same order, so that one window operator computes both
+    batch = Window.partitionBy(*batch_cols).orderBy(*order_cols)
+    whole = batch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns(
         {
-            POSITION: F.row_number().over(batch.orderBy(*order_cols)).cast("long") - F.lit(1),
-            SIZE: F.count(F.lit(1)).over(batch),
+            POSITION: F.row_number().over(batch).cast("long") - F.lit(1),
+            SIZE: F.count(F.lit(1)).over(whole),
         }
     )
 

@@ -43,10 +43,15 @@ def arrange(df: DataFrame) -> DataFrame:
     """Rows grouped by date and sorted, for few and well-sorted files per date.
 
     One exchange; AQE splits a date with very many rows and joins small ones. It does so
-    in the plan of a write, not in a plan kept with ``persist``.
+    in the plan of a write, not in a plan kept with ``persist``. Without AQE, ranges of the
+    whole key do the same from a sample.
     """
     order = ["date", *[c for c in HOUR_KEYS if c in df.columns and c != "date"]]
-    return df.hint("rebalance", "date").sortWithinPartitions(*order)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        grouped = df.hint("rebalance", "date")
+    else:
+        grouped = df.repartitionByRange(*order)
+    return grouped.sortWithinPartitions(*order)
 
 
 def _replace(incoming: DataFrame, base: str, name: str, batch_keys: list[str]) -> None:

@@ -5,12 +5,15 @@ from __future__ import annotations
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from hourlake.operators.audit import load_audit
 from hourlake.plans.load import load_run, read_audit
 from hourlake.schema import DAY_KEYS, HOUR_KEYS
+from hourlake.sinks.landing import write_landing
 from hourlake.sinks.tables import APPEND, REPLACE
 from hourlake.sources.cities import expected_documents
+from hourlake.sources.payload import explode_payload
 from hourlake.sources.tables import read_tables
 from hourlake.streaming.incremental import incremental_load
 from tests.helpers import hours, put_document, rows
@@ -130,6 +133,31 @@ def test_hourly_axis_batches_are_halves(spark, tmp_path):
     ]
 
 
+def test_payload_to_tables(spark, tmp_path):
+    """Payload, landing lines, tables: with a time per hour, the halves are two dates."""
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
+    start = 1735689600  # 2025-01-01
+    temperatures = [float(i) for i in range(48)]
+    payloads = spark.createDataFrame(
+        [("San Francisco", start, temperatures), ("Dubai", start, temperatures[::-1])],
+        "city string, start_epoch long, temperature_2m array<double>",
+    ).withColumn("run_date", F.lit(DAY))
+    write_landing(explode_payload(payloads, time_axis="hourly"), landing)
+    load_run(spark, landing, base, layout="hive", run_date="2025-01-02", batch_keys=DAY_KEYS)
+    got = read_tables(spark, base)["hourly_weather_conditions"].where("city = 'San Francisco'")
+    wanted = {
+        (float(i), DAY - datetime.timedelta(days=1 - i // 24), i % 24, i < 24) for i in range(48)
+    }
+    assert set(rows(got, "temperature_2m", "date", "hour", "forecast_data")) == wanted
+    daily = read_tables(spark, base)["daily_weather_summary"]
+    assert rows(daily, "city", "forecast_data", "max_temperature_2m", "min_temperature_2m") == [
+        ("Dubai", False, 23.0, 0.0),
+        ("Dubai", True, 47.0, 24.0),
+        ("San Francisco", False, 47.0, 24.0),
+        ("San Francisco", True, 23.0, 0.0),
+    ]
+
+
 def test_audit_without_a_list_of_expected_documents(spark):
     good = spark.createDataFrame([("A", DAY, "f1")], "city string, run_date date, file string")
     bad = spark.createDataFrame([], "city string, run_date date, file string, reason string")

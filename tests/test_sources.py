@@ -13,6 +13,7 @@ from hourlake.functions.keys import (
     object_key,
     run_date_of_path,
     text_to_date,
+    utc_today,
 )
 from hourlake.operators.numbering import label_halves
 from hourlake.schema import CITIES, MEASURES
@@ -253,6 +254,12 @@ def test_landing_needs_places(spark, path):
         write_landing(spark.createDataFrame([("A", DAY)], "city string, run_date date"), path)
 
 
+def test_utc_today(spark):
+    before = datetime.datetime.now(datetime.timezone.utc).date()
+    today = spark.range(1).select(utc_today()).first()[0]
+    assert before <= today <= datetime.datetime.now(datetime.timezone.utc).date()
+
+
 def test_cities(spark):
     dim = city_dim(spark)
     assert [tuple(r)[1:] for r in dim.orderBy("city_index").collect()] == CITIES

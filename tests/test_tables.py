@@ -186,7 +186,8 @@ def test_every_table_of_the_report_is_covered(frame):
     assert set(reports.WIDE_REPORT) < set(HOURLY_TABLES)
 
 
-def test_one_date_with_very_many_rows_is_split(spark, path):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_one_date_with_very_many_rows_is_split(spark, path, adaptive):
     name = SOIL
     schema = table_schema(name)
     values = [F.rand(i).alias(f.name) for i, f in enumerate(schema) if f.name not in HOUR_KEYS]
@@ -199,9 +200,11 @@ def test_one_date_with_very_many_rows_is_split(spark, path):
     )
     df = df.select([F.col(f.name).cast(f.dataType) for f in schema])
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     try:
         write_tables({name: df}, path, APPEND)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(glob.glob(f"{path}/{name}/date=2025-01-02/*.parquet")) >= 4
     assert read_table(spark, path, name).count() == 60_000
