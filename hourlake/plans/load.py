@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +39,8 @@ def publish_rows(
     """Publish landing rows (good and rejected) and then their audit.
 
     The documents are parsed once; the tables and the audit read the stored rows. The
-    audit row comes last: a batch with one is complete.
+    audit row comes last: a batch with one is complete. Publishing again under the same
+    ``load_id`` replaces its audit rows.
     """
     stored = hourly_frame(rows, first_half_flag).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -44,7 +48,6 @@ def publish_rows(
         bad = stored.where(F.col("reason").isNotNull())
         write_tables(all_tables(good), base, mode, batch_keys)
         audit = load_audit(good, bad, expected).withColumn("load_id", F.lit(load_id))
-        # a repeated load replaces its own audit rows
         (
             audit.hint("rebalance")
             .write.mode("overwrite")
@@ -56,6 +59,10 @@ def publish_rows(
         stored.unpersist()
 
 
+def short_name(*parts: str) -> str:
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:12]
+
+
 def load_run(
     spark: SparkSession,
     landing: str,
@@ -70,7 +77,9 @@ def load_run(
 ) -> None:
     """Load the documents of one run date, or of all, in one pass over all cities."""
     rows = read_rows(spark, landing, layout, run_date, cities)
-    load_id = f"run-{run_date or 'all'}"
+    load_id = f"run-{run_date or 'all'}-{short_name(layout, landing, *sorted(cities or []))}"
+    if mode == APPEND:
+        load_id += f"-{uuid.uuid4().hex[:8]}"  # an appended load is always a new one
     publish_rows(rows, base, expected, mode, load_id, first_half_flag, batch_keys)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.plans.load import publish_rows
+from hourlake.plans.load import publish_rows, short_name
 from hourlake.schema import BATCH_KEYS
 from hourlake.sinks.tables import REPLACE
 from hourlake.sources.landing import document_columns, parse_documents
@@ -43,7 +43,7 @@ def incremental_load(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         rows = parse_documents(batch)
-        load_id = f"batch-{batch_id}"
+        load_id = f"batch-{short_name(checkpoint)}-{batch_id}"
         publish_rows(rows, base, expected, mode, load_id, first_half_flag, batch_keys)
 
     query = (
