@@ -48,3 +48,10 @@ def free_name(frame: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish = "_" + wish
     return wish
+
+
+def row_mark(key: str, text: str) -> Column:
+    """128 bits that tell rows apart by id and text; equal rows share them."""
+    content = F.coalesce(F.col(text), F.lit(""))
+    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    return F.md5(F.concat_ws("|", name, F.col(text).isNull().cast("string"), content))

@@ -6,12 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourlake.llm import licenses, url_filter
+from hourlake.llm import decontaminate, licenses, secrets, url_filter
 from hourlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contamination_digest(documents, table(spark, folder, "benchmark"))
+
+
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_digest(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages).drop("url")
@@ -22,9 +31,11 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
+    "op4_secret_scans": op4_secret_scans,
     "op9_url_filters": op9_url_filters,
     "op10_license_scans": op10_license_scans,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE}
