@@ -37,8 +37,8 @@ RANDOM = "random"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 LENGTH = 16
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}=*"
-#: Ordinary identifiers to learn from: words of letters, digits, underscores, hyphens.
-IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{5,}"
+#: Ordinary identifiers to learn from: words and numbers, with underscores and hyphens.
+IDENTIFIER = r"[A-Za-z0-9][A-Za-z0-9_-]{5,}"
 
 #: Expected number of documents whose labelled strings are counted, and their length at most.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 5_000, 200_000
