@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourlake.llm import decontaminate, licenses, secrets, url_filter
+from hourlake.llm import decontaminate, licenses, secrets, simhash, url_filter
 from hourlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digest(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicate_digest(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages).drop("url")
@@ -33,6 +37,7 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_secret_scans": op4_secret_scans,
+    "op5_simhash": op5_simhash,
     "op9_url_filters": op9_url_filters,
     "op10_license_scans": op10_license_scans,
 }
