@@ -206,7 +206,8 @@ def fit(labelled: DataFrame, url: str, label: str, rows: int = TRAINING_ROWS) ->
 
 
 def _with_suffix(frame: DataFrame, suffixes: DataFrame, prior: float) -> DataFrame:
-    joined = frame.join(suffixes, "suffix", "left")
+    # no more suffixes than rows were fitted on; one suffix may end a third of all URLs
+    joined = frame.join(F.broadcast(suffixes), "suffix", "left")
     return joined.withColumn("suffix_share", F.coalesce("suffix_share", F.lit(prior)))
 
 
