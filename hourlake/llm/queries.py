@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourlake.llm import decontaminate, licenses, secrets, simhash, url_filter
+from hourlake.llm import decontaminate, licenses, secrets, simhash, toxicity, url_filter
 from hourlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_digest(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.toxicity_digest(documents, table(spark, folder, "labels"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages).drop("url")
@@ -38,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_secret_scans": op4_secret_scans,
     "op5_simhash": op5_simhash,
+    "op6_toxicity": op6_toxicity,
     "op9_url_filters": op9_url_filters,
     "op10_license_scans": op10_license_scans,
 }
