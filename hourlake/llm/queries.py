@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourlake.llm import decontaminate, licenses, secrets, simhash, toxicity, url_filter
+from hourlake.llm import (
+    decontaminate,
+    fingerprints,
+    licenses,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from hourlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +39,15 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_digest(documents, table(spark, folder, "labels"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.quality_digest(documents, table(spark, folder, "labels"))
+
+
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, folder, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages).drop("url")
@@ -44,6 +62,8 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scans": op4_secret_scans,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
+    "op8_fingerprints": op8_fingerprints,
     "op9_url_filters": op9_url_filters,
     "op10_license_scans": op10_license_scans,
 }
