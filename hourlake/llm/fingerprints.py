@@ -27,6 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourlake.llm.common import in_batches
 from hourlake.session import shuffle_partitions
 
 SPAN, CLASSES = 12, 64
@@ -202,7 +203,7 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     ordered = dealt.repartition(tasks, "part").sortWithinPartitions(
         "part", "after", F.col("key").asc_nulls_first(), "tie"
     )
-    found = ordered.mapInArrow(_walk, f"key long, {RESULT}")
+    found = in_batches(ordered, _walk, f"key long, {RESULT}")
     return found.withColumnRenamed("key", key)
 
 
@@ -246,8 +247,10 @@ def _dealt_by_range(keyed: DataFrame) -> DataFrame:
                 list(rows),
             )
 
-    return keyed.select("key", "text", "tie").mapInArrow(
-        run, "part int, after boolean, key long, tie long, packed binary"
+    return in_batches(
+        keyed.select("key", "text", "tie"),
+        run,
+        "part int, after boolean, key long, tie long, packed binary",
     )
 
 

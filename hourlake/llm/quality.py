@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourlake.llm.common import in_batches
 from hourlake.llm.labels import fold, labelled_texts
 
 FOLDS, HELD_OUT = 4, 2
@@ -248,7 +249,7 @@ def score(docs: DataFrame, model: Additive, text: str = "text", scored: str = "s
             scores = shared.value.score(described([t or "" for t in texts]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, scored])
 
-    return docs.mapInArrow(run, docs.withColumn(scored, F.lit(0.0)).schema)
+    return in_batches(docs, run, docs.withColumn(scored, F.lit(0.0)).schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Additive:

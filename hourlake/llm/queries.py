@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourlake.llm import (
     decontaminate,
@@ -12,15 +14,25 @@ from hourlake.llm import (
     licenses,
     quality,
     secrets,
+    sentencepiece_codec,
     simhash,
     toxicity,
     url_filter,
 )
 from hourlake.llm.common import table
 
+#: The piece model of the query; any other SentencePiece file without normalisation will do.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = sentencepiece_codec.load_model(PIECE_MODEL)
+    encoded = sentencepiece_codec.encode(table(spark, folder, "documents"), model)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "restored")
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.contamination_digest(documents, table(spark, folder, "benchmark"))
@@ -58,6 +70,7 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_decontamination": op2_decontamination,
     "op4_secret_scans": op4_secret_scans,
     "op5_simhash": op5_simhash,

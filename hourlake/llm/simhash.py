@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import free_name, row_mark, stored
+from hourlake.llm.common import free_name, in_batches, row_mark, ship, stored
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
 
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, text: str, shingle: int = SHINGLE) -> DataFram
             yield pa.RecordBatch.from_arrays([*columns, pa.array(codes.view(np.int64))], [*names, "code"])
 
     schema = docs.drop(text).schema.add("code", "long")
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs, run, schema)
 
 
 def gray_order(code: Column) -> Column:
@@ -101,7 +101,7 @@ def gray_pages(codes: DataFrame, size: int) -> DataFrame:
 
     ordered = codes.select("code", gray_order(F.col("code")).alias("rank"))
     ordered = ordered.repartitionByRange("rank").sortWithinPartitions("rank").select("code")
-    return ordered.mapInArrow(run, "page long, code long")
+    return in_batches(ordered, run, "page long, code long")
 
 
 class Nodes:
@@ -173,7 +173,7 @@ def routed(pages: DataFrame, distance: int) -> DataFrame:
                     [pa.array(to[later]), pa.array(codes[i : i + STEP][query[later]])], ["page", "code"]
                 )
 
-    return pages.select("page", "code").mapInArrow(run, "page long, code long")
+    return in_batches(pages.select("page", "code"), run, "page long, code long")
 
 
 def stars(codes: np.ndarray, a: np.ndarray, b: np.ndarray, roots: np.ndarray) -> np.ndarray:
@@ -238,6 +238,7 @@ def links(codes: DataFrame, distance: int = DISTANCE, page: int = PAGE) -> DataF
         a, b = a.view(np.int64), b.view(np.int64)
         return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
+    ship(codes.sparkSession.sparkContext)
     found = (
         visitors.groupBy("page", "share")
         .cogroup(members.groupBy("page", "share"))

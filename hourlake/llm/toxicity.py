@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import CASED_WORD
+from hourlake.llm.common import CASED_WORD, in_batches
 from hourlake.llm.labels import fold, labelled_texts
 
 FOLDS, HELD_OUT = 5, 0
@@ -316,7 +316,7 @@ def score(docs: DataFrame, model: Crf, text: str = "text", scored: str = "score"
                 [*batch.schema.names, scored, spans],
             )
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs, run, schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Crf:
