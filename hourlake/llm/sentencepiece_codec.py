@@ -1,16 +1,18 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-1. Words are what no piece can cross: runs of blanks with what follows, and characters that occur in
-   no longer piece stand alone. The documents' distinct words are counted (pre-aggregated per task).
-2. Each distinct word is exploded into its substrings of at most a piece's length; these are
-   equi-joined to the piece table, whose size is the model's; the edges are grouped by word. A character
-   without a piece gets an edge of its bytes' pieces.
+1. Words are what no piece can cross: runs of blanks with what follows; characters that occur in no
+   longer piece stand alone. The documents' distinct words are counted (pre-aggregated per task), and
+   the most frequent ones, ``HEAD`` at most, make the word table.
+2. Each of its words is exploded into its substrings of at most a piece's length; these are equi-joined
+   to the piece table, whose size is the model's; the edges are grouped by word. A character without a
+   piece gets an edge of its bytes' pieces.
 3. A higher-order ``aggregate`` folds a word's edges into its pieces, by the rule of the model's type:
    a unigram model's best path by Viterbi, a BPE model's merges in the order of their scores. (Viterbi
    over the scores of a BPE model, which are merge ranks, gives other pieces than the model's own.)
-   Cut points of a word are the bits of a long; longer words are folded by the same rule in a task.
-4. The ``HEAD`` most frequent words are broadcast; documents are read in blocks, and words that are not
-   in the head are joined to the word table by (block, word). Blocks travel compressed.
+   Cut points of a word are the bits of a long.
+4. The word table is broadcast and documents are encoded where they are. For words that are not in the
+   table, the same steps are done on the columns of a batch: substrings, equi-join to the sorted piece
+   table, edges by word, fold. (Sending these words through a shuffle and back was tried: see the README.)
 
 Decoding concatenates the pieces' bytes. Defined cases: a null or empty text has no pieces; "▁" in a text
 is decoded as a blank, as the model does; repeated rows are encoded each; an empty table gives no rows.
@@ -27,9 +29,6 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +44,11 @@ UNKNOWN_PENALTY = 10.0
 #: Words of at most so many characters have their cut points in one long.
 SHORT = 62
 #: So many words are broadcast at most, none longer than SHORT.
-HEAD = 1 << 20
-#: A block is closed when it has so many characters or documents.
-BLOCK_CHARS, BLOCK_DOCS = 1 << 20, 512
-#: A task hands on its word counts when it has so many.
-COUNTED = 400_000
-LEVEL = 6
+HEAD = 1 << 18
+#: A task hands on its word counts when it has so many, and remembers so many words outside the table.
+COUNTED, REMEMBERED = 200_000, 200_000
+#: Documents are encoded together until they have so many characters.
+CHARS_AT_ONCE = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -217,21 +215,165 @@ def _fold_viterbi() -> list[tuple[str, str]]:
 
 
 def encode_words(words: DataFrame, model: Model) -> DataFrame:
-    """(word, n, ids) from (word, n), each word once."""
-    short = word_edges(words.where(F.length("word") <= SHORT), model)
+    """(word, n, ids) from (word, n): each word once, none longer than SHORT."""
+    folded = word_edges(words, model)
     for name, fold in _fold_viterbi() if model.kind == UNIGRAM else _fold_merges():
-        short = short.withColumn(name, F.expr(fold))
-    long = words.where(F.length("word") > SHORT)
+        folded = folded.withColumn(name, F.expr(fold))
+    return folded.select("word", "n", "ids")
+
+
+class Pieces:
+    """The piece table as sorted columns, one set for each length, to join substrings to."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.known = {p: (i, s) for p, i, s in model.pieces}
+        by_score = sorted(model.pieces, key=lambda p: (-p[2], p[1]))
+        rank = {p: r for r, (p, _, _) in enumerate(by_score)}
+        self.ids = np.array([i for _, i, _ in by_score], dtype=np.int32)
+        self.neg = np.array([-s for _, _, s in by_score])
+        self.by_length = {}
+        for size in sorted({len(p) for p in rank}):
+            own = [p for p in rank if len(p) == size]
+            points = _points("".join(own)).reshape(-1, size)
+            codes = _codes(points)
+            order = codes.argsort()
+            ranks = np.array([rank[p] for p in own])[order]
+            self.by_length[size] = (codes[order], points[order], ranks)
+
+    def edges(self, words: list[str]):
+        """Columns start, end, rank of all pieces within the words, which stand one after the other."""
+        points = _points("".join(words))
+        sizes = np.array([len(w) for w in words])
+        past = np.repeat(np.cumsum(sizes), sizes)
+        out = []
+        for size, (codes, pieces, ranks) in self.by_length.items():
+            start = np.flatnonzero(np.arange(len(points)) + size <= past)
+            if not len(start):
+                break
+            substrings = np.lib.stride_tricks.sliding_window_view(points, size)[start]
+            code = _codes(substrings)
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            hit = np.flatnonzero(codes[at] == code)
+            hit = hit[(pieces[at[hit]] == substrings[hit]).all(axis=1)]
+            out.append((start[hit], start[hit] + size, ranks[at[hit]]))
+        start, end, rank = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [np.zeros(0, int)] * 3
+        return points, np.cumsum(sizes) - sizes, start, end, rank
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """The pieces of each word, as the bytes of 32-bit numbers."""
+        if not words:
+            return []
+        points, begins, start, end, rank = self.edges(words)
+        if self.model.kind == UNIGRAM:
+            cut = self._viterbi(len(points), begins, start, end, rank)
+        else:
+            cut = _merged(len(points), begins, start, end, rank)
+        first = np.flatnonzero(cut[:-1])
+        last = np.append(first[1:], len(points))
+        # the edge of each part, if there is one
+        key = start * (self.model.longest + 1) + (end - start)
+        order = key.argsort()
+        wanted = first * (self.model.longest + 1) + (last - first)
+        at = np.minimum(np.searchsorted(key[order], wanted), max(0, len(order) - 1))
+        found = key[order][at] == wanted if len(order) else np.zeros(len(wanted), bool)
+        ids = np.full(len(wanted), -1, dtype=np.int32)
+        ids[found] = self.ids[rank[order][at[found]]]
+        counts = np.ones(len(wanted), dtype=np.int64)
+        odd = np.flatnonzero(~found)
+        if len(odd):
+            replaced = [self._unknown(chr(int(points[first[i]]))) for i in odd]
+            counts[odd] = [len(r) for r in replaced]
+            wide = np.repeat(ids, counts)
+            wide[wide < 0] = [i for r in replaced for i in r]
+            ids = wide
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        bounds = upto[np.searchsorted(first, np.append(begins, len(points)))] * 4
+        raw, bounds = ids.astype("<i4").tobytes(), bounds.tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _unknown(self, char: str) -> list[int]:
+        if not self.model.bytes:
+            return [self.model.unknown]
+        return [self.model.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
+
+    def _viterbi(self, n: int, begins, start, end, rank) -> np.ndarray:
+        """Cut points of the best paths; the k-th place of all words is done at once."""
+        single = np.ones(n, dtype=bool)
+        single[start[end - start == 1]] = False
+        lone = np.flatnonzero(single)
+        start, end = np.concatenate([start, lone]), np.concatenate([end, lone + 1])
+        neg = np.concatenate([self.neg[rank], np.full(len(lone), -self.model.unknown_score)])
+        word = np.searchsorted(begins, start, side="right") - 1
+        place = end - begins[word]
+        order = np.lexsort((start, end, place))
+        start, end, neg, place = start[order], end[order], neg[order], place[order]
+        # places are by end; the begin of a word is the end of the one before, and costs nothing
+        best, back = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=np.int64)
+        is_begin = np.zeros(n + 1, dtype=bool)
+        is_begin[begins] = True
+        for lo, hi in _runs(place):
+            cost = neg[lo:hi] + np.where(is_begin[start[lo:hi]], 0.0, best[start[lo:hi]])
+            heads = np.flatnonzero(np.diff(end[lo:hi], prepend=-1))
+            least = np.minimum.reduceat(cost, heads)
+            best[end[lo:hi][heads]] = least
+            size = np.diff(np.append(heads, hi - lo))
+            chosen = np.flatnonzero(cost == np.repeat(least, size))[::-1]
+            back[end[lo:hi][chosen]] = start[lo:hi][chosen]
+        cut = np.zeros(n + 1, dtype=bool)
+        at = np.append(begins[1:], n)
+        while len(at):
+            cut[at] = True
+            at = back[at]
+            at = at[~is_begin[at]]
+        cut[begins] = True
+        return cut
+
+
+def _runs(sorted_values: np.ndarray):
+    bounds = np.flatnonzero(np.diff(sorted_values, prepend=-1)).tolist() + [len(sorted_values)]
+    return list(zip(bounds, bounds[1:]))
+
+
+def _merged(n: int, begins, start, end, rank) -> np.ndarray:
+    """Cut points after all merges: in each round, the best edge over two parts of every word."""
+    cut = np.ones(n + 1, dtype=bool)
+    longer = end - start > 1
+    start, end, rank = start[longer], end[longer], rank[longer]
+    word = np.searchsorted(begins, start, side="right") - 1
+    order = np.lexsort((start, rank, word))
+    start, end, word = start[order], end[order], word[order]
+    while len(start):
+        before = np.concatenate([[0], np.cumsum(cut)])
+        inside = before[end] - before[start + 1]
+        live = cut[start] & cut[end] & (inside > 0)
+        start, end, word, inside = start[live], end[live], word[live], inside[live]
+        ready = np.flatnonzero(inside == 1)
+        if not len(ready):
+            break
+        first = ready[np.flatnonzero(np.diff(word[ready], prepend=-1))]
+        # the one cut between start and end
+        cuts = np.flatnonzero(cut)
+        cut[cuts[before[start[first] + 1]]] = False
+        # a word without a merge has none in later rounds
+        merging = np.zeros(len(begins), dtype=bool)
+        merging[word[first]] = True
+        keep = merging[word]
+        start, end, word = start[keep], end[keep], word[keep]
+    return cut
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {p: (i, s) for p, i, s in model.pieces}
-        for batch in batches:
-            ids = [fold_long(w, known, model) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
 
-    return short.select("word", "n", "ids").unionByName(
-        in_batches(long.select("word", "n"), run, "word string, n long, ids array<int>")
-    )
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def _codes(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit hash by row of code points; what it finds is compared in full."""
+    code = np.zeros(len(rows), dtype=np.uint64)
+    for k in range(rows.shape[1]):
+        code = (code + rows[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+        code ^= code >> np.uint64(32)
+    return code
 
 
 def fold_long(word: str, known: dict[str, tuple[int, float]], model: Model) -> list[int]:
@@ -297,20 +439,18 @@ def _viterbi(word: str, known, model: Model) -> list[str]:
 # 4. documents
 
 
-def _frequent(words: DataFrame, most: int) -> pa.Table:
-    """(word, ids) of the most frequent words: whole classes of frequency, ``most`` rows at most."""
-    short = words.where(F.length("word") <= SHORT)
+def _frequent(words: DataFrame, most: int) -> DataFrame:
+    """The most frequent words: whole classes of frequency, ``most`` rows at most."""
+    short = words.where((F.length("word") <= SHORT) & (F.length("word") > 0))
     classes = short.withColumn("class", F.floor(8 * F.log2("n")))
     sizes = classes.groupBy("class").count().orderBy(F.desc("class")).collect()  # at most 8 * 64
-    least, total = None, 0
+    least, total = float("inf"), 0
     for row in sizes:
         total += row["count"]
         if total > most:
             break
         least = row["class"]
-    if least is None:
-        return pa.table({"word": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
-    return classes.where(F.col("class") >= least).select("word", "ids").toArrow()
+    return classes.where(F.col("class") >= least).select("word", "n")
 
 
 def _packed_ids(lists) -> list[bytes]:
@@ -336,124 +476,96 @@ def _stream(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]):
-    """(block, digest, rows, texts): documents in the order in which they are read.
-
-    A block is known by its place and its content: if two reads should not agree, it is not found.
-    """
-    first, count = TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-        begin = size = 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= BLOCK_CHARS or i + 1 - begin >= BLOCK_DOCS or i + 1 == len(texts):
-                own = texts[begin : i + 1]
-                digest = xxhash.xxh64_intdigest("\0".join(own).encode("utf-8", "surrogatepass")) >> 1
-                yield first + count, digest, batch.slice(begin, i + 1 - begin), own
-                begin, size, count = i + 1, 0, count + 1
-
-
-def _tail_words(docs: DataFrame, model: Model, head) -> DataFrame:
-    """(block, digest, word): the distinct words of each block that are not in the head."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known = re.compile(model.pattern).findall, _head(head.value)
-        for block, digest, _, texts in _blocks(batches):
-            words: set[str] = set()
-            for text in texts:
-                words.update(find(model.marked(text)))
-            rare = [w for w in words if w not in known]
-            if rare:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(rare)), pa.array([digest] * len(rare)), pa.array(rare, pa.string())],
-                    ["block", "digest", "word"],
-                )
+class Table(dict):
+    """Pieces by word: the broadcast table, and words met lately."""
 
-    return in_batches(docs, run, "block long, digest long, word string")
+    def __init__(self, head: dict[str, bytes], pieces: Pieces):
+        super().__init__()
+        self.head, self.pieces = head, pieces
 
-
-def _packed_blocks(docs: DataFrame) -> DataFrame:
-    """(block, digest, packed): each block's rows as compressed Arrow data."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=LEVEL).compress
-        for block, digest, rows, _ in _blocks(batches):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema) as writer:
-                writer.write_batch(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([digest]), pa.array([pack(sink.getvalue())], pa.binary())],
-                ["block", "digest", "packed"],
-            )
-
-    return in_batches(docs, run, "block long, digest long, packed binary")
+    def meet(self, words: set[str]) -> None:
+        """Makes all of ``words`` known."""
+        new = [w for w in words if w not in self.head and w not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = [w for w in words if w not in self.head]
+        short = [w for w in new if len(w) <= SHORT]
+        self.update(zip(short, self.pieces.encode(short), strict=True))
+        for word in new:
+            if len(word) > SHORT:
+                ids = fold_long(word, self.pieces.known, self.pieces.model)
+                self[word] = np.array(ids, dtype="<i4").tobytes()
 
 
 def encode(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
     """Per document its key, ``ids``, and ``restored``: whether decoding gives the text again."""
-    spark = docs.sparkSession
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    words = stored(encode_words(count_words(source, model, "text"), model), "words")
-    frequent = spark.sparkContext.broadcast(_stream(_frequent(words, head)))
-    rare = _tail_words(source, model, frequent).join(words.select("word", "ids"), "word")
-    by_block = rare.groupBy("block", "digest").agg(
-        F.collect_list("word").alias("words"), F.collect_list("ids").alias("lists")
-    )
-    joined = _packed_blocks(source).join(by_block, ["block", "digest"], "left")
+    words = stored(count_words(source, model, "text"), "words")
+    table = encode_words(_frequent(words, head), model).select("word", "ids").toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(_stream(table))
     shape = {"ids": F.array().cast("array<int>"), "restored": F.lit(True)}
     schema = source.select("key").withColumns(shape).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known = re.compile(model.pattern).findall, _head(frequent.value)
-        unpack = zstandard.ZstdDecompressor().decompress
-        octets = piece_bytes(model)
+        find = re.compile(model.pattern).findall
+        octets = PieceBytes(model)
+        known = Table(_head(shared.value), Pieces(model))
         for batch in batches:
-            for i in range(batch.num_rows):
-                own: dict[str, bytes] = {}
-                rare_words, lists = batch.column(1)[i], batch.column(2)[i]
-                if rare_words.is_valid:
-                    own = dict(zip(rare_words.as_py(), _packed_ids(lists.values), strict=True))
-                rows = pa.ipc.open_stream(unpack(batch.column(0)[i].as_py())).read_all().combine_chunks()
-                encoded, restored = [], []
-                for value in rows.column("text").to_pylist():
-                    found = find(model.marked(value or ""))
-                    raw = b"".join([known.get(w) or own[w] for w in found])
-                    ids = np.frombuffer(raw, dtype="<i4")
-                    encoded.append(ids)
-                    restored.append(joined_pieces(ids, octets, model) == (value or "").replace(BLANK, " "))
-                offsets = np.cumsum([0, *map(len, encoded)]).astype(np.int32)
-                values = np.concatenate(encoded) if encoded else np.zeros(0, dtype=np.int32)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in _parts(texts):
+                found = [find(model.marked(t)) for t in texts[a:b]]
+                known.meet(set().union(*found))
+                common, rare = known.head, known
+                raw = [b"".join([common.get(w) or rare[w] for w in words]) for words in found]
+                sizes = np.array([len(r) // 4 for r in raw])
+                ids = np.frombuffer(b"".join(raw), dtype="<i4")
+                restored = [
+                    octets.text(own) == t.replace(BLANK, " ")
+                    for own, t in zip(np.split(ids, np.cumsum(sizes)[:-1]), texts[a:b], strict=True)
+                ]
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.column("key").combine_chunks(),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32())),
+                        batch.column(0).slice(a, b - a),
+                        pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())),
                         pa.array(restored, pa.bool_()),
                     ],
                     ["key", "ids", "restored"],
                 )
 
-    return in_batches(joined.select("packed", "words", "lists"), run, schema).withColumnRenamed("key", key)
+    return in_batches(source, run, schema).withColumnRenamed("key", key)
+
+
+def _parts(texts: list[str]):
+    """Ranges of texts of about CHARS_AT_ONCE characters."""
+    a = size = 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= CHARS_AT_ONCE or i == len(texts):
+            yield a, i
+            a, size = i, 0
 
 
 # decoding
 
 
-def piece_bytes(model: Model) -> list[bytes]:
-    """What each id stands for: blanks for their mark, bytes for byte pieces, nothing for the others."""
-    out = [b""] * model.size
-    for piece, i, _ in model.pieces:
-        out[i] = piece.replace(BLANK, " ").encode()
-    for byte, i in enumerate(model.bytes):
-        out[i] = bytes([byte])
-    if not model.bytes:
-        out[model.unknown] = " ⁇ ".encode()
-    return out
+class PieceBytes:
+    """What ids stand for: blanks for their mark, bytes for byte pieces, nothing for control pieces."""
 
+    def __init__(self, model: Model):
+        octets = [b""] * model.size
+        for piece, i, _ in model.pieces:
+            octets[i] = piece.replace(BLANK, " ").encode()
+        for byte, i in enumerate(model.bytes):
+            octets[i] = bytes([byte])
+        if not model.bytes:
+            octets[model.unknown] = " ⁇ ".encode()
+        self.octets, self.dummy_prefix = octets, model.dummy_prefix
 
-def joined_pieces(ids, octets: list[bytes], model: Model) -> str:
-    text = b"".join([octets[i] for i in ids.tolist()]).decode("utf-8", "replace")
-    return text[1:] if model.dummy_prefix and text[:1] == " " else text
+    def text(self, ids: np.ndarray) -> str:
+        octets = self.octets
+        text = b"".join([octets[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        return text[1:] if self.dummy_prefix and text[:1] == " " else text
 
 
 def decode(encoded: DataFrame, model: Model, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -462,12 +574,12 @@ def decode(encoded: DataFrame, model: Model, ids: str = "ids", text: str = "text
         raise ValueError("the name of the text must be free")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        octets = piece_bytes(model)
+        octets = PieceBytes(model)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids))
-            texts = [
-                joined_pieces(np.asarray(v.values), octets, model) if v.is_valid else None for v in lists
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
+            texts = [octets.text(v.values.to_numpy(zero_copy_only=False)) if v.is_valid else None for v in lists]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text]
+            )
 
     return in_batches(encoded, run, encoded.withColumn(text, F.lit("")).schema)
