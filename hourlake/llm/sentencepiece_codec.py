@@ -61,11 +61,11 @@ class Model:
     dummy_prefix: bool
     pattern: str  # of words, after blanks are marked
 
-    @property
+    @functools.cached_property
     def longest(self) -> int:
         return max((len(p) for p, _, _ in self.pieces), default=1)
 
-    @property
+    @functools.cached_property
     def unknown_score(self) -> float:
         return min((s for _, _, s in self.pieces), default=0.0) - UNKNOWN_PENALTY
 
