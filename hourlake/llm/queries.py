@@ -13,6 +13,7 @@ from hourlake.llm import (
     fingerprints,
     licenses,
     quality,
+    repeats,
     secrets,
     sentencepiece_codec,
     simhash,
@@ -38,6 +39,10 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_digest(documents, table(spark, folder, "benchmark"))
 
 
+def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digest(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -72,6 +77,7 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontamination": op2_decontamination,
+    "op3_repeats": op3_repeats,
     "op4_secret_scans": op4_secret_scans,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
