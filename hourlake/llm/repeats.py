@@ -11,8 +11,9 @@ around equal minimizers are compared:
    repeated: copies end here, however many there are.
 3. The others are reduced to their distinct contents. What is there more than once is repeated as a whole;
    contents that are there once are fetched, with what they are to be compared to, and dealt out by
-   minimizer. Each task builds a run-length index of such strings and streams matching statistics of the
-   others against it (see ``run_index``); matches of LENGTH bytes mark windows.
+   minimizer. Each task builds a run-length index of its strings and streams their matching statistics
+   (see ``run_index``); matches of LENGTH bytes mark windows. (A stretch has no window twice, so a match
+   is with another one.)
 4. A minimizer with more than ``CONTENTS`` distinct contents would make one task too large. Its windows are
    hashed (128 bits) and counted instead, which spreads them over all tasks.
 5. Marked windows are brought to their texts by a join, merged, and cut out.
@@ -43,7 +44,7 @@ LENGTH, ANCHOR = 200, 41
 #: Anchors in a window; a stretch has at most so many windows.
 PLACES = LENGTH - ANCHOR + 1
 #: Distinct contents of a minimizer that are indexed in one task, and bytes of a task's strings.
-CONTENTS, BUCKET_BYTES = 2_048, 1 << 20
+CONTENTS, BUCKET_BYTES = 2_048, 1 << 21
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -247,7 +248,7 @@ def _by_index(strings: DataFrame, buckets: int) -> DataFrame:
         groups, places = (table.column(n).to_numpy() for n in ("minimizer", "at"))
         kept = comparable(texts, groups, places)
         lone = table.column("lone").to_numpy(zero_copy_only=False)[kept].astype(bool)
-        windows = repeated_windows([texts[i] for i in kept], groups[kept], lone, LENGTH)
+        windows = repeated_windows([texts[i] for i in kept], lone, LENGTH)
         wanted = kept[lone]
         columns = [table.column(n).to_numpy()[wanted].tolist() for n in ("doc", "where", "content")]
         return _found_rows(*columns, windows)

@@ -1,11 +1,11 @@
-"""A run-length index over short, repetitive strings, and matching statistics against it.
-
-The Burrows-Wheeler transform of the strings is kept as runs, with the suffix array sampled at both ends
-of each run. Patterns are streamed from their ends to their beginnings, all at once: where the next
-character is that of the current row, the row is mapped back; where it is not, the nearest rows with that
-character are the end of the run above and the start of the run below, whose samples say where in the text
-they are, and the one that shares more of what was matched is taken. So each place of a pattern gets the
-length of its longest match in the strings.
+"""A run-length index over short, repetitive strings, and their matching statistics.
+
+The Burrows-Wheeler transform of all strings is cut into runs, and the suffix array is sampled at both
+ends of each run. Rows that are neighbours within a run have the same character before them, so the match
+of their suffixes is that of the suffixes one character earlier, less one. Only at the ends of runs must
+suffixes be compared. The matching statistics of all places, that is, how long the longest match that
+begins there and also elsewhere is, are then streamed along the text: known at the samples, one less from
+place to place in between. Repetitive strings have few runs.
 """
 
 from __future__ import annotations
@@ -36,12 +36,12 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, dtype=np.int64)
     for k in range(PACKED):
         key = key << 9 | padded[k : k + n]
-    order = key.argsort(kind="stable")
+    order = key.argsort()
     rank = np.empty(n + 1, dtype=np.int64)
     rank[n] = -1
-    heads = np.diff(key[order], prepend=-1) != 0
-    first = np.flatnonzero(heads)
-    rank[order] = first[np.cumsum(heads) - 1]  # the place of the first of equals
+    is_first = np.diff(key[order], prepend=-1) != 0
+    first = np.flatnonzero(is_first)
+    rank[order] = first[np.cumsum(is_first) - 1]  # the place of the first of equals
     size = PACKED
     while len(first) < n:
         counts = np.diff(np.append(first, n))
@@ -51,143 +51,79 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
             break
         at = order[places]
         follow = rank[np.minimum(at + size, n)]
-        by = np.lexsort((follow, rank[at]))
+        by = (rank[at] * (n + 2) + follow + 1).argsort()
         at, follow = at[by], follow[by]
         order[places] = at
         own = rank[at]
         heads = (np.diff(own, prepend=-1) != 0) | (np.diff(follow, prepend=-2) != 0)
         new = places[heads][np.cumsum(heads) - 1]
         rank[at] = new
-        first = np.union1d(first[counts == 1], places[heads])
+        is_first[places[heads]] = True
+        first = np.flatnonzero(is_first)
         size *= 2
     return order
 
 
 class RunIndex:
+    """Runs of the transform of a text, with what the suffix array has at their ends."""
+
     def __init__(self, text: np.ndarray):
         n = len(text)
         order = suffix_order(text)
         column = text[order - 1]
-        self.run_start = np.flatnonzero(np.diff(column, prepend=-1))
-        self.run_end = np.append(self.run_start[1:], n) - 1
-        self.symbol = column[self.run_start]
-        # the suffix array is kept at the ends of runs only
-        self.at_start, self.at_end = order[self.run_start], order[self.run_end]
-        self.row_zero = int(order[0])
-        size = self.run_end - self.run_start + 1
-        runs = len(size)
-        by_symbol = np.lexsort((np.arange(runs), self.symbol))
-        before = np.cumsum(size[by_symbol]) - size[by_symbol]
-        # where the rows that begin with the symbol of a run stand: smaller symbols, then earlier runs
-        self.target = np.empty(runs, dtype=np.int64)
-        self.target[by_symbol] = before
-        # the run in which a run's first row is mapped; the others follow in the next ones
-        self.target_run = np.searchsorted(self.run_start, self.target, side="right") - 1
-        self.runs = runs
-        self.run_key = self.symbol[by_symbol] * (runs + 1) + by_symbol
-        self.run_of_key = by_symbol
-        self.text = text
-        powers = np.cumprod(np.full(n, _BASE, dtype=np.uint64))
-        self.powers = np.concatenate([[np.uint64(1)], powers])
+        starts = np.flatnonzero(np.diff(column, prepend=-1))
+        ends = np.append(starts[1:], n) - 1
+        # suffixes at the start of each run and above it, at the end of each run and below it
+        self.first, self.above = order[starts[1:]], order[starts[1:] - 1]
+        self.last, self.below = order[ends[:-1]], order[ends[:-1] + 1]
+        self.runs, self.text = len(starts), text
+        self.top, self.bottom = int(order[0]), int(order[-1])
+        self.powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _BASE, dtype=np.uint64))])
         self.sums = np.concatenate([[np.uint64(0)], np.cumsum(text.astype(np.uint64) * self.powers[:n])])
 
+    def matching_statistics(self, most: int) -> np.ndarray:
+        """By place: the length of the longest match with any other place, counted up to ``most``."""
+        up = self._streamed(self.first, self.above, self.top, most)
+        return np.maximum(up, self._streamed(self.last, self.below, self.bottom, most))
+
+    def _streamed(self, places, others, without: int, most: int) -> np.ndarray:
+        n = len(self.text)
+        known = np.full(n, -1, dtype=np.int64)
+        known[places] = self._common(places, others)
+        known[without] = 0
+        sample = np.maximum.accumulate(np.where(known >= 0, np.arange(n), 0))
+        return np.clip(known[sample] - (np.arange(n) - sample), 0, most)
+
+    def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many symbols the text has in common at a and b."""
+        high = len(self.text) - np.maximum(a, b)
+        low, size = np.zeros_like(high), 64
+        # most differ soon: the bound is doubled as long as all up to it is equal
+        bound = np.minimum(size, high)
+        while len(open_ := np.flatnonzero(self._equal(a, b, bound) & (bound < high))):
+            low[open_] = bound[open_]
+            bound[open_] = np.minimum(bound[open_] * 4, high[open_])
+        high = bound
+        while len(open_ := np.flatnonzero(low < high)):
+            half = (low[open_] + high[open_] + 1) // 2
+            same = self._equal(a[open_], b[open_], half)
+            low[open_] = np.where(same, half, low[open_])
+            high[open_] = np.where(same, high[open_], half - 1)
+        return low
+
     def _equal(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Whether the text has the same ``size`` symbols at a and at b."""
         low, high = np.minimum(a, b), np.maximum(a, b)
         left = (self.sums[low + size] - self.sums[low]) * self.powers[high - low]
         return left == self.sums[high + size] - self.sums[high]
 
-    def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """How many symbols the text has in common at a and b, at most ``most``."""
-        n = len(self.text)
-        high = np.minimum(most, n - np.maximum(a, b))
-        low = np.zeros_like(high)
-        while (open_ := low < high).any():
-            half = (low + high + 1) // 2
-            same = self._equal(a, b, half)
-            low = np.where(open_ & same, half, low)
-            high = np.where(open_ & ~same, half - 1, high)
-        return low
 
-    def matching_statistics(self, patterns: list[bytes]) -> list[np.ndarray]:
-        """By pattern and place: the length of the longest match that begins there."""
-        sizes = np.array([len(p) for p in patterns])
-        by_size = np.argsort(-sizes, kind="stable")
-        sizes = sizes[by_size]
-        flat = np.frombuffer(b"".join(patterns[i] for i in by_size), dtype=np.uint8).astype(np.int64) + FIRST_BYTE
-        ends = np.cumsum(sizes)
-        out = np.zeros(len(flat), dtype=np.int64)
-        row = np.zeros(len(sizes), dtype=np.int64)
-        run = np.zeros(len(sizes), dtype=np.int64)
-        place = np.full(len(sizes), self.row_zero)
-        length = np.zeros(len(sizes), dtype=np.int64)
-        for step in range(int(sizes[0]) if len(sizes) else 0):
-            n = int(np.searchsorted(-sizes, -step, side="left"))
-            at = ends[:n] - 1 - step
-            self._extend(flat[at], row[:n], run[:n], place[:n], length[:n])
-            out[at] = length[:n]
-        result: list[np.ndarray] = [out[:0]] * len(patterns)
-        for i, part in zip(by_size, np.split(out, ends[:-1]) if len(ends) else [], strict=True):
-            result[i] = part
-        return result
-
-    def _extend(self, symbol, row, run, place, length) -> None:
-        """Puts ``symbol`` before each match, in place; ``run`` is the run of ``row``."""
-        other = np.flatnonzero(self.symbol[run] != symbol)
-        lost = np.zeros(0, dtype=np.int64)
-        if len(other):
-            c, k = symbol[other], run[other]
-            at = np.searchsorted(self.run_key, c * (self.runs + 1) + k)
-            above = np.maximum(at - 1, 0)
-            below = np.minimum(at, self.runs - 1)
-            above_run, below_run = self.run_of_key[above], self.run_of_key[below]
-            has_above = (at > 0) & (self.symbol[above_run] == c)
-            has_below = (at < self.runs) & (self.symbol[below_run] == c)
-            most = length[other]
-            up = np.where(has_above, self._common(place[other], self.at_end[above_run], most), -1)
-            down = np.where(has_below, self._common(place[other], self.at_start[below_run], most), -1)
-            upper = up >= down
-            found = has_above | has_below
-            chosen = np.where(upper, above_run, below_run)
-            run[other] = np.where(found, chosen, run[other])
-            row[other] = np.where(upper, self.run_end[chosen], self.run_start[chosen])
-            place[other] = np.where(upper, self.at_end[chosen], self.at_start[chosen])
-            length[other] = np.maximum(np.maximum(up, down), 0)
-            lost = other[~found]
-        row[:] = self.target[run] + row - self.run_start[run]
-        run[:] = self.target_run[run]
-        row[lost], run[lost] = 0, 0
-        while len(late := np.flatnonzero(row > self.run_end[run])):
-            run[late] += 1
-        place -= 1
-        length += 1
-        place[lost], length[lost] = self.row_zero, 0
-
-
-def repeated_windows(strings: list[bytes], groups: np.ndarray, wanted: np.ndarray, size: int) -> list[np.ndarray]:
-    """By wanted string: begins of its windows of ``size`` bytes that another string of its group has.
-
-    A string is always in an index of its own kind. So the strings of a group are numbered, and for each
-    binary digit those with a zero are indexed for those with a one, and the other way round: any two
-    differ in a digit. Strings of other groups may be in the index, too; a match there is as good.
-    """
-    order = np.argsort(groups, kind="stable")
-    heads = np.flatnonzero(np.diff(groups[order], prepend=groups[order][:1] - 1))
-    counts = np.diff(np.append(heads, len(order)))
-    number, many = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
-    number[order] = np.arange(len(order)) - np.repeat(heads, counts)
-    many[order] = np.repeat(counts, counts)
-    found = [np.zeros(max(0, len(s) - size + 1), dtype=bool) for s in strings]
-    digit = 1
-    while digit < (int(counts.max()) if len(counts) else 0):
-        for side in (0, 1):
-            own = (number // digit % 2 == side) & (many > digit)
-            streamed = np.flatnonzero(~own & (many > digit) & wanted)
-            indexed = np.flatnonzero(own)
-            if len(streamed) and len(indexed):
-                index = RunIndex(joined([strings[i] for i in indexed]))
-                lengths = index.matching_statistics([strings[i] for i in streamed])
-                for i, statistics in zip(streamed, lengths, strict=True):
-                    found[i] |= statistics[: len(found[i])] >= size
-        digit *= 2
-    return [np.flatnonzero(found[i]) for i in np.flatnonzero(wanted)]
+def repeated_windows(strings: list[bytes], wanted: np.ndarray, size: int) -> list[np.ndarray]:
+    """By wanted string: begins of its windows of ``size`` bytes that are elsewhere in the strings, too."""
+    lengths = RunIndex(joined(strings)).matching_statistics(size) if strings else np.zeros(0)
+    sizes = np.array([len(s) for s in strings], dtype=np.int64)
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    return [
+        np.flatnonzero(lengths[begins[i] : begins[i] + max(0, sizes[i] - size + 1)] >= size)
+        for i in np.flatnonzero(wanted)
+    ]

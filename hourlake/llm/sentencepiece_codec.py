@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-1. Words are what no piece can cross: runs of blanks with what follows; characters that occur in no
-   longer piece stand alone. The documents' distinct words are counted (pre-aggregated per task), and
+1. Words are what no piece can cross: runs of blanks with what follows, up to a mark that follows a
+   letter in no piece; characters that occur in no longer piece stand alone. The documents' distinct words are counted, and
    the most frequent ones, ``HEAD`` at most, make the word table.
 2. Each of its words is exploded into its substrings of at most a piece's length; these are equi-joined
    to the piece table, whose size is the model's; the edges are grouped by word. A character without a
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import functools
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -45,8 +44,8 @@ UNKNOWN_PENALTY = 10.0
 SHORT = 62
 #: So many words are broadcast at most, none longer than SHORT.
 HEAD = 1 << 18
-#: A task hands on its word counts when it has so many, and remembers so many words outside the table.
-COUNTED, REMEMBERED = 200_000, 200_000
+#: A worker remembers so many words outside the table.
+REMEMBERED = 150_000
 #: Documents are encoded together until they have so many characters.
 CHARS_AT_ONCE = 1 << 21
 
@@ -97,39 +96,43 @@ def load_model(path: str, kind: int | None = None) -> Model:
     )
 
 
+#: A letter, for Python and for Java.
+LETTER, JAVA_LETTER = r"[^\W\d_]", r"\p{L}"
+
+
 def word_pattern(pieces: list[str]) -> str:
-    """Matches words, which no piece crosses; one match is the whole text if pieces cross blanks."""
+    """Matches words, which no piece crosses; one match is the whole text if pieces cross blanks.
+
+    ASCII characters of no longer piece are words of their own, and a word ends between a letter and
+    a mark that follows a letter in no piece.
+    """
     if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in pieces):
         return r"(?s).+"
     joined = {c for p in pieces if len(p) > 1 for c in p}
     alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined)
-    return f"[{alone}]|{BLANK}+[^{BLANK}{alone}]*|[^{BLANK}{alone}]+"
+    after_letter = {b for p in pieces for a, b in zip(p, p[1:]) if re.match(LETTER, a)}
+    marks = [c for c in map(chr, range(33, 127)) if not c.isalnum() and c in joined - after_letter]
+    if not marks:
+        return f"[{alone}]|{BLANK}+[^{BLANK}{alone}]*|[^{BLANK}{alone}]+"
+    ending = "".join(map(re.escape, marks))
+    more = f"(?:[^{BLANK}{alone}{ending}]+|(?<!{LETTER})[{ending}])*"
+    return f"[{alone}]|(?:{BLANK}+|[^{BLANK}{alone}]){more}"
 
 
 # 1. words
 
 
 def count_words(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """(word, n) of all documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(model.pattern).findall
-        counts: Counter[str] = Counter()
-
-        def packed() -> pa.RecordBatch:
-            words = pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())
-            return pa.RecordBatch.from_arrays(list(words), ["word", "n"])
-
-        for batch in batches:
-            for value in batch.column(0):
-                counts.update(find(model.marked(value.as_py() or "")))
-                if len(counts) >= COUNTED:
-                    yield packed()
-                    counts.clear()
-        yield packed()
-
-    parts = in_batches(docs.select(F.col(text).alias("text")), run, "word string, n long")
-    return parts.groupBy("word").agg(F.sum("n").alias("n"))
+    """(word, n) of all documents. What a letter is may differ a little from what ``encode`` takes for
+    one: a word that is counted here and not met there costs a row of the table and nothing else."""
+    marked = F.replace(F.col(text), F.lit(" "), F.lit(BLANK))
+    if model.dummy_prefix:
+        marked = F.concat(F.lit(BLANK), marked)
+    pattern = model.pattern.replace(LETTER, JAVA_LETTER)
+    words = docs.where(F.length(text) > 0).select(
+        F.explode(F.regexp_extract_all(marked, F.lit(pattern), F.lit(0))).alias("word")
+    )
+    return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
 # 2. edges
@@ -232,31 +235,44 @@ class Pieces:
         rank = {p: r for r, (p, _, _) in enumerate(by_score)}
         self.ids = np.array([i for _, i, _ in by_score], dtype=np.int32)
         self.neg = np.array([-s for _, _, s in by_score])
-        self.by_length = {}
-        for size in sorted({len(p) for p in rank}):
-            own = [p for p in rank if len(p) == size]
-            points = _points("".join(own)).reshape(-1, size)
-            codes = _codes(points)
+        # by length: hashes of the pieces and of the beginnings of longer ones, with their rank or -1
+        self.by_length = []
+        for size in range(1, model.longest + 1):
+            begin = {p[:size]: -1 for p in rank if len(p) > size}
+            begin.update((p, r) for p, r in rank.items() if len(p) == size)
+            points = _points("".join(begin)).reshape(-1, size)
+            codes = np.zeros(len(begin), dtype=np.uint64)
+            for k in range(size):
+                codes = _longer(codes, points[:, k])
             order = codes.argsort()
-            ranks = np.array([rank[p] for p in own])[order]
-            self.by_length[size] = (codes[order], points[order], ranks)
+            ranks = np.fromiter(begin.values(), dtype=np.int64, count=len(begin))[order]
+            self.by_length.append((codes[order], points[order], ranks))
 
     def edges(self, words: list[str]):
         """Columns start, end, rank of all pieces within the words, which stand one after the other."""
         points = _points("".join(words))
         sizes = np.array([len(w) for w in words])
         past = np.repeat(np.cumsum(sizes), sizes)
+        start, code = np.arange(len(points)), np.zeros(len(points), dtype=np.uint64)
         out = []
-        for size, (codes, pieces, ranks) in self.by_length.items():
-            start = np.flatnonzero(np.arange(len(points)) + size <= past)
+        for size, (codes, pieces, ranks) in enumerate(self.by_length, 1):
+            # substrings that go on in their word
+            inside = start + size <= past[start]
+            start, code = start[inside], code[inside]
             if not len(start):
                 break
-            substrings = np.lib.stride_tricks.sliding_window_view(points, size)[start]
-            code = _codes(substrings)
+            code = _longer(code, points[start + size - 1])
             at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            hit = np.flatnonzero(codes[at] == code)
-            hit = hit[(pieces[at[hit]] == substrings[hit]).all(axis=1)]
-            out.append((start[hit], start[hit] + size, ranks[at[hit]]))
+            # those that are a piece or begin one
+            known = codes[at] == code
+            start, code, at = start[known], code[known], at[known]
+            whole = ranks[at] >= 0
+            begin, entry = start[whole], at[whole]
+            same = np.ones(len(begin), dtype=bool)
+            for k in range(size):
+                same &= points[begin + k] == pieces[entry, k]
+            begin, entry = begin[same], entry[same]
+            out.append((begin, begin + size, ranks[entry]))
         start, end, rank = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [np.zeros(0, int)] * 3
         return points, np.cumsum(sizes) - sizes, start, end, rank
 
@@ -336,12 +352,16 @@ def _runs(sorted_values: np.ndarray):
 
 
 def _merged(n: int, begins, start, end, rank) -> np.ndarray:
-    """Cut points after all merges: in each round, the best edge over two parts of every word."""
+    """Cut points after all merges: in each round, the best edge over two parts of every word.
+
+    There are fewer than 2**20 pieces, and words here are no longer than SHORT.
+    """
     cut = np.ones(n + 1, dtype=bool)
     longer = end - start > 1
     start, end, rank = start[longer], end[longer], rank[longer]
     word = np.searchsorted(begins, start, side="right") - 1
-    order = np.lexsort((start, rank, word))
+    # by word, then rank, then place, in one key: ranks and places are small
+    order = ((word << 40) + (rank << 20) + (start - begins[word])).argsort()
     start, end, word = start[order], end[order], word[order]
     while len(start):
         before = np.concatenate([[0], np.cumsum(cut)])
@@ -367,13 +387,10 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-def _codes(rows: np.ndarray) -> np.ndarray:
-    """A 64-bit hash by row of code points; what it finds is compared in full."""
-    code = np.zeros(len(rows), dtype=np.uint64)
-    for k in range(rows.shape[1]):
-        code = (code + rows[:, k]) * np.uint64(0x9E3779B97F4A7C15)
-        code ^= code >> np.uint64(32)
-    return code
+def _longer(code: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """The 64-bit hash of a string that is one character longer; what it finds is compared in full."""
+    code = (code + point) * np.uint64(0x9E3779B97F4A7C15)
+    return code ^ (code >> np.uint64(32))
 
 
 def fold_long(word: str, known: dict[str, tuple[int, float]], model: Model) -> list[int]:
@@ -462,13 +479,6 @@ def _packed_ids(lists) -> list[bytes]:
     return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
 
-@functools.lru_cache(maxsize=1)
-def _head(stream: bytes) -> dict[str, bytes]:
-    """The broadcast words, kept by a worker from task to task."""
-    table = pa.ipc.open_stream(stream).read_all()
-    return dict(zip(table.column("word").to_pylist(), _packed_ids(table.column("ids")), strict=True))
-
-
 def _stream(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
@@ -476,25 +486,37 @@ def _stream(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-class Table(dict):
-    """Pieces by word: the broadcast table, and words met lately."""
+class Table:
+    """Pieces by word: the broadcast words, and up to REMEMBERED of those met lately."""
 
-    def __init__(self, head: dict[str, bytes], pieces: Pieces):
-        super().__init__()
-        self.head, self.pieces = head, pieces
+    def __init__(self, table: pa.Table, model: Model):
+        self.pieces = Pieces(model)
+        words = table.column("word").to_pylist()
+        self.known = dict(zip(words, _packed_ids(table.column("ids")), strict=True))
+        self.met: list[str] = []
 
     def meet(self, words: set[str]) -> None:
         """Makes all of ``words`` known."""
-        new = [w for w in words if w not in self.head and w not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = [w for w in words if w not in self.head]
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(self.met) + len(new) > REMEMBERED:
+            for word in self.met:
+                del known[word]
+            self.met.clear()
+            new = [w for w in words if w not in known]
         short = [w for w in new if len(w) <= SHORT]
-        self.update(zip(short, self.pieces.encode(short), strict=True))
+        known.update(zip(short, self.pieces.encode(short), strict=True))
         for word in new:
             if len(word) > SHORT:
                 ids = fold_long(word, self.pieces.known, self.pieces.model)
-                self[word] = np.array(ids, dtype="<i4").tobytes()
+                known[word] = np.array(ids, dtype="<i4").tobytes()
+        self.met += new
+
+
+@functools.lru_cache(maxsize=1)
+def _table(stream: bytes, model: Model) -> Table:
+    """The word table, kept by a worker from task to task."""
+    return Table(pa.ipc.open_stream(stream).read_all(), model)
 
 
 def encode(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
@@ -502,21 +524,21 @@ def encode(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     words = stored(count_words(source, model, "text"), "words")
     table = encode_words(_frequent(words, head), model).select("word", "ids").toArrow()
-    shared = docs.sparkSession.sparkContext.broadcast(_stream(table))
+    # no more words than HEAD, none longer than SHORT
+    shared = docs.sparkSession.sparkContext.broadcast((_stream(table), model))
     shape = {"ids": F.array().cast("array<int>"), "restored": F.lit(True)}
     schema = source.select("key").withColumns(shape).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(model.pattern).findall
-        octets = PieceBytes(model)
-        known = Table(_head(shared.value), Pieces(model))
+        stream, own_model = shared.value
+        words, octets = _table(stream, own_model), PieceBytes(own_model)
+        marked, find = own_model.marked, re.compile(own_model.pattern).findall
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _parts(texts):
-                found = [find(model.marked(t)) for t in texts[a:b]]
-                known.meet(set().union(*found))
-                common, rare = known.head, known
-                raw = [b"".join([common.get(w) or rare[w] for w in words]) for words in found]
+                found = [find(marked(t)) for t in texts[a:b]]
+                words.meet(set().union(*found))
+                raw = [b"".join(map(words.known.__getitem__, f)) for f in found]
                 sizes = np.array([len(r) // 4 for r in raw])
                 ids = np.frombuffer(b"".join(raw), dtype="<i4")
                 restored = [
