@@ -58,12 +58,23 @@ def stems(word: str) -> list[str]:
 
 def lexicon(texts: list[list[str]], toxic: list[int]) -> set[str]:
     """Words and beginnings that explain toxic documents, each some that those before it do not."""
-    inside = [{s for w in set(t) for s in stems(w)} for t in texts]
-    clean = Counter(w for words, y in zip(inside, toxic, strict=True) if not y for w in words)
+
+    def inside(text: list[str]) -> set[str]:
+        return {s for w in set(text) for s in stems(w)}
+
+    total: Counter[str] = Counter()
+    for text, y in zip(texts, toxic, strict=True):
+        if y:
+            total.update(inside(text))
+    likely = {s for s, n in total.items() if n >= LEAST_GAIN}
+    total = Counter({s: total[s] for s in likely})
+    clean: Counter[str] = Counter()
+    for text, y in zip(texts, toxic, strict=True):
+        if not y:
+            clean.update(inside(text) & likely)
+    open_ = [(inside(t) & likely, ENTRIES) for t, y in zip(texts, toxic, strict=True) if y]
     # frequency per document of a kind, so that the balance of the sample has no influence
     n_clean, n_toxic = max(1, toxic.count(0)), max(1, toxic.count(1))
-    open_ = [(words, ENTRIES) for words, y in zip(inside, toxic, strict=True) if y]
-    total = Counter(w for words, _ in open_ for w in words)
 
     def precise(word: str) -> bool:
         share, other = total[word] / n_toxic, clean[word] / n_clean
@@ -178,8 +189,13 @@ def _pairs(emissions, lengths, moves):
     return p, joint.sum(axis=1).reshape(2, 2)
 
 
-def fit_chain(chains: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and moves from chains of (features by token, tag by token), by AdaGrad."""
+def fit_chain(
+    chains: list[tuple[np.ndarray, np.ndarray]], by_word: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and moves from chains of (word by token, tag by token), by AdaGrad.
+
+    ``by_word`` has the features of each word.
+    """
     weights, moves = np.zeros(1 << FEATURE_BITS), np.zeros((2, 2))
     squares, move_squares = np.full(len(weights), 1e-8), np.full((2, 2), 1e-8)
     shuffled = np.random.default_rng(7)
@@ -187,8 +203,8 @@ def fit_chain(chains: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
         order = shuffled.permutation(len(chains))
         for i in range(0, len(order), DOCUMENTS_AT_ONCE):
             part = [chains[j] for j in order[i : i + DOCUMENTS_AT_ONCE]]
-            ids = np.concatenate([f for f, _ in part])
-            tags = np.concatenate([y for _, y in part])
+            ids = by_word[np.concatenate([w for w, _ in part])]
+            tags = np.concatenate([y for _, y in part]).astype(np.int64)
             lengths = np.array([len(y) for _, y in part])
             p, expected = _pairs(weights[ids].sum(axis=1), lengths, moves)
             inner = np.ones(len(tags), dtype=bool)
@@ -240,20 +256,20 @@ def fit(samples: list[tuple[str, int]]) -> Crf:
     empty = Crf(np.zeros(1 << FEATURE_BITS), np.zeros((2, 2)), np.zeros(5), float(np.mean(toxic)) if toxic else 0.0)
     if len(set(toxic)) < 2:
         return empty
-    texts = [tokens(t) for t, _ in samples]
+    known: dict[str, int] = {}
+    shared: dict[str, str] = {}
+    texts = [[shared.setdefault(w, w) for w in tokens(t)] for t, _ in samples]
     words = lexicon(texts, toxic)
-    known: dict[str, list[int]] = {}
     chains = []
     for text, y in zip(texts, toxic, strict=True):
         if text:
-            for w in set(text) - known.keys():
-                known[w] = features(w)
-            ids = np.array([known[w] for w in text])
+            ids = np.array([known.setdefault(w, len(known)) for w in text], dtype=np.int32)
             tags = [int(bool(y) and not words.isdisjoint(stems(w))) for w in text]
-            chains.append((ids, np.array(tags)))
+            chains.append((ids, np.array(tags, dtype=np.int8)))
     if not words or not chains:
         return empty
-    weights, moves = fit_chain(chains)
+    by_word = np.array([features(w) for w in known], dtype=np.int32)
+    weights, moves = fit_chain(chains, by_word)
     model = Crf(weights, moves, np.zeros(5), empty.share)
     lengths = np.array([len(t) for t in texts])
     emitted = Emissions(model)
