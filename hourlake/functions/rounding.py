@@ -1,19 +1,27 @@
-"""Rounding of aggregated doubles."""
+"""Sums and means of doubles that do not depend on the order of rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A double keeps 15 digits; weather values have up to four before the point.
-STEADY_PLACES = 11
+# A double keeps 15 digits; weather values have up to four before the point. Decimals of that
+# scale add up exactly, in any order, and a tie of short decimals stays one.
+PLACES = 11
+_VALUE = f"decimal(20,{PLACES})"
+# 10**12 rows of such values fit in the sum, and the quotient keeps 21 places
+_SUM, _COUNT = f"decimal(28,{PLACES})", "decimal(12,0)"
 
 
-def steady_round(value: Column, scale: int) -> Column:
-    """Round half away from zero, whatever the order in which rows were added up.
+def exact_sum(column: str, scale: int) -> Column:
+    """Rounded sum; NULL without values."""
+    return F.round(_total(column), scale).cast("double")
 
-    The last bits of a sum or mean of doubles depend on the order of the rows, and a mean
-    of short decimals often lies on a tie. Dropping those bits first makes the tie exact,
-    as a cast to a 15-digit numeric does.
-    """
-    return F.round(F.round(value, STEADY_PLACES), scale)
+
+def exact_mean(column: str, scale: int) -> Column:
+    """Mean, rounded once, half away from zero; NULL without values."""
+    return F.round(_total(column) / F.count(column).cast(_COUNT), scale).cast("double")
+
+
+def _total(column: str) -> Column:
+    return F.sum(F.col(column).cast(_VALUE)).cast(_SUM)

@@ -5,39 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.session import shared_folder
-
 LOADED = "loaded"
 QUARANTINED = "quarantined"
+EMPTY = "empty"
 MISSING = "missing"
 
+DOCUMENT = ["city", "run_date", "file"]
+
 
-def load_audit(good: DataFrame, bad: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+def load_audit(
+    good: DataFrame,
+    bad: DataFrame,
+    expected: DataFrame | None = None,
+    empty: DataFrame | None = None,
+    report_missing: bool = True,
+) -> DataFrame:
     """Status, row count and message of each document, and of each expected one not there.
 
-    ``good`` has one row per hour and ``bad`` one per rejected document, both with
-    ``city``, ``run_date`` and ``file``; ``expected`` lists ``city`` and ``run_date``. Without such a list nothing can be missing,
-    and the column ``expected`` is NULL.
+    ``good`` has one row per hour, ``bad`` one per rejected document and ``empty`` one per document
+    without hours, all with ``city``, ``run_date`` and ``file``; ``expected`` lists ``city`` and
+    ``run_date``. Without such a list nothing can be missing, and the column ``expected`` is NULL.
+    What is missing is known when all documents have been seen: parts of a load pass
+    ``report_missing=False``.
     """
-    document = ["city", "run_date", "file"]
     loaded = (
-        good.groupBy(*document)
+        good.groupBy(*DOCUMENT)
         .agg(F.count(F.lit(1)).alias("rows"))
-        .select(*document, F.lit(LOADED).alias("status"), "rows", _no_text().alias("message"))
+        .select(*DOCUMENT, F.lit(LOADED).alias("status"), "rows", _no_text().alias("message"))
     )
     rejected = bad.select(
-        *document,
+        *DOCUMENT,
         F.lit(QUARANTINED).alias("status"),
         F.lit(0).cast("long").alias("rows"),
         F.col("reason").alias("message"),
     )
     seen = loaded.unionByName(rejected)
+    if empty is not None:
+        without = empty.select(
+            *DOCUMENT,
+            F.lit(EMPTY).alias("status"),
+            F.lit(0).cast("long").alias("rows"),
+            F.lit("no hours").alias("message"),
+        )
+        seen = seen.unionByName(without)
     if expected is None:
         return seen.withColumn("expected", F.lit(None).cast("boolean"))
-    # one short row per document, written once: both joins read it, and without this each
-    # of them would parse all documents again
-    shared_folder(seen.sparkSession)
-    seen = seen.checkpoint()
     wanted = expected.select(
         F.col("city").alias("_city"), F.col("run_date").alias("_run_date")
     ).distinct()
@@ -46,8 +58,18 @@ def load_audit(good: DataFrame, bad: DataFrame, expected: DataFrame | None = Non
     found = seen.join(wanted, _same_document(seen, wanted), "left").select(
         *seen.columns, F.col("_run_date").isNotNull().alias("expected")
     )
+    if not report_missing:
+        return found
+    return found.unionByName(missing_documents(seen, expected))
+
+
+def missing_documents(seen: DataFrame, expected: DataFrame) -> DataFrame:
+    """Audit rows of the expected documents that are not among those seen."""
+    wanted = expected.select(
+        F.col("city").alias("_city"), F.col("run_date").alias("_run_date")
+    ).distinct()
     known = seen.select("city", "run_date").distinct()
-    absent = wanted.join(known, _same_document(known, wanted), "left_anti").select(
+    return wanted.join(known, _same_document(known, wanted), "left_anti").select(
         F.col("_city").alias("city"),
         F.col("_run_date").alias("run_date"),
         _no_text().alias("file"),
@@ -56,7 +78,6 @@ def load_audit(good: DataFrame, bad: DataFrame, expected: DataFrame | None = Non
         F.lit("no document").alias("message"),
         F.lit(True).alias("expected"),
     )
-    return found.unionByName(absent)
 
 
 def _same_document(seen: DataFrame, wanted: DataFrame):

@@ -2,70 +2,36 @@
 
 A batch is normally one small document, so a window per batch is the cheapest plan: one
 exchange. A batch may also hold a large share of all rows, and a window would put it in
-one task. Such batches are found by a pre-aggregated count and numbered from a range
-sort instead, which spreads each of them over many tasks.
+one task. Then the caller names slices: an expression that rises with the order of a batch,
+such as the hour of a time. Rows are numbered per batch and slice, and the slices' sizes,
+which are pre-aggregated, give where each begins. Both are plans and nothing else: no job
+runs, and nothing is stored, before the result is used.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.session import shared_folder, shuffle_partitions
-
-# A window over this many rows still fits one task comfortably.
-HOT_ROWS = 1_000_000
-# Batch keys and offsets up to this count are small enough to broadcast.
-BROADCAST_KEYS = 200_000
-
 POSITION = "batch_position"
 SIZE = "batch_rows"
 
 
 def number_rows(
-    df: DataFrame,
-    batch_cols: list[str],
-    order_cols: list[str],
-    hot_rows: int | None = HOT_ROWS,
+    df: DataFrame, batch_cols: list[str], order_cols: list[str], slice_by: Column | None = None
 ) -> DataFrame:
     """Add ``batch_position`` (from 0) and ``batch_rows``.
 
-    ``order_cols`` must order the rows of a batch totally. Batches above ``hot_rows``
-    rows are spread; pass None when every batch is known to be small, which saves the
-    count that looks for large ones.
+    ``order_cols`` must order the rows of a batch totally. With ``slice_by``, no task gets
+    more than a slice; it must not fall as the order of a batch rises. The result is the
+    same with any slices, or none. One slice per ten thousand rows or more is plenty: the
+    slices of a batch are put in order in one task.
     """
-    if hot_rows is None:
+    if slice_by is None:
         return _by_window(df, batch_cols, order_cols)
-
-    large = (
-        df.groupBy(*batch_cols)
-        .agg(F.count(F.lit(1)).alias(SIZE))
-        .where(F.col(SIZE) > hot_rows)
-        .persist()  # few rows, and often none
-    )
-    try:
-        found = large.agg(F.count(F.lit(1)).alias("batches"), F.sum(SIZE).alias("rows")).first()
-        if not found["batches"]:
-            return _by_window(df, batch_cols, order_cols)
-        shared_folder(df.sparkSession)
-        keys = large.select(*[F.col(c).alias(f"_large_{c}") for c in batch_cols]).checkpoint()
-    finally:
-        large.unpersist()
-    keys = _small_side(keys, found["batches"])
-    is_large = _same(df, keys, {c: f"_large_{c}" for c in batch_cols})
-    spread = _by_range(
-        df.join(keys, is_large, "left_semi"),
-        batch_cols,
-        order_cols,
-        slices=max(shuffle_partitions(df.sparkSession), math.ceil(found["rows"] / hot_rows)),
-        batches=found["batches"],
-    )
-    return _by_window(df.join(keys, is_large, "left_anti"), batch_cols, order_cols).unionByName(
-        spread
-    )
+    return _by_slice(df, batch_cols, order_cols, slice_by)
 
 
 def label_halves(
@@ -93,10 +59,10 @@ def label_batch(
     batch_cols: list[str],
     order_cols: list[str],
     first_half_flag: bool = True,
-    hot_rows: int | None = HOT_ROWS,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Number the rows of each batch and label its halves."""
-    numbered = number_rows(df, batch_cols, order_cols, hot_rows)
+    numbered = number_rows(df, batch_cols, order_cols, slice_by)
     return label_halves(numbered, first_half_flag=first_half_flag).drop(POSITION, SIZE)
 
 
@@ -112,44 +78,27 @@ def _by_window(df: DataFrame, batch_cols: list[str], order_cols: list[str]) -> D
     )
 
 
-def _by_range(
-    df: DataFrame, batch_cols: list[str], order_cols: list[str], slices: int, batches: int
+def _by_slice(
+    df: DataFrame, batch_cols: list[str], order_cols: list[str], slice_by: Column
 ) -> DataFrame:
-    # After the range sort, a slice holds consecutive rows of the batches in it. The
-    # checkpoint fixes the slices, so that both uses below see the same ones.
-    ordered = (
-        df.repartitionByRange(slices, *batch_cols, *order_cols)
-        .sortWithinPartitions(*batch_cols, *order_cols)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_slice", F.shiftright("_row", 33))
-        .checkpoint()
-    )
-    pieces = ordered.groupBy(*batch_cols, "_slice").agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    # at most one row per slice in each of these windows
+    sliced = df.withColumn("_slice", slice_by)
+    slice_ = Window.partitionBy(*batch_cols, "_slice").orderBy(*order_cols)
+    numbered = sliced.withColumn("_in_slice", F.row_number().over(slice_).cast("long"))
+    pieces = sliced.groupBy(*batch_cols, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    # one row per slice in these windows
     batch = Window.partitionBy(*batch_cols)
     earlier = batch.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         *[F.col(c).alias(f"_piece_{c}") for c in batch_cols],
         F.col("_slice").alias("_piece_slice"),
-        "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_rows").over(batch).alias(SIZE),
     )
-    # a slice boundary adds at most one piece, so pieces <= batches + slices
-    offsets = _small_side(offsets, batches + slices)
-    names = {c: f"_piece_{c}" for c in batch_cols}
-    matched = ordered.join(
-        offsets, _same(ordered, offsets, {**names, "_slice": "_piece_slice"}), "inner"
+    names = {**{c: f"_piece_{c}" for c in batch_cols}, "_slice": "_piece_slice"}
+    matched = numbered.join(offsets, _same(numbered, offsets, names), "inner")
+    return matched.withColumn(POSITION, F.col("_before") + F.col("_in_slice") - 1).select(
+        *df.columns, POSITION, SIZE
     )
-    return matched.withColumn(
-        POSITION, F.col("_before") + F.col("_row") - F.col("_first")
-    ).select(*df.columns, POSITION, SIZE)
-
-
-def _small_side(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_KEYS else df
 
 
 def _same(left: DataFrame, right: DataFrame, names: dict[str, str]):

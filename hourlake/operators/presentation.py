@@ -18,9 +18,16 @@ def preview(df: DataFrame, rows: int, order: list[str], tail: bool = False) -> D
 
 
 def with_display_names(df: DataFrame, report: str) -> DataFrame:
-    """Columns renamed to the labels readers see; columns without a label are dropped."""
+    """Columns renamed to the labels readers see, in their order.
+
+    The frame must have the report's columns, all and no others: anything else is another report.
+    """
     labels = DISPLAY_NAMES[report]
-    return df.select(*[F.col(c).alias(label) for c, label in labels.items() if c in df.columns])
+    if missing := [c for c in labels if c not in df.columns]:
+        raise ValueError(f"{report} lacks {missing}")
+    if unknown := [c for c in df.columns if c not in labels]:
+        raise ValueError(f"{report} has no label for {unknown}")
+    return df.select(*[F.col(c).alias(label) for c, label in labels.items()])
 
 
 def chart_series(df: DataFrame, ids: list[str], values: list[str]) -> DataFrame:

@@ -7,28 +7,31 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.functions.rounding import steady_round
+from hourlake.functions.rounding import exact_mean, exact_sum
 from hourlake.schema import DAILY_TABLE, DAY_KEYS, DECIMALS, HOURLY_TABLES, table_columns
 
 
-def split_tables(frame: DataFrame) -> dict[str, DataFrame]:
-    """The five hourly tables."""
-    return {name: frame.select(*table_columns(name)) for name in HOURLY_TABLES}
+def split_tables(frame: DataFrame, further: list[str] | None = None) -> dict[str, DataFrame]:
+    """The five hourly tables, with ``further`` columns of the frame."""
+    return {n: frame.select(*table_columns(n), *(further or [])) for n in HOURLY_TABLES}
 
 
-def daily_summary(frame: DataFrame, scale: int = DECIMALS) -> DataFrame:
-    """Totals, averages and extremes per city, date and half."""
-    return frame.groupBy(*DAY_KEYS).agg(
-        steady_round(F.sum("precipitation"), scale).alias("total_precipitation"),
-        steady_round(F.avg("temperature_2m"), scale).alias("average_temperature_2m"),
+def daily_summary(
+    frame: DataFrame, further: list[str] | None = None, scale: int = DECIMALS
+) -> DataFrame:
+    """Totals, averages and extremes per city, date and half, and per ``further`` columns."""
+    summary = frame.groupBy(*DAY_KEYS, *(further or [])).agg(
+        exact_sum("precipitation", scale).alias("total_precipitation"),
+        exact_mean("temperature_2m", scale).alias("average_temperature_2m"),
         F.max("temperature_2m").alias("max_temperature_2m"),
         F.min("temperature_2m").alias("min_temperature_2m"),
-        steady_round(F.avg("relative_humidity_2m"), scale).alias("average_relative_humidity_2m"),
+        exact_mean("relative_humidity_2m", scale).alias("average_relative_humidity_2m"),
     )
+    return summary.select(*table_columns(DAILY_TABLE), *(further or []))
 
 
 def all_tables(frame: DataFrame, scale: int = DECIMALS) -> dict[str, DataFrame]:
-    return {**split_tables(frame), DAILY_TABLE: daily_summary(frame, scale)}
+    return {**split_tables(frame), DAILY_TABLE: daily_summary(frame, scale=scale)}
 
 
 def union_batches(*frames: DataFrame) -> DataFrame:

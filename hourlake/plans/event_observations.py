@@ -8,6 +8,8 @@ are NULL. Rows are numbered while they are narrow, and measures are computed aft
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,15 +23,31 @@ ORDER = ["ts", "event_id"]
 DOCUMENT_HOURS = 48
 
 
-def events(spark: SparkSession, folder: str, known_cities: bool = False) -> DataFrame:
-    """City, batch date and the columns the measures need."""
+def events(
+    spark: SparkSession,
+    folder: str,
+    known_cities: bool = False,
+    city: str | None = None,
+    weeks: list[str] | None = None,
+) -> DataFrame:
+    """City, batch date and the columns the measures need.
+
+    A choice of one city (a user) or of weeks (by their Mondays) is made on the stored columns, so
+    that it reaches the scan; both are batch keys, so it leaves batches whole.
+    """
     table = spark.read.parquet(f"{folder}/events.parquet")
-    city = F.col("user_id").cast("string")
+    if city is not None:
+        table = table.where(F.col("user_id") == int(city))
+    if weeks is not None:
+        starts = [F.lit(week).cast("date") for week in weeks]
+        chosen = [(F.col("ts") >= d) & (F.col("ts") < F.date_add(d, 7)) for d in starts]
+        table = table.where(reduce(Column.__or__, chosen))
+    name = F.col("user_id").cast("string")
     if known_cities:
         names = F.array(*[F.lit(name) for name, _, _ in CITIES])
-        city = F.get(names, F.col("user_id") % F.lit(len(CITIES)))
+        name = F.get(names, F.col("user_id") % F.lit(len(CITIES)))
     return table.select(
-        city.alias("city"),
+        name.alias("city"),
         F.trunc(F.col("ts").cast("date"), "week").alias("date"),
         "event_id",
         "ts",
@@ -83,14 +101,14 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
     return events(spark, folder).withColumns(measures())
 
 
-def labelled(spark: SparkSession, folder: str) -> DataFrame:
-    """Observations with ``hour`` and ``forecast_data``."""
-    return label_batch(events(spark, folder), BATCH_KEYS, ORDER).withColumns(measures())
+def labelled(spark: SparkSession, folder: str, **chosen) -> DataFrame:
+    """Observations with ``hour`` and ``forecast_data``; ``chosen`` as for ``events``."""
+    return label_batch(events(spark, folder, **chosen), BATCH_KEYS, ORDER).withColumns(measures())
 
 
-def derived(spark: SparkSession, folder: str) -> DataFrame:
+def derived(spark: SparkSession, folder: str, **chosen) -> DataFrame:
     """The hourly frame the tables are projections of."""
-    return derive(labelled(spark, folder))
+    return derive(labelled(spark, folder, **chosen))
 
 
 def landing_rows(spark: SparkSession, folder: str) -> DataFrame:

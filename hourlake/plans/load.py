@@ -1,22 +1,30 @@
-"""One load: landing documents to published tables and audit."""
+"""One load: landing documents to published tables and audit.
+
+A load writes its rows in folders of its own, beside those of other loads, and commits by writing
+its manifest, which lists the versions of documents it has read. Readers keep the rows that
+the manifests call current: those of a document's last replacing load and of the loads after it. So a
+document is replaced by what it is, whatever dates its hours have; an emptied one takes its rows
+along; a load that stops half-way is not seen; and loads of other documents do not meet.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.functions.keys import text_to_date
-from hourlake.operators.audit import load_audit
+from hourlake.operators.audit import load_audit, missing_documents
 from hourlake.operators.measures import derive
 from hourlake.operators.numbering import label_halves
-from hourlake.operators.tables import all_tables
-from hourlake.schema import BATCH_KEYS
-from hourlake.sinks.tables import APPEND, write_tables
-from hourlake.sources.landing import read_rows
+from hourlake.operators.tables import daily_summary, split_tables
+from hourlake.schema import DAILY_TABLE
+from hourlake.session import drop_folder, write_aside
+from hourlake.sinks.tables import APPEND, MODES, REPLACE, arrange, write_load
+from hourlake.sources.landing import EMPTY, LOADED, QUARANTINED, VERSION, read_rows
+from hourlake.sources.tables import MANIFEST, table_path
 
 AUDIT_TABLE = "load_audit"
 
@@ -34,29 +42,60 @@ def publish_rows(
     mode: str = APPEND,
     load_id: str = "0",
     first_half_flag: bool = True,
-    batch_keys: list[str] = BATCH_KEYS,
+    feed: str = "",
+    batch: int = 0,
+    report_missing: bool = True,
 ) -> None:
-    """Publish landing rows (good and rejected) and then their audit.
+    """Publish landing rows and then their audit and manifest.
 
-    The documents are parsed once; the tables and the audit read the stored rows. The
-    audit row comes last: a batch with one is complete. Publishing again under the same
-    ``load_id`` replaces its audit rows.
+    The documents are parsed once and their rows arranged once, with one exchange; the tables are
+    projections of the arranged rows. Publishing again under the same ``load_id`` replaces its audit
+    rows. A daily row summarises a half of one document.
     """
-    stored = hourly_frame(rows, first_half_flag).persist(StorageLevel.MEMORY_AND_DISK)
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    own = f"{load_id}-{uuid.uuid4().hex[:8]}"
+    spark = rows.sparkSession
+    staged, folder = write_aside(arrange(hourly_frame(rows, first_half_flag)), "staged")
     try:
-        good = stored.where(F.col("reason").isNull())
-        bad = stored.where(F.col("reason").isNotNull())
-        write_tables(all_tables(good), base, mode, batch_keys)
-        audit = load_audit(good, bad, expected).withColumn("load_id", F.lit(load_id))
-        (
-            audit.hint("rebalance")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id")
-            .parquet(f"{base.rstrip('/')}/{AUDIT_TABLE}")
+        good = staged.where(F.col("status") == LOADED)
+        tables = split_tables(good, ["document"])
+        tables[DAILY_TABLE] = daily_summary(good, ["document"])
+        for name, table in tables.items():
+            write_load(table, base, name, own)
+        audit = load_audit(
+            good,
+            staged.where(F.col("status") == QUARANTINED),
+            expected,
+            staged.where(F.col("status") == EMPTY),
+            report_missing,
+        )
+        _write_by_load(audit, base, AUDIT_TABLE, load_id)
+        # a rejected version takes the place of an earlier one only as far as the audit goes
+        versions = staged.groupBy(*VERSION, "status").agg(F.count("*").alias("hours"))
+        manifest = versions.drop("hours").withColumns(
+            {
+                "feed": F.lit(feed),
+                "batch": F.lit(batch),
+                "replaces": F.lit(mode == REPLACE),
+                "published": F.now(),
+            }
         )
+        _write_by_load(manifest, base, MANIFEST, own)
     finally:
-        stored.unpersist()
+        drop_folder(spark, folder)
+
+
+def _write_by_load(table: DataFrame, base: str, name: str, load_id: str) -> None:
+    folder = f"{table_path(base, name)}/load_id={load_id}"
+    table.hint("rebalance").write.mode("overwrite").parquet(folder)
+
+
+def report_missing_documents(spark: SparkSession, base: str, expected: DataFrame, load_id: str) -> None:
+    """One audit row for each expected document of which no load has seen any version."""
+    seen = read_audit(spark, base).where(F.col("status") != "missing")
+    absent = missing_documents(seen.select("city", "run_date"), expected)
+    _write_by_load(absent, base, AUDIT_TABLE, load_id)
 
 
 def short_name(*parts: str) -> str:
@@ -73,14 +112,14 @@ def load_run(
     expected: DataFrame | None = None,
     mode: str = APPEND,
     first_half_flag: bool = True,
-    batch_keys: list[str] = BATCH_KEYS,
+    file_pattern: str = "*.json",
 ) -> None:
     """Load the documents of one run date, or of all, in one pass over all cities."""
-    rows = read_rows(spark, landing, layout, run_date, cities)
+    rows = read_rows(spark, landing, layout, run_date, cities, file_pattern)
     load_id = f"run-{run_date or 'all'}-{short_name(layout, landing, *sorted(cities or []))}"
     if mode == APPEND:
         load_id += f"-{uuid.uuid4().hex[:8]}"  # an appended load is always a new one
-    publish_rows(rows, base, expected, mode, load_id, first_half_flag, batch_keys)
+    publish_rows(rows, base, expected, mode, load_id, first_half_flag)
 
 
 def read_audit(spark: SparkSession, base: str) -> DataFrame:

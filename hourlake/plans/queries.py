@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +14,16 @@ from hourlake.operators import audit, presentation, tables
 from hourlake.operators.numbering import label_halves
 from hourlake.plans import event_observations as source
 from hourlake.plans import reports
+from hourlake.plans.load import load_run, read_audit
 from hourlake.plans.statements import STATEMENTS
 from hourlake.schema import CITIES, DAILY_TABLE, DAY_KEYS, HOUR_KEYS, MEASURES
-from hourlake.session import fresh_folder, shuffle_partitions
-from hourlake.sinks.landing import PARTITIONS, write_landing
+from hourlake.session import fresh_folder, shuffle_partitions, write_aside
+from hourlake.sinks.landing import PARTITIONS, put_document, write_landing
 from hourlake.sinks.tables import APPEND, REPLACE, write_tables
 from hourlake.sources.cities import city_dim
 from hourlake.sources.landing import (
     DOCUMENT_KEYS,
+    VERSION,
     parse_documents,
     read_landing,
     split_rejected,
@@ -31,6 +35,7 @@ from hourlake.streaming.incremental import incremental_load
 CITY = "3"
 DATE, NEXT_DATE = "2024-01-08", "2024-01-15"
 FIRST_WEEK, THIRD_WEEK = "2024-01-01", "2024-01-15"
+SELECTED_CITIES = ["New York", "Tokyo", "Nowhere"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,8 +67,9 @@ def hourly_table(name: str) -> Query:
     return query
 
 
-def all_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return tables.all_tables(source.derived(spark, folder))
+def all_tables(spark: SparkSession, folder: str, **chosen) -> dict[str, DataFrame]:
+    """The tables derived from all events, or from those of one city or of some weeks."""
+    return tables.all_tables(source.derived(spark, folder, **chosen))
 
 
 def daily_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,7 +77,7 @@ def daily_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_extremes_on_date(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.daily_extremes(all_tables(spark, folder), DATE)
+    return reports.daily_extremes(all_tables(spark, folder, weeks=[DATE]), DATE)
 
 
 def city_averages(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,15 +85,18 @@ def city_averages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def temps_forecast_true(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.temperatures(all_tables(spark, folder), CITY, DATE, True)
+    chosen = all_tables(spark, folder, city=CITY, weeks=[DATE])
+    return reports.temperatures(chosen, CITY, DATE, True)
 
 
 def temps_forecast_false(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.temperatures(all_tables(spark, folder), CITY, NEXT_DATE, False)
+    chosen = all_tables(spark, folder, city=CITY, weeks=[NEXT_DATE])
+    return reports.temperatures(chosen, CITY, NEXT_DATE, False)
 
 
 def day_over_day_city(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.day_over_day_city(all_tables(spark, folder), CITY, DATE, NEXT_DATE)
+    chosen = all_tables(spark, folder, city=CITY, weeks=[DATE, NEXT_DATE])
+    return reports.day_over_day_city(chosen, CITY, DATE, NEXT_DATE)
 
 
 def day_over_day_all(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,13 +104,33 @@ def day_over_day_all(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_report(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.wide_report(all_tables(spark, folder), CITY, FIRST_WEEK, THIRD_WEEK)
+    chosen = all_tables(spark, folder, city=CITY, weeks=[FIRST_WEEK, DATE, THIRD_WEEK])
+    return reports.wide_report(chosen, CITY, FIRST_WEEK, THIRD_WEEK)
 
 
 def wide_report_all(spark: SparkSession, folder: str) -> DataFrame:
     return reports.wide_report(all_tables(spark, folder), ordered=False)
 
 
+def labelled_report(report: str, query: Query) -> Query:
+    """The report with the labels its readers see."""
+
+    def labelled(spark: SparkSession, folder: str) -> DataFrame:
+        return presentation.with_display_names(query(spark, folder), report)
+
+    return labelled
+
+
+def by_statement(name: str, **arguments) -> Query:
+    """The report as SQL text on registered views."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        register_views(all_tables(spark, folder))
+        return spark.sql(STATEMENTS[name], arguments)
+
+    return query
+
+
 def preview_daily(spark: SparkSession, folder: str) -> DataFrame:
     return presentation.preview(daily_summary(spark, folder), 30, DAY_KEYS)
 
@@ -136,19 +165,13 @@ def chart_series_levels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # cloud_cover is in no payload: an absent variable becomes NULL
-PAYLOAD_VARIABLES = [
-    "relative_humidity_2m",
-    "temperature_2m",
-    "precipitation",
-    "evapotranspiration",
-    "cloud_cover",
-]
+PAYLOAD_VARIABLES = [m for m in MEASURES if m != "cloud_cover"]
 
 
 def payload_explode(time_axis: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        payloads = source.payloads(spark, folder, PAYLOAD_VARIABLES[:-1])
-        rows = explode_payload(payloads, PAYLOAD_VARIABLES, time_axis)
+        payloads = source.payloads(spark, folder, PAYLOAD_VARIABLES)
+        rows = explode_payload(payloads, MEASURES, time_axis)
         return rows.withColumn("date_iso", iso_text(F.col("date"))).drop("date")
 
     return query
@@ -200,11 +223,10 @@ def load_audit(spark: SparkSession, folder: str) -> DataFrame:
     landed = spark.read.parquet(path)
     expected = landed.select("city", F.date_add("run_date", 7).alias("run_date"))
     # the measures are not needed, so little is stored between the two uses
-    rows = parse_documents(landed).select(*DOCUMENT_KEYS, "text", "reason").persist()
-    try:
-        return audit.load_audit(*split_rejected(rows), expected)
-    finally:
-        rows.unpersist()
+    rows, _ = write_aside(
+        parse_documents(landed).select(*DOCUMENT_KEYS, *VERSION, "status", "text", "reason"), "rows"
+    )
+    return audit.load_audit(*split_rejected(rows), expected)
 
 
 def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,26 +256,114 @@ def replace_batch(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, base, name)
 
 
-def incremental(spark: SparkSession, folder: str) -> DataFrame:
-    landing = fresh_folder(spark, "documents")
-    base = fresh_folder(spark, "tables")
-    documents = source.documents(spark, folder).select(
-        "city",
-        F.year("run_date").alias("year"),
-        F.month("run_date").alias("month"),
-        F.dayofmonth("run_date").alias("day"),
-        "text",
-    )
-    # one document per file; see write_landing for the number of tasks
-    tasks = shuffle_partitions(spark)
+def write_documents(documents: DataFrame, landing: str) -> None:
+    """One file per document, below city, year, month and day."""
+    # a fixed number of tasks; see write_landing
+    tasks = shuffle_partitions(documents.sparkSession)
     (
-        documents.repartition(tasks, "city", "year", "month", "day", F.xxhash64("text"))
+        documents.select(
+            "city",
+            F.year("run_date").alias("year"),
+            F.month("run_date").alias("month"),
+            F.dayofmonth("run_date").alias("day"),
+            "text",
+        )
+        .repartition(tasks, "city", "year", "month", "day", F.xxhash64("text"))
         .write.option("maxRecordsPerFile", 1)
+        .mode("append")
         .partitionBy(*PARTITIONS)
         .text(landing)
     )
-    progress = fresh_folder(spark, "progress")
-    incremental_load(spark, landing, base, progress, file_pattern="*.txt")
+
+
+FILES = "*.{txt,json}"
+
+
+def load_documents(name: str | None, selected: bool = False) -> Query:
+    """Files of documents through a load: one published table with all its columns, or the audit."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+        write_documents(source.documents(spark, folder), landing)
+        choice = {"run_date": DATE, "cities": SELECTED_CITIES} if selected else {}
+        load_run(spark, landing, base, mode=REPLACE, file_pattern=FILES, **choice)
+        if name is not None:
+            return read_table(spark, base, name)
+        # files have names that no statement can know
+        audit = read_audit(spark, base)
+        return audit.select("city", "run_date", "status", "rows", "expected", "message")
+
+    return query
+
+
+def quarantine_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that are no documents, in every way that the load tells apart, and their audit."""
+    landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+    documents = source.documents(spark, folder, with_first_event=True)
+    kind = F.col("first_event") % 12
+    spoiled = (
+        F.when(kind == 0, F.expr("substr(text, 1, length(text) - 2)"))
+        .when(kind == 1, F.lit('{"error": true, "reason": "limit"}'))
+        .when(kind == 2, F.lit("[null]"))
+        .when(kind == 3, F.concat("text", F.lit(" garbage")))
+        .when(kind == 4, F.concat("text", "text"))
+        .when(kind == 5, F.concat("text", F.lit("\n"), "text"))
+        .when(kind == 6, F.lit("[]"))
+        .when(kind == 7, F.lit(""))
+        .when(kind == 8, F.replace("text", F.lit('"date":"2'), F.lit('"date":"no 2')))
+        .otherwise(F.col("text"))
+    )
+    documents = documents.withColumn("text", spoiled)
+    stray = kind == 9
+    write_documents(documents.where(~stray), f"{landing}/good")
+    documents.where(stray).select("text").write.option("maxRecordsPerFile", 1).text(f"{landing}/stray")
+    load_run(spark, landing, base, mode=REPLACE, file_pattern=FILES)
+    audit = read_audit(spark, base)
+    return audit.select("city", "run_date", "status", "rows", "message")
+
+
+def _one_document(spark: SparkSession, folder: str):
+    """The document with the first event, whose file the queries below name themselves."""
+    documents = source.documents(spark, folder, with_first_event=True)
+    first = documents.agg(F.min("first_event")).first()[0]
+    one = documents.where(F.col("first_event") == first)
+    return documents.where(F.col("first_event") != first), one.first()
+
+
+def incremental(files_per_batch: int | None = None) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+        write_documents(source.documents(spark, folder), landing)
+        incremental_load(
+            spark, landing, base, "feed", files_per_batch=files_per_batch, file_pattern=FILES
+        )
+        return read_table(spark, base, "hourly_weather_conditions")
+
+    return query
+
+
+def incremental_resent_key(spark: SparkSession, folder: str) -> DataFrame:
+    """One document is put again under its key, without its last hour."""
+    landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+    others, one = _one_document(spark, folder)
+    write_documents(others, landing)
+    put_document(spark, landing, one.city, one.run_date, one.text)
+    incremental_load(spark, landing, base, "feed", file_pattern=FILES)
+    shorter = json.dumps(json.loads(one.text)[:-1])
+    put_document(spark, landing, one.city, one.run_date, shorter)
+    incremental_load(spark, landing, base, "feed", file_pattern=FILES)
+    return read_table(spark, base, "hourly_weather_conditions")
+
+
+def incremental_old_file(spark: SparkSession, folder: str) -> DataFrame:
+    """One document arrives late, with a time long before the first load."""
+    landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+    others, one = _one_document(spark, folder)
+    write_documents(others, landing)
+    incremental_load(spark, landing, base, "feed", file_pattern=FILES)
+    before = datetime.datetime.now(datetime.timezone.utc) - datetime.timedelta(days=30)
+    put_document(spark, landing, one.city, one.run_date, one.text, before)
+    incremental_load(spark, landing, base, "feed", file_pattern=FILES)
     return read_table(spark, base, "hourly_weather_conditions")
 
 
@@ -289,5 +399,32 @@ QUERIES: dict[str, Query] = {
     "load_audit": load_audit,
     "publish_roundtrip": publish_roundtrip,
     "replace_batch": replace_batch,
-    "incremental_load": incremental,
+    "incremental_load": incremental(),
+    "incremental_in_parts": incremental(files_per_batch=500),
+    "incremental_resent_key": incremental_resent_key,
+    "incremental_old_file": incremental_old_file,
+    "quarantine_documents": quarantine_documents,
+    "load_run_all": load_documents(None),
+    "load_run_selected": load_documents("hourly_soil_conditions", selected=True),
+    "loaded_meteorological": load_documents("meteorological_calculations"),
+    "loaded_precip_evap": load_documents("hourly_precipitation_evaporation"),
+    "loaded_soil": load_documents("hourly_soil_conditions"),
+    "loaded_weather": load_documents("hourly_weather_conditions"),
+    "loaded_wind": load_documents("hourly_wind_atmospheric_conditions"),
+    "loaded_daily": load_documents(DAILY_TABLE),
+    "sql_preview_daily": by_statement("preview_daily"),
+    "sql_daily_extremes": by_statement("daily_extremes", date=DATE),
+    "sql_city_averages": by_statement("city_averages"),
+    "sql_temperatures": by_statement("temperatures", city=CITY, date=DATE, forecast=True),
+    "sql_day_over_day_city": by_statement(
+        "day_over_day_city", city=CITY, first_date=DATE, second_date=NEXT_DATE
+    ),
+    "sql_wide_report": by_statement(
+        "wide_report", city=CITY, first_date=FIRST_WEEK, last_date=THIRD_WEEK
+    ),
+    "labels_daily_extremes": labelled_report("daily_extremes", daily_extremes_on_date),
+    "labels_city_averages": labelled_report("city_averages", city_averages),
+    "labels_temperatures": labelled_report("temperatures", temps_forecast_true),
+    "labels_day_over_day": labelled_report("day_over_day", day_over_day_city),
+    "labels_wide_report": labelled_report("wide_report", wide_report),
 }

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.functions.rounding import steady_round
+from hourlake.functions.rounding import exact_mean
 from hourlake.schema import DAILY_TABLE
 
 JOIN_KEYS = ["city", "date", "hour"]
@@ -47,10 +47,10 @@ def city_averages(
         air.select(*JOIN_KEYS, "surface_pressure", "wind_speed_10m"), JOIN_KEYS
     )
     return joined.groupBy("city").agg(
-        steady_round(F.avg("snowfall"), fall_scale).alias("average_snowfall"),
-        steady_round(F.avg("rain"), fall_scale).alias("average_rain"),
-        steady_round(F.avg("surface_pressure"), air_scale).alias("average_surface_pressure"),
-        steady_round(F.avg("wind_speed_10m"), air_scale).alias("average_wind_speed_10m"),
+        exact_mean("snowfall", fall_scale).alias("average_snowfall"),
+        exact_mean("rain", fall_scale).alias("average_rain"),
+        exact_mean("surface_pressure", air_scale).alias("average_surface_pressure"),
+        exact_mean("wind_speed_10m", air_scale).alias("average_wind_speed_10m"),
     )
 
 
@@ -94,7 +94,7 @@ def _differences():
     ]
 
 
-# Measures of the wide report, by table.
+# Measures of the wide report, by table.
 WIDE_REPORT = {
     "hourly_weather_conditions": TEMPERATURES,
     "hourly_soil_conditions": [

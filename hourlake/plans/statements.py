@@ -5,7 +5,13 @@ Run with ``spark.sql(STATEMENTS[name], args)``.
 
 from __future__ import annotations
 
-# round(x, 11) first: see hourlake.functions.rounding
+# decimals of eleven places add up exactly: see hourlake.functions.rounding
+def _mean(column: str, scale: int) -> str:
+    total = f"cast(sum(cast({column} AS decimal(20, 11))) AS decimal(28, 11))"
+    mean = f"{total} / cast(count({column}) AS decimal(12, 0))"
+    return f"cast(round({mean}, {scale}) AS double)"
+
+
 STATEMENTS = {
     "preview_daily": """
         SELECT * FROM daily_weather_summary
@@ -16,12 +22,12 @@ STATEMENTS = {
         FROM daily_weather_summary
         WHERE date = :date AND NOT forecast_data
     """,
-    "city_averages": """
+    "city_averages": f"""
         SELECT w.city,
-               round(round(avg(p.snowfall), 11), 6) AS average_snowfall,
-               round(round(avg(p.rain), 11), 6) AS average_rain,
-               round(round(avg(w.surface_pressure), 11), 4) AS average_surface_pressure,
-               round(round(avg(w.wind_speed_10m), 11), 4) AS average_wind_speed_10m
+               {_mean("p.snowfall", 6)} AS average_snowfall,
+               {_mean("p.rain", 6)} AS average_rain,
+               {_mean("w.surface_pressure", 4)} AS average_surface_pressure,
+               {_mean("w.wind_speed_10m", 4)} AS average_wind_speed_10m
         FROM hourly_precipitation_evaporation p
         JOIN hourly_wind_atmospheric_conditions w USING (city, date, hour)
         WHERE NOT w.forecast_data AND NOT p.forecast_data
@@ -33,29 +39,43 @@ STATEMENTS = {
         WHERE forecast_data = :forecast AND date = :date AND city = :city
     """,
     "day_over_day_city": """
-        SELECT w1.hour,
-               w1.temperature_2m - w2.temperature_2m AS temperature_diff_2m,
-               w1.temperature_80m - w2.temperature_80m AS temperature_diff_80m,
-               w1.temperature_120m - w2.temperature_120m AS temperature_diff_120m
-        FROM hourly_weather_conditions w1
-        JOIN hourly_weather_conditions w2 ON w1.city = w2.city AND w1.hour = w2.hour
-        WHERE w1.date = :first_date AND w1.forecast_data
-          AND w2.date = :second_date AND NOT w2.forecast_data
-          AND w1.city = :city AND w2.city = :city
+        WITH chosen AS (
+            SELECT * FROM hourly_weather_conditions WHERE city = :city
+        ), forecast AS (
+            SELECT hour, temperature_2m AS low, temperature_80m AS middle, temperature_120m AS high
+            FROM chosen WHERE forecast_data AND date = :first_date
+        ), observed AS (
+            SELECT hour, temperature_2m AS low_seen, temperature_80m AS middle_seen,
+                   temperature_120m AS high_seen
+            FROM chosen WHERE NOT forecast_data AND date = :second_date
+        )
+        SELECT hour, low - low_seen AS temperature_diff_2m,
+               middle - middle_seen AS temperature_diff_80m,
+               high - high_seen AS temperature_diff_120m
+        FROM forecast JOIN observed USING (hour)
     """,
     "wide_report": """
-        SELECT city, date, hour,
-               h.temperature_2m, h.temperature_80m, h.temperature_120m,
-               s.soil_temperature_0cm, s.soil_temperature_6cm, s.soil_temperature_18cm,
-               w.wind_speed_10m, w.wind_speed_80m, w.wind_speed_120m,
-               m.heat_index, m.wind_chill, m.precipitation_rate,
-               m.potential_evapotranspiration, m.atmospheric_pressure_diff
-        FROM hourly_weather_conditions h
-        JOIN hourly_soil_conditions s USING (city, date, hour)
-        JOIN hourly_wind_atmospheric_conditions w USING (city, date, hour)
-        JOIN meteorological_calculations m USING (city, date, hour)
-        WHERE h.forecast_data AND s.forecast_data AND w.forecast_data AND m.forecast_data
-          AND city = :city AND date BETWEEN :first_date AND :last_date
+        WITH soil AS (
+            SELECT * EXCEPT (is_day, soil_moisture_0_to_1cm, soil_moisture_1_to_3cm,
+                             soil_moisture_3_to_9cm)
+            FROM hourly_soil_conditions
+            WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
+        ), wind AS (
+            SELECT city, date, hour, wind_speed_10m, wind_speed_80m, wind_speed_120m
+            FROM hourly_wind_atmospheric_conditions
+            WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
+        ), indices AS (
+            SELECT * EXCEPT (is_day, forecast_data)
+            FROM meteorological_calculations
+            WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
+        ), air AS (
+            SELECT city, date, hour, temperature_2m, temperature_80m, temperature_120m
+            FROM hourly_weather_conditions
+            WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
+        )
+        SELECT * EXCEPT (forecast_data)
+        FROM air JOIN soil USING (city, date, hour) JOIN wind USING (city, date, hour)
+             JOIN indices USING (city, date, hour)
         ORDER BY date NULLS LAST, hour NULLS LAST
     """,
     # every published table side by side, the daily one by city, date and half

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # no Python call site per column expression: it costs more than small queries do
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoints go when nothing uses them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -56,3 +58,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def write_aside(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``frame`` stored in the shared folder and read again, and the folder to drop afterwards."""
+    path = fresh_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``fresh_folder`` named, wherever it is stored."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

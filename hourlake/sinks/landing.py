@@ -1,12 +1,14 @@
-"""Hourly rows as JSON lines below city, year, month and day."""
+"""Hourly rows as JSON lines below city, year, month and day; single documents under their key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.functions.keys import iso_text
+from hourlake.functions.keys import DOCUMENT_NAME, iso_text
 from hourlake.schema import line_schema
 from hourlake.session import shuffle_partitions
 
@@ -46,3 +48,28 @@ def write_landing(df: DataFrame, path: str) -> None:
         .partitionBy(*PARTITIONS)
         .json(path)
     )
+
+
+def put_document(
+    spark: SparkSession,
+    path: str,
+    city: str,
+    run_date: datetime.date,
+    text: str,
+    modified: datetime.datetime | None = None,
+) -> str:
+    """Write one document under its key, in place of an earlier version; returns its path.
+
+    ``modified`` sets the time of the file, as a copy that keeps times does.
+    """
+    key = f"{city}/{run_date.year}/{run_date.month}/{run_date.day}/{DOCUMENT_NAME}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{key}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if modified is not None:
+        system.setTimes(target, int(modified.timestamp() * 1000), -1)
+    return target.toString()

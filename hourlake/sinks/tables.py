@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.schema import BATCH_KEYS, DAILY_TABLE, HOUR_KEYS
-from hourlake.sources.tables import read_table, table_exists, table_path
+from hourlake.sources.tables import loads_path, read_unloaded, table_exists, table_path
 
 APPEND = "append"
 REPLACE = "replace_batch"
+MODES = (APPEND, REPLACE)
 
 
 def write_tables(
@@ -20,15 +21,16 @@ def write_tables(
     mode: str = APPEND,
     batch_keys: list[str] = BATCH_KEYS,
 ) -> None:
-    """Write tables as Parquet below ``base``, partitioned by date.
+    """Write tables as Parquet below ``base``, partitioned by date, outside of any load.
 
-    ``append`` adds rows. ``replace_batch`` first drops the published rows of every batch
+    Documents are published by ``plans.load``, which never rewrites; this is for frames that have
+    no documents. ``append`` adds rows. ``replace_batch`` first drops the published rows of every batch
     (city and date) that the new rows contain, so that a second load changes nothing; only
     the dates concerned are rewritten. Where one document covers two dates, one per half, a
     batch is city, date and forecast_data: pass those as ``batch_keys``. The daily table
-    goes last.
+    goes last. Whole dates are rewritten, so no two replacements may run at a time.
     """
-    if mode not in (APPEND, REPLACE):
+    if mode not in MODES:
         raise ValueError(f"mode must be {APPEND!r} or {REPLACE!r}, not {mode!r}")
     for name in sorted(tables, key=lambda n: n == DAILY_TABLE):
         table = tables[name]
@@ -39,6 +41,12 @@ def write_tables(
             writer.parquet(table_path(base, name))
 
 
+def write_load(table: DataFrame, base: str, name: str, load_id: str) -> None:
+    """Rows of a load that are arranged already, in its own folder: no exchange, only a projection."""
+    folder = f"{loads_path(base, name)}/load_id={load_id}"
+    table.write.partitionBy("date").parquet(folder)
+
+
 def arrange(df: DataFrame) -> DataFrame:
     """Rows grouped by date and sorted, for few and well-sorted files per date.
 
@@ -55,7 +63,7 @@ def arrange(df: DataFrame) -> DataFrame:
 
 
 def _replace(incoming: DataFrame, base: str, name: str, batch_keys: list[str]) -> None:
-    published = read_table(incoming.sparkSession, base, name)
+    published = read_unloaded(incoming.sparkSession, base, name)
     # one row per day: bounded by the calendar, and it makes the read prune partitions
     dates = [r["date"] for r in incoming.select("date").distinct().collect()]
     concerned = F.col("date").isin([d for d in dates if d is not None])
@@ -118,8 +126,16 @@ def write_tables_jdbc(
     driver: str = "org.postgresql.Driver",
     connections: int = 16,
 ) -> None:
-    """Append tables over JDBC, from at most ``connections`` tasks at a time."""
+    """Append tables over JDBC, from ``connections`` tasks.
+
+    An exchange stands between the work that makes a table and the few tasks that write it: with
+    ``numPartitions`` alone, Spark would do all of that work in those tasks. Pass published tables
+    (``read_tables``), or the documents are parsed once per table.
+    """
     for name, table in tables.items():
         options = jdbc_options(url, name, user, password, driver)
-        writer = table.write.format("jdbc").options(**options)
-        writer.option("numPartitions", connections).mode("append").save()
+        jdbc_rows(table, connections).write.format("jdbc").options(**options).mode("append").save()
+
+
+def jdbc_rows(table: DataFrame, connections: int) -> DataFrame:
+    return table.repartition(connections)

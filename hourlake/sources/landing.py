@@ -4,9 +4,14 @@ Layout ``object_key``: one JSON array per file below ``city/year/month/day/``.
 Layout ``hive``: JSON lines below ``city=/year=/month=/day=/``, where every line carries
 its place in the document, so files may be split freely.
 
-Both are read as text and parsed with the fixed schema, once. A row of an array gets its
-place from the array itself, so numbering a document needs no exchange. One task reads a
-document whole; data too large for that is landed as lines.
+Both are parsed with the fixed schema, once. A row of an array gets its place from the array
+itself, so numbering a document needs no exchange. One task reads a document whole; data too
+large for that is landed as lines.
+
+Every document gives at least one row, with its ``status``: ``loaded`` rows are hours, and an
+``empty`` or ``quarantined`` document has one row without an hour. Quarantined is what is not an
+array of objects and nothing else, what has no city or run date, and what has an hour without a
+date; such a document gives no hour at all, and its text is kept with the reason.
 """
 
 from __future__ import annotations
@@ -18,11 +23,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.functions.keys import city_of_path, run_date_of_path
+from hourlake.functions.keys import city_of_path, run_date_of_path, text_to_date
 from hourlake.schema import landing_schema, line_schema
 
 DOCUMENT_KEYS = ["city", "run_date", "file"]
+#: What tells a document, and one version of it, from others.
+VERSION = ["document", "modified", "size"]
+
+LOADED = "loaded"
+EMPTY = "empty"
+QUARANTINED = "quarantined"
+
 UNPARSEABLE = "not a JSON document"
+NOT_OBJECTS = "not an array of objects"
+NOT_UTF8 = "not UTF-8 text"
+NO_KEY = "no city or run date in the path"
+NO_DATE = "hour without a date"
 NO_PLACE = "line without a place in its document"
 
 _DOCUMENT_ROW = T.StructType(
@@ -30,6 +46,9 @@ _DOCUMENT_ROW = T.StructType(
         T.StructField("city", T.StringType()),
         T.StructField("run_date", T.DateType()),
         T.StructField("file", T.StringType()),
+        T.StructField("document", T.StringType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("size", T.LongType()),
         T.StructField("text", T.StringType()),
     ]
 )
@@ -44,10 +63,6 @@ def read_landing(
     file_pattern: str = "*.json",
 ) -> tuple[DataFrame, DataFrame]:
     """Hourly rows of good documents, and the rejected documents."""
-    run_date = _as_date(run_date)
-    if layout == "object_key":
-        documents = _documents(spark, path, run_date, cities, file_pattern)
-        return document_rows(documents), rejected_documents(documents)
     return split_rejected(read_rows(spark, path, layout, run_date, cities, file_pattern))
 
 
@@ -70,88 +85,140 @@ def read_rows(
 
 def split_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good and rejected rows of one frame, which should be stored or cheap to read twice."""
-    good = rows.where(F.col("reason").isNull()).drop("text", "reason")
-    bad = rows.where(F.col("reason").isNotNull())
+    good = rows.where(F.col("status") == LOADED).drop("text", "reason", "status", *VERSION)
+    bad = rows.where(F.col("status") == QUARANTINED)
     return good, bad.select("city", "run_date", "file", "text", "reason")
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:
-    """Rows of documents given as ``city, run_date, file, text``.
+    """Rows of documents given as ``city, run_date, file, text``, and their status.
 
-    A document that is no JSON gives one row with ``reason`` and ``text``. A value that
-    is NULL, absent or of another type is NULL; the other values stay.
+    A value that is NULL, absent or of another type is NULL; the other values stay. Without the
+    columns ``document``, ``modified`` and ``size`` a document is known by its file.
     """
-    parsed = _parsed(documents)
-    rejected = F.col("_hours").isNull()
-    sized = parsed.select(
+    given = documents.columns
+    versions = {
+        "document": F.col("document") if "document" in given else F.col("file"),
+        "modified": F.col("modified") if "modified" in given else F.lit(None).cast("timestamp"),
+        "size": F.col("size") if "size" in given else F.octet_length("text").cast("long"),
+    }
+    # in an array of its own, anything after the document's array shows
+    wrapped = F.concat(F.lit("["), F.col("text"), F.lit("]"))
+    arrays = F.from_json(wrapped, T.ArrayType(T.ArrayType(landing_schema())))
+    parsed = documents.withColumns(versions).withColumn("_arrays", arrays)
+    hours = F.get("_arrays", F.lit(0))
+    blank = F.trim(F.regexp_replace("text", r"\s", "")) == ""
+    no_hour = F.lit(None).cast(T.ArrayType(landing_schema()))
+    parsed = parsed.withColumn(
+        "_hours", F.when(blank, F.array().cast(T.ArrayType(landing_schema()))).when(F.size("_arrays") == 1, hours).otherwise(no_hour)
+    )
+    opens = F.regexp_replace("text", r"^\s+", "").startswith("[")
+    reason = (
+        F.when(F.col("text").isNull(), F.lit(NOT_UTF8))
+        .when(F.col("city").isNull() | F.col("run_date").isNull(), F.lit(NO_KEY))
+        .when(F.col("_hours").isNull() & ~opens & F.try_parse_json("text").isNotNull(), F.lit(NOT_OBJECTS))
+        .when(F.col("_hours").isNull(), F.lit(UNPARSEABLE))
+        .when(F.exists("_hours", lambda h: h.isNull()), F.lit(NOT_OBJECTS))
+        .when(F.exists("_hours", lambda h: text_to_date(h["date"]).isNull()), F.lit(NO_DATE))
+    )
+    judged = parsed.withColumn("reason", reason)
+    bad, size = F.col("reason").isNotNull(), F.size("_hours").cast("long")
+    status = F.when(bad, F.lit(QUARANTINED)).when(size == 0, F.lit(EMPTY)).otherwise(F.lit(LOADED))
+    sized = judged.withColumn("status", status).withColumn("_loaded", F.col("status") == LOADED)
+    rows = sized.select(
         *DOCUMENT_KEYS,
-        F.when(rejected, F.col("text")).alias("text"),
-        F.when(rejected, F.lit(UNPARSEABLE)).alias("reason"),
-        F.size("_hours").cast("long").alias("doc_rows"),
-        # a rejected document keeps one row; an empty array has no rows
+        *VERSION,
+        "status",
+        F.when(bad, F.col("text")).alias("text"),
+        "reason",
+        F.when(F.col("_loaded"), size).alias("doc_rows"),
+        "_loaded",
+        # a document without hours keeps one row
         F.posexplode(
-            F.coalesce("_hours", F.array(F.lit(None).cast(landing_schema())))
+            F.when(F.col("_loaded"), F.col("_hours")).otherwise(F.array(F.lit(None).cast(landing_schema())))
         ).alias("_pos", "_hour"),
     )
-    return sized.select(
+    return rows.select(
         *DOCUMENT_KEYS,
+        *VERSION,
+        "status",
         "text",
         "reason",
-        F.when(F.col("reason").isNull(), F.col("_pos").cast("long")).alias("pos"),
-        F.when(F.col("reason").isNull(), F.col("doc_rows")).alias("doc_rows"),
+        F.when(F.col("_loaded"), F.col("_pos").cast("long")).alias("pos"),
+        "doc_rows",
         "_hour.*",
     )
 
 
-def document_rows(documents: DataFrame) -> DataFrame:
-    """Rows of the documents that parse. No filter, which would parse a second time."""
-    size = F.size("_hours").cast("long").alias("doc_rows")
-    rows = _parsed(documents).select(
-        *DOCUMENT_KEYS, size, F.posexplode("_hours").alias("_pos", "_hour")
+def document_columns(path: Column) -> list[Column]:
+    return [
+        city_of_path(path).alias("city"),
+        run_date_of_path(path).alias("run_date"),
+        path.alias("file"),
+        path.alias("document"),
+    ]
+
+
+def listed_versions(files: DataFrame) -> DataFrame:
+    """(document, modified, size) of all files of a frame of binary files.
+
+    Spark reads no file without bytes, but its index lists it; such a file has no time here.
+    """
+    read = files.select(
+        F.col("_metadata.file_path").alias("document"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("size"),
     )
-    return rows.select(
-        *DOCUMENT_KEYS, F.col("_pos").cast("long").alias("pos"), "doc_rows", "_hour.*"
+    spark = files.sparkSession
+    # an empty authority is written in one of two ways; rows of files have the shorter one
+    paths = [(path.replace(":///", ":/", 1),) for path in files.inputFiles()]
+    listed = spark.createDataFrame(paths, "document string")
+    empty = listed.join(read, "document", "left_anti").select(
+        "document", F.timestamp_seconds(F.lit(0)).alias("modified"), F.lit(0).cast("long").alias("size")
     )
+    return read.unionByName(empty)
 
 
-def rejected_documents(documents: DataFrame) -> DataFrame:
-    """The documents that do not parse, with their text."""
-    return (
-        _parsed(documents)
-        .where(F.col("_hours").isNull())
-        .select(*DOCUMENT_KEYS, "text", F.lit(UNPARSEABLE).alias("reason"))
+def empty_documents(versions: DataFrame) -> DataFrame:
+    """The documents among ``versions`` that have no bytes."""
+    return versions.where("size = 0").select(
+        *document_columns(F.col("document")), "modified", "size", F.lit("").alias("text")
     )
 
 
-def _parsed(documents: DataFrame) -> DataFrame:
-    hours = F.from_json("text", T.ArrayType(landing_schema()))
-    return documents.select(*DOCUMENT_KEYS, "text", hours.alias("_hours"))
+def documents_in(files: DataFrame) -> DataFrame:
+    """Documents of a frame of binary files; a file that is no UTF-8 has no text."""
+    return files.select(
+        *document_columns(F.col("_metadata.file_path")),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("size"),
+        F.try_validate_utf8(F.col("content").cast("string")).alias("text"),
+    )
 
 
-def document_columns(path: Column, text: Column) -> list[Column]:
-    return [
-        city_of_path(path).alias("city"),
-        run_date_of_path(path).alias("run_date"),
-        path.alias("file"),
-        text.alias("text"),
-    ]
+def binary_files(spark: SparkSession, root: str, pattern: str) -> DataFrame | None:
+    """The files below ``root``; None where there is no such folder."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        return reader.option("pathGlobFilter", pattern).load(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def _documents(spark, path, run_date, cities, pattern) -> DataFrame:
     # a pattern only as far as a choice needs one; below it, listing is distributed
     root = path.rstrip("/")
     if cities or run_date:
-        root += "/{" + ",".join(_glob_text(c) for c in cities) + "}" if cities else "/*"
+        root += "/" + _either("city", cities) if cities else "/*"
     if run_date:
-        root += f"/{run_date.year}/{run_date.month}/{run_date.day}"
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    try:
-        files = reader.text(root, wholetext=True)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+        day = {"year": run_date.year, "month": run_date.month, "day": run_date.day}
+        root += "".join("/" + _either(name, [str(value)]) for name, value in day.items())
+    files = binary_files(spark, root, pattern)
+    if files is None:
         return spark.createDataFrame([], _DOCUMENT_ROW)
-    return files.select(*document_columns(F.col("_metadata.file_path"), F.col("value")))
+    return documents_in(files).unionByName(empty_documents(listed_versions(files)))
 
 
 def _lines(spark, path, run_date, cities) -> DataFrame:
@@ -170,6 +237,8 @@ def _lines(spark, path, run_date, cities) -> DataFrame:
         "city",
         F.try_to_date(F.concat_ws("-", "year", "month", "day"), "yyyy-M-d").alias("run_date"),
         F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_size").alias("size"),
         F.col("value").alias("text"),
     )
 
@@ -179,15 +248,25 @@ def _parse_lines(lines: DataFrame) -> DataFrame:
     schema = T.StructType(line_schema().fields + [corrupt])
     hour = F.from_json("text", schema, {"columnNameOfCorruptRecord": "_corrupt"})
     parsed = lines.withColumn("_hour", hour)
-    reason = F.when(
-        F.col("_hour._corrupt").isNotNull() | F.col("_hour").isNull(), F.lit(UNPARSEABLE)
-    ).when(F.col("_hour.pos").isNull() | F.col("_hour.doc_rows").isNull(), F.lit(NO_PLACE))
-    return parsed.select(
+    reason = (
+        F.when(F.col("city").isNull() | F.col("run_date").isNull(), F.lit(NO_KEY))
+        .when(F.col("_hour._corrupt").isNotNull() | F.col("_hour").isNull(), F.lit(UNPARSEABLE))
+        .when(F.col("_hour.pos").isNull() | F.col("_hour.doc_rows").isNull(), F.lit(NO_PLACE))
+        .when(text_to_date(F.col("_hour.date")).isNull(), F.lit(NO_DATE))
+    )
+    judged = parsed.withColumn("reason", reason)
+    # the lines of a document may be in several files
+    document = F.concat_ws("/", "city", F.col("run_date").cast("string"))
+    return judged.select(
         "city",
         "run_date",
         "file",
-        F.when(reason.isNotNull(), F.col("text")).alias("text"),
-        reason.alias("reason"),
+        document.alias("document"),
+        "modified",
+        "size",
+        F.when(F.col("reason").isNull(), F.lit(LOADED)).otherwise(F.lit(QUARANTINED)).alias("status"),
+        F.when(F.col("reason").isNotNull(), F.col("text")).alias("text"),
+        "reason",
         *[F.col(f"_hour.{f.name}").alias(f.name) for f in line_schema().fields],
     )
 
@@ -196,5 +275,11 @@ def _as_date(run_date: datetime.date | str | None) -> datetime.date | None:
     return datetime.date.fromisoformat(run_date) if isinstance(run_date, str) else run_date
 
 
+def _either(name: str, values: list[str]) -> str:
+    """A pattern for folders called as one of the values, with or without ``name=``."""
+    texts = [_glob_text(v) for v in values]
+    return "{" + ",".join([*texts, *(f"{name}={t}" for t in texts)]) + "}"
+
+
 def _glob_text(name: str) -> str:
     return "".join("\\" + ch if ch in "\\{}[]*?,^" else ch for ch in name)

@@ -15,10 +15,12 @@ def explode_payload(
     """One row per position of the arrays, with ``date``, ``pos`` and ``doc_rows``.
 
     ``df`` has ``start_epoch`` and one array per variable; its other columns are kept.
-    A variable without a column, or with a NULL array, gives NULLs. ``time_axis`` is
+    A variable without a column, or with a NULL array, gives NULLs; one column there must be. ``time_axis`` is
     ``"start"`` (the start time on every row) or ``"hourly"`` (one hour per position).
     """
     present = [v for v in variables if v in df.columns]
+    if not present:
+        raise ValueError("the payloads have none of the variables, so their length is unknown")
     kept = [c for c in df.columns if c not in variables and c != "start_epoch"]
     # arrays_zip is NULL as soon as one array is, so a NULL array counts as empty
     arrays = [F.coalesce(F.col(v), F.array().cast("array<double>")).alias(v) for v in present]

@@ -4,32 +4,93 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourlake.schema import TABLE_NAMES, table_columns, table_schema
+from hourlake.schema import DAILY_TABLE, TABLE_NAMES, table_columns, table_schema
+
+
+MANIFEST = "load_manifest"
 
 
 def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+def loads_path(base: str, name: str) -> str:
+    return f"{base.rstrip('/')}/loads/{name}"
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """One table; the schema is fixed, so no file is opened to find it."""
+    """One table; the schema is fixed, so no file is opened to find it.
+
+    Rows that loads have written count as far as the manifests call them current; rows that were
+    written without a load (``write_tables``) always do.
+    """
+    manifest = read_manifest(spark, base)
+    if manifest is None:
+        return read_unloaded(spark, base, name)
+    schema = table_schema(name).add("document", "string").add("load_id", "string")
+    written = _existing(spark, loads_path(base, name), schema)
+    if written is None:  # no load has had a row for it
+        written = spark.createDataFrame([], schema)
+    # a manifest row per document and load; small next to the hours, and Spark sees how small
+    loaded = written.join(current_versions(manifest), ["document", "load_id"], "left_semi")
+    table = loaded.select(*table_columns(name))
+    if table_exists(spark, base, name):
+        table = table.unionByName(read_unloaded(spark, base, name))
+    return table
+
+
+def read_unloaded(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The rows that were written without a load."""
     table = spark.read.schema(table_schema(name)).parquet(table_path(base, name))
     return table.select(*table_columns(name))
 
 
+def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_manifest(spark: SparkSession, base: str) -> DataFrame | None:
+    """Versions of documents by load, or None before the first load."""
+    schema = (
+        "document string, modified timestamp, size long, status string, feed string, batch int, "
+        "replaces boolean, published timestamp, load_id string"
+    )
+    return _existing(spark, table_path(base, MANIFEST), schema)
+
+
+def current_versions(manifest: DataFrame) -> DataFrame:
+    """(document, load_id) whose rows count: from the last replacing load of a document on.
+
+    A quarantined version replaces nothing: what was published stays.
+    """
+    known = manifest.where("status <> 'quarantined'").select(
+        "document", "load_id", "replaces", F.struct("published", "load_id").alias("order")
+    ).distinct()
+    last = known.groupBy("document").agg(
+        F.max(F.when(F.col("replaces"), F.col("order"))).alias("since")
+    )
+    return (
+        known.join(last, "document")
+        .where(F.col("since").isNull() | (F.col("order") >= F.col("since")))
+        .select("document", "load_id")
+        .distinct()
+    )
+
+
 def read_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, base, name) for name in TABLE_NAMES}
 
 
 def table_exists(spark: SparkSession, base: str, name: str) -> bool:
-    try:
-        read_table(spark, base, name)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether rows were written without a load."""
+    return _existing(spark, table_path(base, name), table_schema(name)) is not None
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
@@ -38,20 +99,29 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
+def jdbc_predicates(dates: list[str] | None, parts: int) -> list[str]:
+    """Conditions of the reading tasks: by date if there are dates, and each in ``parts`` by hour."""
+    hours = [f"mod(hour, {parts}) = {i}" for i in range(parts)] if parts > 1 else [""]
+    days = [f"date = DATE '{d}'" for d in dates] if dates is not None else [""]
+    conditions = [" AND ".join(c for c in (day, hour) if c) for day in days for hour in hours]
+    return [c or "1 = 1" for c in conditions]
+
+
 def read_table_jdbc(
     spark: SparkSession,
     url: str,
     name: str,
     user: str,
     password: str,
-    dates: list[str],
+    dates: list[str] | None = None,
+    parts: int = 1,
     driver: str = "org.postgresql.Driver",
 ) -> DataFrame:
-    """One table over JDBC, read by one task per date.
+    """One table over JDBC: the whole of it, or the days ``dates`` (``yyyy-MM-dd``).
 
-    ``dates`` are the days of interest, as ``yyyy-MM-dd``.
+    Each day, or the whole table, is read by ``parts`` tasks, which share its hours; the daily
+    table has no hours and is read with one.
     """
     properties = {"user": user, "password": password, "driver": driver}
-    return spark.read.jdbc(
-        url, name, predicates=[f"date = DATE '{d}'" for d in dates], properties=properties
-    )
+    predicates = jdbc_predicates(dates, 1 if name == DAILY_TABLE else parts)
+    return spark.read.jdbc(url, name, predicates=predicates, properties=properties)

@@ -5,51 +5,74 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.plans.load import publish_rows, short_name
-from hourlake.schema import BATCH_KEYS
+from hourlake.plans.load import publish_rows, report_missing_documents, short_name
+from hourlake.session import drop_folder, write_aside
 from hourlake.sinks.tables import REPLACE
-from hourlake.sources.landing import document_columns, parse_documents
+from hourlake.sources.landing import (
+    VERSION,
+    binary_files,
+    documents_in,
+    empty_documents,
+    listed_versions,
+    parse_documents,
+)
+from hourlake.sources.tables import read_manifest
 
 
 def incremental_load(
     spark: SparkSession,
     landing: str,
     base: str,
-    checkpoint: str,
+    progress: str,
     mode: str = REPLACE,
     expected: DataFrame | None = None,
     files_per_batch: int | None = None,
     file_pattern: str = "*.json",
     first_half_flag: bool = True,
-    batch_keys: list[str] = BATCH_KEYS,
 ) -> None:
     """Publish new documents below ``landing`` and stop when none is left.
 
-    A document is one file and a file is never split over micro-batches, so each batch
-    is complete in itself and no state or watermark is needed. With ``replace_batch`` a
-    repeated micro-batch changes nothing.
+    A version of a document is its path, time and size: the listing is joined to the versions
+    that the manifests of this feed (``progress`` names it) have, so a document that is put again
+    is read again, and no age matters. A load that fails has no manifest, is not seen and is done
+    again; nothing is published twice. ``files_per_batch`` bounds what is read at a time, on
+    average, and has no influence on the result. What is missing of ``expected`` is reported once,
+    after all documents have been seen.
     """
-    reader = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", file_pattern)
-    )
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    documents = reader.load(landing).select(
-        *document_columns(F.col("_metadata.file_path"), F.col("value"))
-    )
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_documents(batch)
-        load_id = f"batch-{short_name(checkpoint)}-{batch_id}"
-        publish_rows(rows, base, expected, mode, load_id, first_half_flag, batch_keys)
-
-    query = (
-        documents.writeStream.foreachBatch(publish)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    feed = short_name(progress)
+    manifest = read_manifest(spark, base)
+    files = binary_files(spark, landing, file_pattern)
+    if files is not None:
+        batch = 0
+        listed = listed_versions(files)
+        if manifest is not None:
+            own = manifest.where(F.col("feed") == feed)
+            batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
+            listed = listed.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
+        arrivals, folder = write_aside(listed, "arrivals")
+        try:
+            _publish_arrivals(files, arrivals, base, expected, mode, feed, batch, files_per_batch, first_half_flag)
+        finally:
+            drop_folder(spark, folder)
+    if expected is not None and read_manifest(spark, base) is not None:
+        report_missing_documents(spark, base, expected, f"missing-{feed}")
+
+
+def _publish_arrivals(
+    files, arrivals, base, expected, mode, feed, batch, files_per_batch, first_half_flag
+) -> None:
+    found = arrivals.agg(
+        F.count("*").alias("n"), F.min("modified").alias("first"), F.max("modified").alias("last")
+    ).first()
+    parts = -(-found["n"] // files_per_batch) if files_per_batch else min(1, found["n"])
+    for part in range(parts):
+        share = F.pmod(F.xxhash64(*VERSION), F.lit(parts)) == part
+        # the times reach the scan, which opens no other file
+        recent = files.where(F.col("modificationTime").between(found["first"], found["last"]))
+        documents = documents_in(recent).join(arrivals.where(share), VERSION, "left_semi")
+        documents = documents.unionByName(empty_documents(arrivals.where(share)))
+        load_id = f"batch-{feed}-{batch + part}"
+        rows = parse_documents(documents)
+        publish_rows(
+            rows, base, expected, mode, load_id, first_half_flag, feed, batch + part, report_missing=False
+        )

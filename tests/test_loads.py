@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import datetime
+import glob
+import json
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from hourlake.operators.audit import load_audit
+from hourlake.plans import load
 from hourlake.plans.load import load_run, read_audit
-from hourlake.schema import DAY_KEYS, HOUR_KEYS
+from hourlake.schema import HOUR_KEYS
+from hourlake.session import shared_folder
 from hourlake.sinks.landing import write_landing
 from hourlake.sinks.tables import APPEND, REPLACE
 from hourlake.sources.cities import expected_documents
@@ -108,23 +115,164 @@ def test_incremental_equals_batch(spark, tmp_path):
     ]
 
 
-def test_incremental_in_small_steps_and_sent_again(spark, tmp_path):
+@pytest.mark.parametrize("files_per_batch", [None, 1])
+def test_documents_of_one_day_and_a_key_sent_again(spark, tmp_path, files_per_batch):
+    landing = str(tmp_path / "landing")
+    base, progress = str(tmp_path / "tables"), str(tmp_path / "progress")
+    day = "2025-01-02"
+    put_document(landing, "Dubai", day, hours(0, 6), "a.json")
+    put_document(landing, "Dubai", day, hours(100, 4), "b.json")
+    put_document(landing, "Tokyo", day, hours(200, 2))
+
+    def load():
+        incremental_load(spark, landing, base, progress, files_per_batch=files_per_batch)
+        weather = read_tables(spark, base)["hourly_weather_conditions"]
+        return [r[0] for r in rows(weather, "relative_humidity_2m")]
+
+    assert load() == sorted([*range(6), *range(100, 104), 200, 201], key=repr)
+    # the same key again, shorter: the other document of the day stays
+    put_document(landing, "Dubai", day, hours(500, 3), "a.json")
+    assert load() == sorted([500, 501, 502, *range(100, 104), 200, 201], key=repr)
+    # an emptied document takes its rows along; a broken one does not
+    put_document(landing, "Dubai", day, "[]", "b.json")
+    put_document(landing, "Tokyo", day, "[{")
+    assert load() == sorted([500, 501, 502, 200, 201], key=repr)
+    assert load() == sorted([500, 501, 502, 200, 201], key=repr)
+
+
+def test_an_old_file_that_arrives_late_is_loaded(spark, tmp_path):
     landing = str(tmp_path / "landing")
     base, progress = str(tmp_path / "tables"), str(tmp_path / "progress")
     put_day(landing, "2025-01-02")
-    incremental_load(spark, landing, base, progress, files_per_batch=1)
-    # Dubai sends its day again, shorter
-    put_document(
-        landing, "Dubai", "2025-01-02", hours(500, 4, "2025-01-02T00:00:00.000Z"), "again.json"
-    )
-    incremental_load(spark, landing, base, progress, files_per_batch=1)
+    incremental_load(spark, landing, base, progress)
+    folder = put_document(landing, "Old", "2024-11-30", hours(0, 5))
+    long_ago = time.time() - 30 * 86_400
+    os.utime(f"{folder}/weather_data.json", (long_ago, long_ago))
+    incremental_load(spark, landing, base, progress)
+    weather = read_tables(spark, base)["hourly_weather_conditions"]
+    assert weather.where("city = 'Old'").count() == 5
+    assert read_audit(spark, base).where("city = 'Old'").count() == 1
+
+
+def test_missing_documents_are_reported_once(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    base, progress = str(tmp_path / "tables"), str(tmp_path / "progress")
+    put_day(landing, "2025-01-02")
+    expected = expected_documents(spark, "2025-01-02", [*CITIES, "Berlin"])
+    for _ in range(2):
+        incremental_load(spark, landing, base, progress, expected=expected, files_per_batch=1)
+        audit = read_audit(spark, base)
+        assert rows(audit, "city", "status", "expected") == sorted(
+            [(c, "loaded", True) for c in CITIES] + [("Berlin", "missing", True)]
+        )
+    put_document(landing, "Berlin", "2025-01-02", hours(0, 2))
+    incremental_load(spark, landing, base, progress, expected=expected)
+    assert read_audit(spark, base).where("status = 'missing'").count() == 0
+
+
+def test_a_load_without_manifest_is_not_seen(spark, tmp_path, monkeypatch):
+    landing = str(tmp_path / "landing")
+    base, progress = str(tmp_path / "tables"), str(tmp_path / "progress")
+    put_day(landing, "2025-01-02")
+    write = load._write_by_load
+
+    def fail(table, base, name, load_id):
+        if name == "load_manifest":
+            raise RuntimeError("lost")
+        write(table, base, name, load_id)
+
+    monkeypatch.setattr(load, "_write_by_load", fail)
+    with pytest.raises(RuntimeError):
+        incremental_load(spark, landing, base, progress, mode=APPEND)
+    monkeypatch.undo()
+    incremental_load(spark, landing, base, progress, mode=APPEND)
+    incremental_load(spark, landing, base, progress, mode=APPEND)
     weather = read_tables(spark, base)["hourly_weather_conditions"]
-    assert weather.where("city = 'Dubai'").count() == 4
-    assert weather.where("city = 'Dubai' and relative_humidity_2m >= 500").count() == 4
-    assert weather.count() == 16
+    assert weather.count() == 6 * len(CITIES)
+
+
+def test_loads_of_two_cities_at_one_time(spark, tmp_path):
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
+    put_day(landing, "2025-01-02")
+    load_run(spark, landing, base, mode=REPLACE)
+    put_day(landing, "2025-01-02", ["Dubai", "New York"], count=4, shift=700)
+    files = set(glob.glob(f"{base}/loads/*/load_id=*/date=*/*.parquet"))
+    with ThreadPoolExecutor(2) as pool:
+        for done in [
+            pool.submit(load_run, spark, landing, base, cities=[c], mode=REPLACE)
+            for c in ("Dubai", "New York")
+        ]:
+            done.result()
+    weather = read_tables(spark, base)["hourly_weather_conditions"]
+    got = rows(weather.groupBy("city").count(), "city", "count")
+    assert got == [("Cape Town", 6), ("Dubai", 4), ("New York", 4)]
+    # nothing that was published is rewritten
+    assert files <= set(glob.glob(f"{base}/loads/*/load_id=*/date=*/*.parquet"))
+
+
+def test_one_exchange_for_the_hourly_tables(spark, tmp_path, monkeypatch):
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
+    put_day(landing, "2025-01-02")
+    plans = {}
+    write = load.write_load
+
+    def keep(table, base, name, load_id):
+        plans[name] = table._jdf.queryExecution().executedPlan().toString()
+        write(table, base, name, load_id)
+
+    monkeypatch.setattr(load, "write_load", keep)
+    load_run(spark, landing, base)
+    assert {n for n, plan in plans.items() if "Exchange" in plan} == {"daily_weather_summary"}
+
+
+def test_what_is_no_document_is_set_aside_whole(spark, tmp_path):
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
+    good = json.dumps(hours(0, 2))
+    cases = {
+        "object": ('{"error": true, "reason": "limit"}', "quarantined", "not an array of objects"),
+        "null": ("[null]", "quarantined", "not an array of objects"),
+        "number": ("[1]", "quarantined", "not a JSON document"),
+        "nulls": (good[:-1] + ", null]", "quarantined", "not an array of objects"),
+        "two": (good + good, "quarantined", "not a JSON document"),
+        "lines": (good + "\n" + good, "quarantined", "not a JSON document"),
+        "listed": (good + "," + good, "quarantined", "not a JSON document"),
+        "garbage": (good + " garbage", "quarantined", "not a JSON document"),
+        "cut": (good[:-2], "quarantined", "not a JSON document"),
+        "undated": ('[{"rain": 1.0}]', "quarantined", "hour without a date"),
+        "misdated": ('[{"date": "soon", "rain": 1.0}]', "quarantined", "hour without a date"),
+        "none": ("[]", "empty", "no hours"),
+        "blank": (" \n", "empty", "no hours"),
+        "zero": ("", "empty", "no hours"),
+        "good": (" " + good + "\n", "loaded", None),
+    }
+    for city, (text, _, _) in cases.items():
+        put_document(landing, city, "2025-01-02", text)
+    put_document(landing, "Thirteen", "2025-13-02", good)
+    with open(f"{landing}/stray.json", "w", encoding="utf-8") as out:
+        out.write(good)
+    with open(f"{put_document(landing, 'bytes', '2025-01-02', good)}/weather_data.json", "wb") as out:
+        out.write(b'[{"date": "2025-01-02", "x": "\xff"}]')
+    load_run(spark, landing, base)
+    wanted = [(c, status, message) for c, (_, status, message) in cases.items()]
+    wanted += [("Thirteen", "quarantined", "no city or run date in the path")]
+    wanted += [(None, "quarantined", "no city or run date in the path")]
+    wanted += [("bytes", "quarantined", "not UTF-8 text")]
+    got = rows(read_audit(spark, base), "city", "status", "message")
+    assert got == sorted(wanted, key=repr)
+    for table in read_tables(spark, base).values():
+        assert {r.city for r in table.select("city").collect()} == {"good"}
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
+    put_day(landing, "2025-01-02")
+    before = set(os.listdir(shared_folder(spark)))
+    load_run(spark, landing, base, expected=expected_documents(spark, "2025-01-02", CITIES))
+    incremental_load(spark, landing, base, "feed")
+    assert set(os.listdir(shared_folder(spark))) == before
 
 
-def test_hourly_axis_batches_are_halves(spark, tmp_path):
+def test_a_document_over_two_dates_is_replaced_whole(spark, tmp_path):
     """One document covers two dates; the next run adds the other half of the second."""
     landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
     first = hours(0, 2, "2025-01-01T00:00:00.000Z") + hours(2, 2, "2025-01-02T00:00:00.000Z")
@@ -132,7 +280,7 @@ def test_hourly_axis_batches_are_halves(spark, tmp_path):
     put_document(landing, "A", "2025-01-02", first)
     put_document(landing, "A", "2025-01-03", second)
     for day in ("2025-01-02", "2025-01-03", "2025-01-03"):
-        load_run(spark, landing, base, run_date=day, mode=REPLACE, batch_keys=DAY_KEYS)
+        load_run(spark, landing, base, run_date=day, mode=REPLACE)
     got = read_tables(spark, base)["hourly_soil_conditions"]
     assert rows(got.groupBy("date", "forecast_data").count(), "date", "forecast_data", "count") == [
         (datetime.date(2025, 1, 1), True, 2),
@@ -152,7 +300,7 @@ def test_payload_to_tables(spark, tmp_path):
         "city string, start_epoch long, temperature_2m array<double>",
     ).withColumn("run_date", F.lit(DAY))
     write_landing(explode_payload(payloads, time_axis="hourly"), landing)
-    load_run(spark, landing, base, layout="hive", run_date="2025-01-02", batch_keys=DAY_KEYS)
+    load_run(spark, landing, base, layout="hive", run_date="2025-01-02")
     got = read_tables(spark, base)["hourly_weather_conditions"].where("city = 'San Francisco'")
     wanted = {
         (float(i), DAY - datetime.timedelta(days=1 - i // 24), i % 24, i < 24) for i in range(48)

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from hourlake.functions.rounding import steady_round
+from hourlake.functions.rounding import exact_mean, exact_sum
 from hourlake.operators.measures import derive
 from hourlake.schema import MEASURES, ROUNDED
 from tests.helpers import measures_frame
@@ -73,7 +73,23 @@ def test_derived_from_unrounded_values(spark):
     assert row["atmospheric_pressure_diff"] == 0.0001  # 1000.0 - 999.99996 would give 0.0
 
 
-def test_steady_round_ignores_the_order_of_addition(spark):
-    noisy = spark.createDataFrame([(0.16156249999999997,), (0.1615625,)], "x double")
-    values = {r[0] for r in noisy.select(steady_round(F.col("x"), 6)).collect()}
-    assert values == {0.161563}
+@pytest.mark.parametrize("rows", [4_000_000])
+def test_sums_and_means_do_not_depend_on_partitions(spark, rows):
+    """Means of short decimals often lie on a tie; bits must not decide them."""
+    values = F.round(F.lit(1004.0) + F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 7.0, 4)
+    results = {
+        tuple(
+            spark.range(0, rows, 1, parts)
+            .select(values.alias("x"))
+            .agg(exact_mean("x", 9), exact_sum("x", 9), exact_mean("x", 4))
+            .first()
+        )
+        for parts in (1, 8, 13)
+    }
+    assert len(results) == 1
+
+
+def test_means_are_rounded_once_and_skip_nulls(spark):
+    df = spark.createDataFrame([(0.125,), (0.126,), (None,), (0.0,), (0.003,)], "x double")
+    assert tuple(df.agg(exact_mean("x", 4), exact_sum("x", 2)).first()) == (0.0635, 0.25)
+    assert tuple(df.where("x is null").agg(exact_mean("x", 4), exact_sum("x", 2)).first()) == (None, None)

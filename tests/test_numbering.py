@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import glob
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from hourlake.operators.numbering import POSITION, SIZE, label_batch, label_halves, number_rows
-from tests.helpers import batches, rows
+from hourlake.plans.queries import QUERIES
+from hourlake.session import shared_folder
+from tests.helpers import SF_SMALL, batches, rows
 
 KEYS = ["city", "date"]
 ORDER = ["first", "second"]
@@ -28,34 +31,68 @@ def random_sizes(seed):
 
 
 def test_window_numbers_rows(spark):
-    df = batches(spark, random_sizes(1))
-    check(number_rows(df, KEYS, ORDER))
-    check(number_rows(df, KEYS, ORDER, hot_rows=None))
+    check(number_rows(batches(spark, random_sizes(1)), KEYS, ORDER))
 
 
-@pytest.mark.parametrize("hot_rows", [1, 7, 50])
-def test_large_batches_are_spread_with_the_same_result(spark, hot_rows):
+@pytest.mark.parametrize("rows_per_slice", [1, 7, 50])
+def test_slices_give_the_same_result(spark, rows_per_slice):
     df = batches(spark, random_sizes(2))
-    numbered = number_rows(df, KEYS, ORDER, hot_rows=hot_rows)
+    numbered = number_rows(df, KEYS, ORDER, F.floor(F.col("first") / rows_per_slice))
     assert numbered.count() == df.count()
     check(numbered)
     assert numbered.columns == [*df.columns, POSITION, SIZE]
 
 
+def test_slices_may_be_null(spark):
+    df = batches(spark, random_sizes(2))
+    check(number_rows(df, KEYS, ORDER, F.when(F.col("first") >= 2, F.col("first"))))
+
+
 def test_one_batch_with_most_rows(spark):
     sizes = {("hot", "2024-01-01"): 30_000, (None, None): 20_000}
     sizes |= {(f"c{i}", "2024-01-01"): 3 for i in range(40)}
-    numbered = number_rows(batches(spark, sizes), KEYS, ORDER, hot_rows=1000)
+    numbered = number_rows(batches(spark, sizes), KEYS, ORDER, F.floor(F.col("first") / 300))
     check(numbered)
-    # the rows of the hot batch come from many tasks, none of which has most of them
-    parts = (
-        numbered.where("city = 'hot'")
-        .groupBy(F.spark_partition_id().alias("task"))
-        .count()
-        .agg(F.max("count"), F.count("*"))
-        .first()
-    )
-    assert parts[0] < 10_000 and parts[1] >= 4
+    # without skew handling the rows of the hot batch come from many tasks
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = (
+            numbered.where("city = 'hot'")
+            .groupBy(F.spark_partition_id().alias("task"))
+            .count()
+            .agg(F.max("count"), F.count("*"))
+            .first()
+        )
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts[0] < 15_000 and parts[1] >= 4
+
+
+@pytest.mark.parametrize("sliced", [False, True])
+def test_nothing_runs_before_the_result_is_used(spark, sliced, tmp_path):
+    df = batches(spark, random_sizes(1))
+    tracker = spark.sparkContext.statusTracker()
+    shared = shared_folder(spark)
+    before = sorted(glob.glob(f"{shared}/**", recursive=True))
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        label_batch(df, KEYS, ORDER, slice_by=F.col("first") if sliced else None)
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(glob.glob(f"{shared}/**", recursive=True)) == before
+
+
+@pytest.mark.parametrize(
+    "query", ["temps_forecast_true", "day_over_day_city", "wide_report", "daily_extremes_on_date"]
+)
+def test_chosen_cities_and_dates_reach_every_scan(spark, query):
+    plan = QUERIES[query](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans
+    for scan in scans:
+        wanted = "IsNotNull(ts)" if query == "daily_extremes_on_date" else "EqualTo(user_id,3)"
+        assert wanted in scan and "GreaterThanOrEqual(ts" in scan
 
 
 def test_halves(spark):
@@ -87,11 +124,12 @@ def test_partitioning_of_the_input_does_not_matter(spark, partitions):
     df = batches(spark, random_sizes(3))
     wanted = rows(label_batch(df.coalesce(1), KEYS, ORDER))
     assert rows(label_batch(df.repartition(partitions), KEYS, ORDER)) == wanted
-    assert rows(label_batch(df.repartition(partitions), KEYS, ORDER, hot_rows=10)) == wanted
+    sliced = label_batch(df.repartition(partitions), KEYS, ORDER, slice_by=F.col("first"))
+    assert rows(sliced) == wanted
 
 
 def test_invariants(spark):
-    df = label_batch(batches(spark, random_sizes(4)), KEYS, ORDER, hot_rows=20)
+    df = label_batch(batches(spark, random_sizes(4)), KEYS, ORDER, slice_by=F.floor(F.col("first") / 3))
     for row in df.groupBy(*KEYS).agg(
         F.count_if("forecast_data").alias("first"),
         F.count_if(~F.col("forecast_data")).alias("second"),

@@ -25,8 +25,15 @@ from hourlake.schema import (
     table_columns,
     table_schema,
 )
-from hourlake.sinks.tables import APPEND, REPLACE, jdbc_options, write_bucketed, write_tables
-from hourlake.sources.tables import read_table, read_tables
+from hourlake.sinks.tables import (
+    APPEND,
+    REPLACE,
+    jdbc_options,
+    jdbc_rows,
+    write_bucketed,
+    write_tables,
+)
+from hourlake.sources.tables import jdbc_predicates, read_table, read_tables
 from tests.helpers import SF_SMALL, rows
 
 SOIL = "hourly_soil_conditions"
@@ -129,7 +136,7 @@ def test_date_filter_reads_one_folder(spark, frame, path):
     assert len(glob.glob(f"{path}/{SOIL}/date=*")) == 5
     one = read_table(spark, path, SOIL).where("date = date'2024-01-08'").select("city")
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan and "ReadSchema: struct<city:string>" in plan
+    assert "PartitionFilters: [isnotnull(date" in plan and "ReadSchema: struct<city:string" in plan
 
 
 def test_bucketed_tables_join_without_exchange(spark, frame):
@@ -182,6 +189,34 @@ def test_display_names(frame):
     assert "Wind Speed at 10m (mph" in wide.columns and len(wide.columns) == 17
 
 
+def test_labels_of_another_report_are_refused(frame):
+    report = reports.daily_extremes(all_tables(frame), "2024-01-08")
+    with pytest.raises(ValueError, match="lacks"):
+        presentation.with_display_names(report, "city_averages")
+    with pytest.raises(ValueError, match="no label"):
+        presentation.with_display_names(report.withColumn("more", F.lit(1)), "daily_extremes")
+
+
+def test_jdbc_reads_whole_tables_and_parts():
+    assert jdbc_predicates(None, 1) == ["1 = 1"]
+    assert jdbc_predicates(None, 2) == ["mod(hour, 2) = 0", "mod(hour, 2) = 1"]
+    assert jdbc_predicates(["2025-01-02"], 1) == ["date = DATE '2025-01-02'"]
+    assert jdbc_predicates(["2025-01-02", "2025-01-03"], 2) == [
+        "date = DATE '2025-01-02' AND mod(hour, 2) = 0",
+        "date = DATE '2025-01-02' AND mod(hour, 2) = 1",
+        "date = DATE '2025-01-03' AND mod(hour, 2) = 0",
+        "date = DATE '2025-01-03' AND mod(hour, 2) = 1",
+    ]
+
+
+def test_jdbc_writes_from_its_own_tasks(frame):
+    """The work before the write keeps its tasks: an exchange, not a coalesce."""
+    table = jdbc_rows(split_tables(frame)[SOIL], 3)
+    assert table.rdd.getNumPartitions() == 3
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "Coalesce" not in plan
+
+
 def test_every_table_of_the_report_is_covered(frame):
     assert set(reports.WIDE_REPORT) < set(HOURLY_TABLES)
 
