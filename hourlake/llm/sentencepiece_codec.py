@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from hourlake.llm.common import in_batches, stored
 
-BLANK = "▁"
+#: The models' mark of a blank. Here a blank stands for it: most words are ASCII then, and small.
+MARK, BLANK = "▁", " "
 UNIGRAM, BPE = 1, 2
 #: Of pieces: an ordinary one, one for a byte.
 NORMAL, BYTE = 1, 6
@@ -69,7 +70,7 @@ class Model:
         return min((s for _, _, s in self.pieces), default=0.0) - UNKNOWN_PENALTY
 
     def marked(self, text: str) -> str:
-        text = text.replace(" ", BLANK)
+        text = text.replace(MARK, BLANK)
         return BLANK + text if text and self.dummy_prefix else text
 
 
@@ -82,7 +83,9 @@ def load_model(path: str, kind: int | None = None) -> Model:
         proto.ParseFromString(file.read())
     if proto.normalizer_spec.precompiled_charsmap or proto.normalizer_spec.remove_extra_whitespaces:
         raise ValueError("only models without text normalisation are supported")
-    pieces = [(p.piece, i, p.score) for i, p in enumerate(proto.pieces) if p.type == NORMAL]
+    pieces = [
+        (p.piece.replace(MARK, BLANK), i, p.score) for i, p in enumerate(proto.pieces) if p.type == NORMAL
+    ]
     octets = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == BYTE}
     by_byte = tuple(octets[f"<0x{b:02X}>"] for b in range(256)) if octets else ()
     return Model(
@@ -109,6 +112,7 @@ def word_pattern(pieces: list[str]) -> str:
     if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in pieces):
         return r"(?s).+"
     joined = {c for p in pieces if len(p) > 1 for c in p}
+    joined.add(BLANK)
     alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined)
     after_letter = {b for p in pieces for a, b in zip(p, p[1:]) if re.match(LETTER, a)}
     marks = [c for c in map(chr, range(33, 127)) if not c.isalnum() and c in joined - after_letter]
@@ -125,7 +129,7 @@ def word_pattern(pieces: list[str]) -> str:
 def count_words(docs: DataFrame, model: Model, text: str) -> DataFrame:
     """(word, n) of all documents. What a letter is may differ a little from what ``encode`` takes for
     one: a word that is counted here and not met there costs a row of the table and nothing else."""
-    marked = F.replace(F.col(text), F.lit(" "), F.lit(BLANK))
+    marked = F.replace(F.col(text), F.lit(MARK), F.lit(BLANK))
     if model.dummy_prefix:
         marked = F.concat(F.lit(BLANK), marked)
     pattern = model.pattern.replace(LETTER, JAVA_LETTER)
@@ -542,7 +546,7 @@ def encode(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
                 sizes = np.array([len(r) // 4 for r in raw])
                 ids = np.frombuffer(b"".join(raw), dtype="<i4")
                 restored = [
-                    octets.text(own) == t.replace(BLANK, " ")
+                    octets.text(own) == t.replace(MARK, BLANK)
                     for own, t in zip(np.split(ids, np.cumsum(sizes)[:-1]), texts[a:b], strict=True)
                 ]
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
@@ -577,7 +581,7 @@ class PieceBytes:
     def __init__(self, model: Model):
         octets = [b""] * model.size
         for piece, i, _ in model.pieces:
-            octets[i] = piece.replace(BLANK, " ").encode()
+            octets[i] = piece.encode()
         for byte, i in enumerate(model.bytes):
             octets[i] = bytes([byte])
         if not model.bytes:

@@ -42,7 +42,9 @@ LEAST_GAIN, PRECISION, LEXICON = 3, 0.85, 200
 #: A toxic document is explained when it has so many entries.
 ENTRIES = 3
 #: A worker remembers the emissions of so many words.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+#: Chains of texts of about so many bytes are scored together.
+BYTES_AT_ONCE = 6 << 20
 
 _WORD = re.compile(CASED_WORD)
 
@@ -324,17 +326,30 @@ def score(docs: DataFrame, model: Crf, text: str = "text", scored: str = "score"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emitted = Emissions(shared.value)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            scores, found = score_batch(texts, shared.value, emitted)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores), pa.array(found, type=arrow)],
-                [*batch.schema.names, scored, spans],
-            )
+        for whole in batches:
+            sizes = whole.column(whole.schema.get_field_index(text))
+            for begin, count in _parts([len(s.as_buffer() or b"") if s.is_valid else 0 for s in sizes]):
+                batch = whole.slice(begin, count)
+                texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+                scores, found = score_batch(texts, shared.value, emitted)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(scores), pa.array(found, type=arrow)],
+                    [*batch.schema.names, scored, spans],
+                )
 
     return in_batches(docs, run, schema)
 
 
+def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """(begin, count) of rows with about BYTES_AT_ONCE bytes of text together."""
+    begin = total = 0
+    for i, size in enumerate(sizes, 1):
+        total += size
+        if total >= BYTES_AT_ONCE or i == len(sizes):
+            yield begin, i - begin
+            begin, total = i, 0
+
+
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Crf:
     """The model of a bounded sample of labelled rows outside the held-out fold."""
     return fit(labelled_texts(docs, labels, "toxic", fold(key, FOLDS) != HELD_OUT, key, text))
