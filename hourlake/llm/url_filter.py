@@ -77,6 +77,9 @@ def decide_by_rule(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     A rule fits if its host is the URL's host or one of its parents and the path starts with its
     path; of those that fit, the one with the longest text wins. The rules are part of the plan.
     """
+    if not rules:
+        nothing = F.lit(None).cast("string")
+        return pages.withColumns({"rule": nothing, "rule_verdict": nothing})
     labels = F.split(F.col("host"), r"\.")
     parents = F.expr(
         "transform(sequence(1, size(labels)), i -> array_join(slice(labels, i, size(labels)), '.'))"
