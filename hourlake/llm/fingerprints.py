@@ -214,7 +214,7 @@ def _dealt_by_range(keyed: DataFrame) -> DataFrame:
         keyed.select("key", "tie")
         .repartitionByRange(shuffle_partitions(spark), F.col("key").asc_nulls_first(), "tie")
         .groupBy(F.spark_partition_id().alias("range"))
-        .agg(F.min(F.struct(F.coalesce(F.col("key").isNotNull().cast("int"), F.lit(0)).alias("known"), "key", "tie")).alias("first"))
+        .agg(F.min(F.struct(F.col("key").isNotNull().cast("int").alias("known"), "key", "tie")).alias("first"))
         .select("first.*")
         .collect()  # one row per range
     )

@@ -126,15 +126,16 @@ def _count_minimizers(source: DataFrame) -> DataFrame:
 
 
 def _all_stretches(source: DataFrame) -> DataFrame:
-    """(doc, where, minimizer, content); where has the first window and the number of windows."""
+    """(doc, where, minimizer, content); for ``where`` see ``_place``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                first, count, _, minimizer, content = stretches(text.as_py().encode("utf-8", "surrogatepass"))
+                first, count, own, minimizer, content = stretches(text.as_py().encode("utf-8", "surrogatepass"))
+                where = first << 16 | (own - first) << 8 | (count - 1)
                 for column, values in zip(
-                    out, (np.full(len(first), doc), first << 8 | (count - 1), minimizer, content), strict=True
+                    out, (np.full(len(first), doc), where, minimizer, content), strict=True
                 ):
                     column.append(values)
             if out[0]:
@@ -160,18 +161,24 @@ def _packed(source: DataFrame, names: list[str]) -> DataFrame:
     return in_batches(frame, run, schema)
 
 
-def _place(where: int) -> tuple[int, int]:
-    """First window and number of windows."""
-    return where >> 8, (where & 255) + 1
+def _place(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where stretches begin and end. ``where`` has the first window, then in eight bits each the
+    minimizer's place from there and the number of windows less one."""
+    first = where >> 16
+    return first, first + (where & 255) + LENGTH
 
 
-def _same_content(hashed: Hashed, where: int, content: int) -> bool:
-    first, count = _place(where)
-    end = first + count - 1 + LENGTH
-    if end >= len(hashed.sums):
-        return False
-    own = hashed.spans(np.array([first]), np.array([end]))
-    return int(own.view(np.int64)[0]) == content
+def _minimizer_at(where: int) -> int:
+    return where >> 8 & 255
+
+
+def _same_content(hashed: Hashed, where: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Whether the text has these contents there."""
+    first, end = _place(where)
+    inside = end < len(hashed.sums)
+    same = np.zeros(len(where), dtype=bool)
+    same[inside] = hashed.spans(first[inside], end[inside]).view(np.int64) == content[inside]
+    return same
 
 
 STRING = "minimizer long, content long, doc long, where long, lone boolean, at int, string binary"
@@ -192,13 +199,12 @@ def _fetched(source: DataFrame, contents: DataFrame) -> DataFrame:
             rows = []
             for doc, octets, listed in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 text = unpack(octets)
-                hashed = Hashed(text)
-                for w in listed:
-                    if _same_content(hashed, w["where"], w["content"]):
-                        first, count = _place(w["where"])
-                        string = text[first : first + count - 1 + LENGTH]
-                        at = int(stretches(string)[2][0])
-                        rows.append((w["minimizer"], w["content"], doc, w["where"], w["lone"], at, string))
+                wheres, own = (np.array([w[n] for w in listed], dtype=np.int64) for n in ("where", "content"))
+                begins, ends = _place(wheres)
+                for i in np.flatnonzero(_same_content(Hashed(text), wheres, own)):
+                    w, string = listed[i], text[begins[i] : ends[i]]
+                    at = _minimizer_at(w["where"])
+                    rows.append((w["minimizer"], w["content"], doc, w["where"], w["lone"], at, string))
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -267,11 +273,9 @@ def _by_count(strings: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 one, two = (Hashed(row["string"], b).all(LENGTH) for b in _BASES)
                 n = len(one)
-                same = [np.full(n, row[k]) for k in ("doc", "where", "content")]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, same), pa.array(np.full(n, row["lone"])), pa.array(np.arange(n, dtype=np.int32)), _signed(one), _signed(two)],
-                    names,
-                )
+                same = [pa.array(np.full(n, row[k])) for k in ("doc", "where", "content", "lone")]
+                window = pa.array(np.arange(n, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([*same, window, _signed(one), _signed(two)], names)
 
     columns = ["doc", "where", "content", "lone", "string"]
     kinds = "doc long, where long, content long, lone boolean, window int, one long, two long"
@@ -353,12 +357,9 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def removed_spans(body: bytes, listed) -> list[tuple[int, int]]:
     """Maximal spans that the windows of the intervals found in this very text cover."""
     where, content, begin, past = (listed.values.field(i).to_numpy() for i in range(4))
-    hashed = Hashed(body)
-    first, end = where >> 8, (where >> 8) + (where & 255) + LENGTH
-    inside = end < len(hashed.sums)
-    first, end, content, begin, past = (x[inside] for x in (first, end, content, begin, past))
-    own = hashed.spans(first, end).view(np.int64) == content
-    start, stop = (first + begin)[own], (first + past - 1 + LENGTH)[own]
+    own = _same_content(Hashed(body), where, content)
+    first = where[own] >> 16
+    start, stop = first + begin[own], first + past[own] - 1 + LENGTH
     if not len(start):
         return []
     order = start.argsort(kind="stable")

@@ -75,8 +75,8 @@ def test_no_documents(spark):
 
 def test_a_clash_of_document_hashes_marks_no_other_text():
     body = prose(3, 200).encode()
-    first, count, _, _, content = R.stretches(body)
-    where = int(first[0]) << 8 | (int(count[0]) - 1)
+    first, count, own, _, content = R.stretches(body)
+    where = int(first[0]) << 16 | int(own[0] - first[0]) << 8 | (int(count[0]) - 1)
     import pyarrow as pa
 
     kind = pa.list_(pa.struct([("where", pa.int64()), ("content", pa.int64()), ("begin", pa.int32()), ("past", pa.int32())]))
