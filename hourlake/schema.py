@@ -39,8 +39,8 @@ ROUNDED = [
     "dew_point_2m",
     "apparent_temperature",
     "pressure_msl",
-    "wind_speed_10m",
     "wind_speed_80m",
+    "wind_speed_10m",
     "wind_speed_120m",
     "temperature_2m",
     "temperature_80m",

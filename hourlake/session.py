@@ -55,9 +55,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def application_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it stores between its steps."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path in the application's folder."""
+    return f"{application_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def write_aside(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
@@ -68,7 +73,10 @@ def write_aside(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``fresh_folder`` named, wherever it is stored."""
+    """Delete a folder that ``fresh_folder`` named, wherever it is stored.
+
+    ``application_folder`` may be dropped when no result of this application is needed any more.
+    """
     if not path.startswith(shared_folder(spark) + "/"):
         raise ValueError(f"{path} is not in the shared folder")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -16,7 +16,7 @@ from hourlake.operators.audit import load_audit
 from hourlake.plans import load
 from hourlake.plans.load import load_run, read_audit
 from hourlake.schema import HOUR_KEYS
-from hourlake.session import shared_folder
+from hourlake.session import application_folder
 from hourlake.sinks.landing import write_landing
 from hourlake.sinks.tables import APPEND, REPLACE
 from hourlake.sources.cities import expected_documents
@@ -266,10 +266,12 @@ def test_what_is_no_document_is_set_aside_whole(spark, tmp_path):
 def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
     landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
     put_day(landing, "2025-01-02")
-    before = set(os.listdir(shared_folder(spark)))
+    mine = application_folder(spark)
+    os.makedirs(mine, exist_ok=True)
+    before = set(os.listdir(mine))
     load_run(spark, landing, base, expected=expected_documents(spark, "2025-01-02", CITIES))
     incremental_load(spark, landing, base, "feed")
-    assert set(os.listdir(shared_folder(spark))) == before
+    assert set(os.listdir(mine)) == before
 
 
 def test_a_document_over_two_dates_is_replaced_whole(spark, tmp_path):
