@@ -109,7 +109,9 @@ def wide_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_report_all(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.wide_report(all_tables(spark, folder), ordered=False)
+    """Four tables of all events: numbered once and stored, as published tables are."""
+    frame, _ = write_aside(source.derived(spark, folder), "derived")
+    return reports.wide_report(tables.all_tables(frame), ordered=False)
 
 
 def labelled_report(report: str, query: Query) -> Query:
