@@ -589,8 +589,7 @@ class PieceBytes:
         self.octets, self.dummy_prefix = octets, model.dummy_prefix
 
     def text(self, ids: np.ndarray) -> str:
-        octets = self.octets
-        text = b"".join([octets[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        text = b"".join(map(self.octets.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
 
 
