@@ -2,10 +2,11 @@
 
 Templates are indexed by word and position. One pass over the documents keeps, of each text, its
 word count and the places of words that the index knows; all else works on these short lists.
-The document frequency of the index words is counted over all documents. Of each document the
-words with the highest IDF are looked up; each hit votes for (template, place in the document
-minus place in the template), so words that stand as in the template agree. A template is found
-where the agreeing words hold enough of its IDF and its key phrases stand at that very place.
+The document frequency of the index words is counted over all documents. The words of highest IDF
+of each template nominate (template, place in the document minus place in the template); so many of
+them do that the others do not reach the share without them. At each nominated place all words
+that stand as in the template agree. A template is found where the agreeing words hold enough of
+its IDF and its key phrases stand at that very place.
 
 Defined cases: a null or empty text has no words and no labels; a template is counted once per
 place; documents with equal ids are told apart; no documents give no rows; columns of the input
@@ -71,8 +72,8 @@ FUNCTION_WORDS = ["this", "is", "the", "to", "of", "under"]
 #: Only after the word given: they are frequent outside licenses.
 ONLY_AFTER = {"by": "cc"}
 
-#: The highest-IDF words of a document that are looked up, and the share of a template's IDF.
-RAREST, SHARE = 12, 0.6
+#: The share of a template's IDF that agreeing words must hold.
+SHARE = 0.6
 
 
 def postings(templates=TEMPLATES) -> list[tuple[str, str, int]]:
@@ -125,10 +126,20 @@ def phrase_places(phrase: str, hits: str = "hits") -> Column:
     return F.expr(f"transform(filter({hits}, (h, k) -> {follow}), h -> h.place)")
 
 
+def nominators(entries: list[tuple[str, int, float]]) -> list[tuple[str, int, float]]:
+    """Of one template's words: those of highest IDF, until the others hold less than the share."""
+    ordered = sorted(entries, key=lambda e: (-e[2], e[1]))
+    # a little less, so that rounding of sums loses no place
+    least = (SHARE - 1e-9) * sum(e[2] for e in entries)
+    taken = 0
+    while sum(e[2] for e in ordered[taken:]) >= least:
+        taken += 1
+    return ordered[:taken]
+
+
 def template_scores(hits: DataFrame, templates, total: int) -> DataFrame:
     """Per document: ``labels`` and ``score`` of the templates found. ``hits`` has row and hits."""
     spark = hits.sparkSession
-    entries = postings(templates)
     # one row per index word: at most as many as the templates have
     frequency = {
         r["word"]: r["n"]
@@ -137,35 +148,43 @@ def template_scores(hits: DataFrame, templates, total: int) -> DataFrame:
         .agg(F.count("*").alias("n"))
         .collect()
     }
-    idf = {w: math.log((total + 1) / (frequency.get(w, 0) + 1)) + 1 for w, _, _ in entries}
-    whole: dict[str, float] = {}
-    for word, label, _ in entries:
-        whole[label] = whole.get(label, 0.0) + idf[word]
+    by_label: dict[str, list[tuple[str, int, float]]] = {}
+    for word, label, place in postings(templates):
+        idf = math.log((total + 1) / (frequency.get(word, 0) + 1)) + 1
+        by_label.setdefault(label, []).append((word, place, idf))
+    nominating = [
+        (word, label, place, sum(e[2] for e in entries), entries)
+        for label, entries in by_label.items()
+        for word, place, _ in nominators(entries)
+    ]
     index = spark.createDataFrame(
-        [(w, label, place, idf[w]) for w, label, place in entries],
-        "word string, label string, at int, idf double",
+        nominating,
+        "word string, label string, at int, whole double, "
+        "template array<struct<word:string,at:int,idf:double>>",
     )
-    weights = ", ".join(f"'{w}', {v!r}D" for w, v in sorted(idf.items()))
-    # the words of highest IDF, ties by the word itself
-    rare = F.expr(
-        "slice(array_sort(transform(array_distinct(transform(hits, h -> h.word)), "
-        f"w -> struct(-coalesce(element_at(map({weights}), w), 0D) as neg, w as word))), 1, {RAREST})"
-    )
-    looked_up = (
-        hits.withColumn("rare", rare)
-        .withColumn("rare", F.col("rare.word"))
-        .select("row", F.explode(F.expr("filter(hits, h -> array_contains(rare, h.word))")).alias("h"))
-        .select("row", "h.word", "h.place")
-    )
-    votes = (
-        looked_up.join(F.broadcast(index), "word")
-        .groupBy("row", "label", (F.col("place") - F.col("at")).alias("start"))
-        .agg(F.sum("idf").alias("agreed"), F.count("*").alias("n_agreed"))
+    # no place has two words, so all of a template around a hit is among as many hits to each side
+    longest = max(len(text.split()) for _, text, _ in templates)
+    listed = ", ".join(f"'{w}'" for w in sorted({e[0] for e in nominating}))
+    around = f"slice(hits, greatest(k + 2 - {longest}, 1), least(k, {longest - 1}) + {longest})"
+    nominated = (
+        hits.select(
+            "row",
+            F.explode(
+                F.expr(
+                    f"filter(transform(hits, (h, k) -> case when h.word in ({listed}) then "
+                    f"struct(h.word as word, h.place as place, {around} as near) end), x -> x is not null)"
+                )
+            ).alias("h"),
+        )
+        .select("row", "h.*")
+        .join(F.broadcast(index), "word")
+        .withColumn("start", F.col("place") - F.col("at"))
     )
-    totals = F.create_map(*[F.lit(x) for pair in sorted(whole.items()) for x in pair])
-    likely = votes.withColumn("share", F.col("agreed") / totals[F.col("label")]).where(
-        F.col("share") >= SHARE
+    agreed = F.expr(
+        "aggregate(template, 0D, (a, t) -> a + case when exists(near, "
+        "n -> n.place = start + t.at and n.word = t.word) then t.idf else 0D end)"
     )
+    likely = nominated.withColumn("share", agreed / F.col("whole")).where(F.col("share") >= SHARE)
     # every key phrase of the template must stand at its place
     keys = [
         (label, phrase, _place_of(phrase.split(), text.split()))
@@ -174,11 +193,10 @@ def template_scores(hits: DataFrame, templates, total: int) -> DataFrame:
     ]
     verified = F.lit(True)
     for label, phrase, place in keys:
-        standing = F.array_contains(phrase_places(phrase), F.col("start") + place)
+        standing = F.array_contains(phrase_places(phrase, "near"), F.col("start") + place)
         verified = verified & ((F.col("label") != label) | standing)
     return (
-        likely.join(hits.select("row", "hits"), "row")
-        .where(verified)
+        likely.where(verified)
         .groupBy("row")
         .agg(F.collect_set("label").alias("found"), F.max("share").alias("score"))
         .withColumn("score", F.least("score", F.lit(1.0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 
 from hourlake.llm import licenses as L
@@ -69,3 +71,40 @@ def test_every_template_finds_its_own_notice(spark):
 
 def test_no_documents(spark):
     assert L.license_digest(docs_frame(spark, TEXTS).where("false")).count() == 0
+
+
+def brute_templates(texts):
+    """Labels and score of each text, every template tried at every place with all words."""
+    known = L.index_words(L.TEMPLATES, L.PHRASES)
+    found = [words(t) for t in texts]
+    hits = [
+        {i: w for i, w in enumerate(ws) if w in known and (w not in L.ONLY_AFTER or i and ws[i - 1] == L.ONLY_AFTER[w])}
+        for ws in found
+    ]
+    idf = {w: math.log((len(texts) + 1) / (sum(w in h.values() for h in hits) + 1)) + 1 for w in known}
+    for ws, hit in zip(found, hits, strict=True):
+        labels, score = set(), 0.0
+        for label, text, phrases in L.TEMPLATES:
+            template = text.split()
+            entries = [(n, w) for n, w in enumerate(template) if w not in L.FUNCTION_WORDS]
+            for start in range(-len(template), len(ws) + 1):
+                share = sum(idf[w] for n, w in entries if hit.get(start + n) == w) / sum(idf[w] for _, w in entries)
+                at = [(start + L._place_of(p.split(), template), p.split()) for p in phrases]
+                if share >= L.SHARE and all(a >= 0 and ws[a : a + len(p)] == p for a, p in at):
+                    labels.add(label)
+                    score = max(score, min(share, 1.0))
+        yield labels, score
+
+
+def test_labels_and_score_of_documents_with_more_than_twelve_index_words(spark):
+    notices = [text for _, text, _ in L.TEMPLATES]
+    texts = [t for t in TEXTS if t] + notices + [
+        "; ".join(notices),
+        " ".join(reversed(notices)) + " " + prose(5, 500),
+        " ".join(t.split(" ", 1)[1] for t in notices),
+        " ".join(w for t in notices for w in t.split() if w != "version"),
+    ]
+    got = {r.doc_id: r for r in L.scan_licenses(docs_frame(spark, texts)).collect()}
+    for i, (labels, score) in enumerate(brute_templates(texts)):
+        assert set(got[i].found) == labels and got[i].score == pytest.approx(score)
+    assert len(got[len(texts) - 4].found) == len(L.TEMPLATES)
