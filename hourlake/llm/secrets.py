@@ -7,9 +7,10 @@ of random strings and one of ordinary identifiers, are counted from labelled sam
 a finding if its log-likelihood ratio is high in total and by character. All of it stays in the
 row; only the counts of character pairs are aggregated.
 
-Defined cases: a null text is empty; without labelled samples a model is uniform; a run that
-overlaps a fixed finding is not reported twice; repeated rows give repeated results; ``redact``
-keeps all columns and replaces the texts' findings.
+Defined cases: a null text is empty; without labelled samples a model is uniform; a run that fixed
+findings cover wholly is not reported twice, one that reaches past them is reported with its whole
+span; repeated rows give repeated results; ``redact`` keeps all columns and replaces the texts'
+findings.
 """
 
 from __future__ import annotations
@@ -146,8 +147,12 @@ def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     frame = frame.withColumn("values", values).withColumn(
         "others", F.array_except(_matches(F.col("text"), IDENTIFIER), F.col("values"))
     )
-    # parts of a value are no ordinary identifiers either
-    others = F.expr("filter(others, x -> not exists(values, v -> contains(v, x)))")
+    # parts of a value, or of a run with a value in it, are no ordinary identifiers either
+    runs = F.when(F.size("values") > 0, _matches(F.col("text"), RUN)).otherwise(_empty())
+    frame = frame.withColumn("runs", runs).withColumn(
+        "secret", F.expr("concat(values, filter(runs, r -> exists(values, v -> contains(r, v))))")
+    )
+    others = F.expr("filter(others, x -> not exists(secret, s -> contains(s, x)))")
     both = F.concat(
         F.transform("values", lambda x: F.struct(F.lit(1).alias("label"), x.alias("string"))),
         F.transform(others, lambda x: F.struct(F.lit(0).alias("label"), x.alias("string"))),
@@ -169,16 +174,19 @@ def scan_secrets(docs: DataFrame, model: list[float], text: str = "text") -> Dat
         )
         + ")"
     )
-    frame = _found(frame.withColumn("fixed", fixed), "runs", "text", RUN, 0, F.lit(True))
+    frame = _found(frame.withColumn("fixed", F.array_sort(fixed)), "runs", "text", RUN, 0, F.lit(True))
     table = "array(" + ", ".join(f"{x:.6f}D" for x in model) + ")"
     ratio = f"""aggregate(sequence(1, length(v) - 1), 0D, (a, i) -> a +
         {table}[(locate(substr(v, i, 1), '{ALPHABET}') - 1) * {len(ALPHABET)}
                 + locate(substr(v, i + 1, 1), '{ALPHABET}') - 1])"""
     scored = F.expr(f"transform(runs_value, v -> {ratio})")
+    # up to where fixed findings, by start, cover the run without a gap
+    covered = """aggregate(fixed, x.runs.start, (a, f) ->
+        case when f.start <= a and f.past > a then f.past else a end)"""
     random = F.expr(
         f"""transform(filter(arrays_zip(runs, runs_value, scores),
               x -> x.scores >= {TOTAL} and x.scores >= {PER_PAIR} * (length(x.runs_value) - 1)
-                and not exists(fixed, f -> f.start < x.runs.past and x.runs.start < f.past)),
+                and {covered} < x.runs.past),
             x -> struct(x.runs.start as start, {len(KINDS)} as order, x.runs.past as past,
                         '{RANDOM}' as kind, x.runs_value as value))"""
     )
