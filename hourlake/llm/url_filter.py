@@ -35,7 +35,7 @@ RULES = [
 #: Words by which a blocklist's host names are labelled for training.
 LISTED_TERMS = ["adult", "ads", "bets", "casino", "pills", "spam"]
 
-#: At most so many labelled URLs are fitted on.
+#: At most so many distinct labelled URLs are fitted on.
 TRAINING_ROWS = 20_000
 TREES, DEPTH, BINS = 20, 3, 32
 
@@ -173,10 +173,11 @@ def listed(host: Column, terms: list[str]) -> Column:
 
 
 def fit(labelled: DataFrame, url: str, label: str, rows: int = TRAINING_ROWS) -> UrlModel:
-    """Trees from at most ``rows`` labelled URLs, the smallest by a hash of the URL."""
+    """Trees from at most ``rows`` distinct labelled URLs, the smallest by a hash of the URL."""
     sample = parsed(
         labelled.where(F.col(url).isNotNull() & F.col(label).isNotNull())
         .select(F.col(url).alias("url"), F.col(label).cast("double").alias("label"))
+        .distinct()
         .orderBy(F.xxhash64("url"))
         .limit(rows),
         "url",

@@ -76,3 +76,14 @@ def test_without_labels_of_both_kinds(spark, urls):
 def test_entropy(spark):
     got = spark.createDataFrame([("aabb",), ("",), ("a",), ("abcd",)], "t string").select(U.entropy(U.F.col("t")))
     assert [round(r[0], 6) for r in got.collect()] == [1.0, 0.0, 0.0, 2.0]
+
+
+def test_repeated_urls_do_not_fill_the_sample(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url")
+    named = U.decide_by_rule(U.parsed(pages, "url"), U.RULES).where("rule is null")
+    labelled = named.select("url", U.listed(named["host"], U.LISTED_TERMS).alias("label"))
+    hot = labelled.orderBy(U.F.xxhash64("url")).limit(1).crossJoin(spark.range(500)).drop("id")
+    model = U.fit(labelled.unionByName(hot), "url", "label", rows=400)
+    assert model.trees is not None
+    alone = U.fit(labelled, "url", "label", rows=400)
+    assert model.prior == alone.prior
