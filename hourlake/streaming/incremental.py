@@ -34,10 +34,10 @@ def incremental_load(
 
     A version of a document is its path, time and size: the listing is joined to the versions
     that the manifests of this feed (``progress`` names it) have, so a document that is put again
-    is read again, and no age matters. A load that fails has no manifest, is not seen and is done
-    again; nothing is published twice. ``files_per_batch`` bounds what is read at a time, on
-    average, and has no influence on the result. What is missing of ``expected`` is reported once,
-    after all documents have been seen.
+    is read again, and no age matters. A document without bytes is read unless it was so when last
+    read. A load that fails has no manifest, is not seen and is done again; nothing is published
+    twice. ``files_per_batch`` bounds what is read at a time, on average, and has no influence on
+    the result. What is missing of ``expected`` is reported once, after all documents have been seen.
     """
     feed = short_name(progress)
     manifest = read_manifest(spark, base)
@@ -48,7 +48,7 @@ def incremental_load(
         if manifest is not None:
             own = manifest.where(F.col("feed") == feed)
             batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
-            listed = listed.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
+            listed = listed.join(_taken(own), VERSION, "left_anti")
         arrivals, folder = write_aside(listed, "arrivals")
         try:
             _publish_arrivals(files, arrivals, base, expected, mode, feed, batch, files_per_batch, first_half_flag)
@@ -58,6 +58,16 @@ def incremental_load(
         report_missing_documents(spark, base, expected, f"missing-{feed}")
 
 
+def _taken(own: DataFrame) -> DataFrame:
+    """The versions that are not read again, from the manifest rows of one feed.
+
+    All versions without bytes look alike, so one is known only if it is its document's last.
+    """
+    last = own.groupBy("document").agg(F.max_by(F.struct("modified", "size"), "batch").alias("last"))
+    empty = last.select("document", "last.*").where("size = 0")
+    return own.select(*VERSION).where("size > 0").distinct().unionByName(empty)
+
+
 def _publish_arrivals(
     files, arrivals, base, expected, mode, feed, batch, files_per_batch, first_half_flag
 ) -> None:

@@ -346,3 +346,12 @@ def test_audit_of_unexpected_and_unnamed_documents(spark):
         ],
         key=repr,
     )
+
+
+def test_a_document_emptied_twice_loses_its_rows_twice(spark, tmp_path):
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
+    for count in (0, 3, 0, 0, 4, 0):
+        put_document(landing, "Dubai", str(DAY), hours(0, count, f"{DAY}T00:00:00.000Z") if count else "")
+        incremental_load(spark, landing, base, "feed")
+        assert read_tables(spark, base)["hourly_weather_conditions"].count() == count
+    assert rows(read_audit(spark, base), "status") == [("empty",)] * 3 + [("loaded",)] * 2
