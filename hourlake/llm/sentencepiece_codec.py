@@ -13,6 +13,8 @@
 4. The word table is broadcast and documents are encoded where they are. For words that are not in the
    table, the same steps are done on the columns of a batch: substrings, equi-join to the sorted piece
    table, edges by word, fold. (Sending these words through a shuffle and back was tried: see the README.)
+   Words of more than SHORT characters have no lattice: ``fold_long`` merges each, or finds its best path,
+   on its own. With a model whose pieces cross blanks, a whole text is such a word.
 
 Decoding concatenates the pieces' bytes. Defined cases: a null or empty text has no pieces; "▁" in a text
 is decoded as a blank, as the model does; repeated rows are encoded each; an empty table gives no rows.
