@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.llm import (
+    collocations,
     decontaminate,
     fingerprints,
     licenses,
@@ -17,17 +18,29 @@ from hourlake.llm import (
     secrets,
     sentencepiece_codec,
     simhash,
+    token_counts,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from hourlake.llm.common import table
 
 #: The piece model of the query; any other SentencePiece file without normalisation will do.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
+#: The vocabulary file of the query that counts tokens; any other plain byte-level BPE will do.
+TOKEN_VOCABULARY = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = sentencepiece_codec.load_model(PIECE_MODEL)
     encoded = sentencepiece_codec.encode(table(spark, folder, "documents"), model)
@@ -74,6 +87,19 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_digest(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocation_digest(table(spark, folder, "documents").select("lang", "text"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.code_digest(table(spark, folder, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = token_counts.load_vocabulary(tokenizer_file(TOKEN_VOCABULARY))
+    return token_counts.token_digest(table(spark, folder, "documents"), vocabulary)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontamination": op2_decontamination,
@@ -85,7 +111,14 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_url_filters": op9_url_filters,
     "op10_license_scans": op10_license_scans,
+    "op11_collocations": op11_collocations,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_token_counts": op13_token_counts,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": decontaminate.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
+}
