@@ -48,6 +48,14 @@ def load_audit(
             F.lit("no hours").alias("message"),
         )
         seen = seen.unionByName(without)
+    found = mark_expected(seen, expected)
+    if expected is None or not report_missing:
+        return found
+    return found.unionByName(missing_documents(seen, expected))
+
+
+def mark_expected(seen: DataFrame, expected: DataFrame | None) -> DataFrame:
+    """``seen`` with whether its city and run date were expected; NULL where there is no list."""
     if expected is None:
         return seen.withColumn("expected", F.lit(None).cast("boolean"))
     wanted = expected.select(
@@ -55,12 +63,9 @@ def load_audit(
     ).distinct()
     # A left and an anti join instead of a full outer one: AQE can split the documents
     # of one very large city in a left join, and in the other they are pre-aggregated.
-    found = seen.join(wanted, _same_document(seen, wanted), "left").select(
+    return seen.join(wanted, _same_document(seen, wanted), "left").select(
         *seen.columns, F.col("_run_date").isNotNull().alias("expected")
     )
-    if not report_missing:
-        return found
-    return found.unionByName(missing_documents(seen, expected))
 
 
 def missing_documents(seen: DataFrame, expected: DataFrame) -> DataFrame:

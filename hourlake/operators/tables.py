@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.functions.rounding import exact_mean, exact_sum
+from hourlake.operators.exact import Summary, summarise
 from hourlake.schema import DAILY_TABLE, DAY_KEYS, DECIMALS, HOURLY_TABLES, table_columns
 
 
@@ -16,17 +16,24 @@ def split_tables(frame: DataFrame, further: list[str] | None = None) -> dict[str
     return {n: frame.select(*table_columns(n), *(further or [])) for n in HOURLY_TABLES}
 
 
+def day_summary(scale: int = DECIMALS) -> Summary:
+    """What a daily row has: totals, averages and extremes."""
+    return Summary(
+        sums={"total_precipitation": ("precipitation", scale)},
+        means={
+            "average_temperature_2m": ("temperature_2m", scale),
+            "average_relative_humidity_2m": ("relative_humidity_2m", scale),
+        },
+        greatest={"max_temperature_2m": "temperature_2m"},
+        least={"min_temperature_2m": "temperature_2m"},
+    )
+
+
 def daily_summary(
     frame: DataFrame, further: list[str] | None = None, scale: int = DECIMALS
 ) -> DataFrame:
     """Totals, averages and extremes per city, date and half, and per ``further`` columns."""
-    summary = frame.groupBy(*DAY_KEYS, *(further or [])).agg(
-        exact_sum("precipitation", scale).alias("total_precipitation"),
-        exact_mean("temperature_2m", scale).alias("average_temperature_2m"),
-        F.max("temperature_2m").alias("max_temperature_2m"),
-        F.min("temperature_2m").alias("min_temperature_2m"),
-        exact_mean("relative_humidity_2m", scale).alias("average_relative_humidity_2m"),
-    )
+    summary = summarise(frame, [*DAY_KEYS, *(further or [])], day_summary(scale))
     return summary.select(*table_columns(DAILY_TABLE), *(further or []))
 
 

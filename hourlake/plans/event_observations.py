@@ -125,7 +125,9 @@ def landing_rows(spark: SparkSession, folder: str) -> DataFrame:
     ).drop(POSITION, SIZE)
 
 
-def _documents(spark: SparkSession, folder: str, known_cities: bool) -> DataFrame:
+def _documents(
+    spark: SparkSession, folder: str, known_cities: bool, changed: dict[str, Column] | None = None
+) -> DataFrame:
     """Events with the number of their document in the batch and their place in it."""
     numbered = number_rows(events(spark, folder, known_cities), BATCH_KEYS, ORDER)
     place = F.col(POSITION)
@@ -134,7 +136,7 @@ def _documents(spark: SparkSession, folder: str, known_cities: bool) -> DataFram
             "document": F.floor(place / F.lit(DOCUMENT_HOURS)).cast("long"),
             "place": place % F.lit(DOCUMENT_HOURS),
         }
-    ).withColumns(measures())
+    ).withColumns({**measures(), **(changed or {})})
 
 
 def payloads(spark: SparkSession, folder: str, variables: list[str]) -> DataFrame:
@@ -155,12 +157,14 @@ def payloads(spark: SparkSession, folder: str, variables: list[str]) -> DataFram
     )
 
 
-def documents(spark: SparkSession, folder: str, with_first_event: bool = False) -> DataFrame:
-    """JSON array documents of at most ``DOCUMENT_HOURS`` hours."""
+def documents(
+    spark: SparkSession, folder: str, with_first_event: bool = False, changed: dict[str, Column] | None = None
+) -> DataFrame:
+    """JSON array documents of at most ``DOCUMENT_HOURS`` hours; ``changed`` has other expressions of measures."""
     iso = F.concat(F.col("date").cast("string"), F.lit("T00:00:00.000Z"))
     hour = F.struct("place", iso.alias("date"), *MEASURES)
     grouped = (
-        _documents(spark, folder, known_cities=True)
+        _documents(spark, folder, known_cities=True, changed=changed)
         .groupBy("city", F.col("date").alias("run_date"), "document")
         .agg(
             F.sort_array(F.collect_list(hour)).alias("hours"),

@@ -1,32 +1,38 @@
 """One load: landing documents to published tables and audit.
 
 A load writes its rows in folders of its own, beside those of other loads, and commits by writing
-its manifest, which lists the versions of documents it has read. Readers keep the rows that
-the manifests call current: those of a document's last replacing load and of the loads after it. So a
-document is replaced by what it is, whatever dates its hours have; an emptied one takes its rows
-along; a load that stops half-way is not seen; and loads of other documents do not meet.
+its manifest: one row for each version of a document it has read, with its status, rows and message, which
+is also the audit. Readers keep the rows that the manifests call current (see ``sources.store``): those of a
+document's newest replacing version and of what was appended after it. So a document is replaced by what it
+is, whatever dates its hours have; an emptied one takes its rows along; a load that stops half-way is not
+seen; and loads of other documents do not meet. Rejected documents are kept, with their text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.functions.keys import text_to_date
-from hourlake.operators.audit import load_audit, missing_documents
+from hourlake.operators.audit import mark_expected, missing_documents
+from hourlake.operators.exact import summary_states
 from hourlake.operators.measures import derive
 from hourlake.operators.numbering import label_halves
-from hourlake.operators.tables import daily_summary, split_tables
-from hourlake.schema import DAILY_TABLE
+from hourlake.operators.tables import day_summary, split_tables
+from hourlake.schema import DAY_KEYS
 from hourlake.session import drop_folder, write_aside
 from hourlake.sinks.tables import APPEND, MODES, REPLACE, arrange, write_load
-from hourlake.sources.landing import EMPTY, LOADED, QUARANTINED, VERSION, read_rows
-from hourlake.sources.tables import MANIFEST, table_path
+from hourlake.sources.landing import DOCUMENT_KEYS, LOADED, QUARANTINED, VERSION, read_rows
+from hourlake.sources.store import MANIFEST, QUARANTINE, Store, existing, open_store, store_path
+from hourlake.sources.tables import DAILY_STATES
 
-AUDIT_TABLE = "load_audit"
+#: Reports of expected documents that no load has seen.
+MISSING_TABLE = "load_missing"
+AUDIT_COLUMNS = ["city", "run_date", "file", "status", "rows", "expected", "message"]
 
 
 def hourly_frame(rows: DataFrame, first_half_flag: bool = True) -> DataFrame:
@@ -46,38 +52,51 @@ def publish_rows(
     batch: int = 0,
     report_missing: bool = True,
 ) -> None:
-    """Publish landing rows and then their audit and manifest.
+    """Publish landing rows and then their manifest, which is their audit too.
 
     The documents are parsed once and their rows arranged once, with one exchange; the tables are
-    projections of the arranged rows. Publishing again under the same ``load_id`` replaces its audit
-    rows. A daily row summarises a half of one document.
+    projections of the arranged rows, written at one time. Rows are counted as they are stored, and tables
+    without rows are not written. The audit of a load published again under the same ``load_id`` is that of
+    the last time. Of the daily table, states are stored that can be merged.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     own = f"{load_id}-{uuid.uuid4().hex[:8]}"
     spark = rows.sparkSession
-    staged, folder = write_aside(arrange(hourly_frame(rows, first_half_flag)), "staged")
+    counts = Observation()
+    counted = arrange(hourly_frame(rows, first_half_flag)).observe(
+        counts,
+        F.count_if(F.col("status") == LOADED).alias("hours"),
+        F.count_if(F.col("status") == QUARANTINED).alias("rejected"),
+    )
+    staged, folder = write_aside(counted, "staged")
     try:
-        good = staged.where(F.col("status") == LOADED)
-        tables = split_tables(good, ["document"])
-        tables[DAILY_TABLE] = daily_summary(good, ["document"])
-        for name, table in tables.items():
-            write_load(table, base, name, own)
-        audit = load_audit(
-            good,
-            staged.where(F.col("status") == QUARANTINED),
-            expected,
-            staged.where(F.col("status") == EMPTY),
-            report_missing,
+        found = counts.get
+        # versions are few: they are aggregated once, for the manifest and for what is missing
+        versions = staged.groupBy(*VERSION, *DOCUMENT_KEYS, "status", F.col("reason").alias("message")).agg(
+            F.count_if(F.col("status") == LOADED).alias("rows")
         )
-        _write_by_load(audit, base, AUDIT_TABLE, load_id)
-        # a rejected version takes the place of an earlier one only as far as the audit goes
-        versions = staged.groupBy(*VERSION, "status").agg(F.count("*").alias("hours"))
-        manifest = versions.drop("hours").withColumns(
+        no_hours = F.when(F.col("status") == "empty", F.lit("no hours"))
+        versions = versions.withColumn("message", F.coalesce("message", no_hours))
+        writes = []
+        if found["hours"]:
+            good = staged.where(F.col("status") == LOADED)
+            tables = split_tables(good, ["document"])
+            tables[DAILY_STATES] = summary_states(good, [*DAY_KEYS, "document"], day_summary())
+            writes += [(write_load, table, base, name, own) for name, table in tables.items()]
+        if found["rejected"]:
+            rejected = staged.where(F.col("status") == QUARANTINED)
+            kept = rejected.select(*VERSION, *DOCUMENT_KEYS, "reason", "text", F.now().alias("published"))
+            writes.append((_write_by_load, kept, base, QUARANTINE, own))
+        if expected is not None and report_missing:
+            writes.append((_write_by_load, _missing(versions, expected), base, MISSING_TABLE, load_id))
+        _at_one_time(writes)
+        manifest = mark_expected(versions, expected).withColumns(
             {
                 "feed": F.lit(feed),
                 "batch": F.lit(batch),
                 "replaces": F.lit(mode == REPLACE),
+                "load": F.lit(load_id),
                 "published": F.now(),
             }
         )
@@ -86,16 +105,28 @@ def publish_rows(
         drop_folder(spark, folder)
 
 
+def _at_one_time(writes: list[tuple]) -> None:
+    """Runs the writes in threads: each is a small job next to a cluster."""
+    if not writes:
+        return
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(write, *arguments) for write, *arguments in writes]:
+            done.result()
+
+
+def _missing(seen: DataFrame, expected: DataFrame) -> DataFrame:
+    return missing_documents(seen.select("city", "run_date"), expected).select(*AUDIT_COLUMNS)
+
+
 def _write_by_load(table: DataFrame, base: str, name: str, load_id: str) -> None:
-    folder = f"{table_path(base, name)}/load_id={load_id}"
+    folder = store_path(base, name, f"load_id={load_id}")
     table.hint("rebalance").write.mode("overwrite").parquet(folder)
 
 
 def report_missing_documents(spark: SparkSession, base: str, expected: DataFrame, load_id: str) -> None:
     """One audit row for each expected document of which no load has seen any version."""
-    seen = read_audit(spark, base).where(F.col("status") != "missing")
-    absent = missing_documents(seen.select("city", "run_date"), expected)
-    _write_by_load(absent, base, AUDIT_TABLE, load_id)
+    store = open_store(spark, base)
+    _write_by_load(_missing(store.manifest, expected), base, MISSING_TABLE, load_id)
 
 
 def short_name(*parts: str) -> str:
@@ -123,9 +154,16 @@ def load_run(
 
 
 def read_audit(spark: SparkSession, base: str) -> DataFrame:
-    schema = (
-        "city string, run_date date, file string, status string, rows long, "
-        "expected boolean, message string, load_id string"
-    )
-    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{AUDIT_TABLE}")
-
+    """One row for each document that a load has read, and for each expected one that is missing."""
+    store = open_store(spark, base)
+    schema = "city string, run_date date, file string, status string, rows long, expected boolean, message string, load_id string"
+    missing = existing(spark, store_path(base, MISSING_TABLE), schema)
+    seen = spark.createDataFrame([], schema) if store is None else _last_times(store)
+    return seen if missing is None else seen.unionByName(missing)
+
+
+def _last_times(store: Store) -> DataFrame:
+    """The manifests' rows of each load's last time."""
+    times = store.manifest.groupBy("load").agg(F.max_by("load_id", F.struct("published", "load_id")).alias("load_id"))
+    rows = store.manifest.join(times, ["load", "load_id"], "left_semi")
+    return rows.select(*AUDIT_COLUMNS, F.col("load").alias("load_id"))

@@ -6,6 +6,7 @@ import datetime
 import json
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,15 +15,18 @@ from hourlake.operators import audit, presentation, tables
 from hourlake.operators.numbering import label_halves
 from hourlake.plans import event_observations as source
 from hourlake.plans import reports
-from hourlake.plans.load import load_run, read_audit
+from hourlake.plans.load import load_run, publish_rows, read_audit
+from hourlake.plans.quarantine import replay_quarantine
 from hourlake.plans.statements import STATEMENTS
 from hourlake.schema import CITIES, DAILY_TABLE, DAY_KEYS, HOUR_KEYS, MEASURES
-from hourlake.session import fresh_folder, shuffle_partitions, write_aside
+from hourlake.session import application_folder, fresh_folder, shuffle_partitions, write_aside
+from hourlake.sinks.compaction import compact, drop_unused
 from hourlake.sinks.landing import PARTITIONS, put_document, write_landing
 from hourlake.sinks.tables import APPEND, REPLACE, write_tables
 from hourlake.sources.cities import city_dim
 from hourlake.sources.landing import (
     DOCUMENT_KEYS,
+    UNPARSEABLE,
     VERSION,
     parse_documents,
     read_landing,
@@ -31,6 +35,7 @@ from hourlake.sources.landing import (
 from hourlake.sources.payload import explode_payload
 from hourlake.sources.tables import read_table, read_tables, register_views
 from hourlake.streaming.incremental import incremental_load
+from hourlake.streaming.landing_stream import stream_load
 
 CITY = "3"
 DATE, NEXT_DATE = "2024-01-08", "2024-01-15"
@@ -281,23 +286,147 @@ def write_documents(documents: DataFrame, landing: str) -> None:
 FILES = "*.{txt,json}"
 
 
-def load_documents(name: str | None, selected: bool = False) -> Query:
-    """Files of documents through a load: one published table with all its columns, or the audit."""
+# tables that all documents have been loaded to, by application and folder: queries that only read share them
+_LOADED: dict[tuple[str, str], str] = {}
 
-    def query(spark: SparkSession, folder: str) -> DataFrame:
+
+def loaded_base(spark: SparkSession, folder: str) -> str:
+    """Files of all documents, published by one load; once in an application."""
+    mine = (application_folder(spark), folder)
+    if mine not in _LOADED:
         landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
         write_documents(source.documents(spark, folder), landing)
-        choice = {"run_date": DATE, "cities": SELECTED_CITIES} if selected else {}
-        load_run(spark, landing, base, mode=REPLACE, file_pattern=FILES, **choice)
-        if name is not None:
-            return read_table(spark, base, name)
-        # files have names that no statement can know
-        audit = read_audit(spark, base)
-        return audit.select("city", "run_date", "status", "rows", "expected", "message")
+        load_run(spark, landing, base, mode=REPLACE, file_pattern=FILES)
+        _LOADED[mine] = base
+    return _LOADED[mine]
+
+
+def loaded_table(name: str, merge_days: bool = False) -> Query:
+    """One published table with all its columns."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return read_table(spark, loaded_base(spark, folder), name, merge_days=merge_days)
 
     return query
 
 
+def load_run_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of one load; files have names that no statement can know."""
+    audit = read_audit(spark, loaded_base(spark, folder))
+    return audit.select("city", "run_date", "status", "rows", "expected", "message")
+
+
+def load_run_selected(spark: SparkSession, folder: str) -> DataFrame:
+    """A load of one date and some cities."""
+    landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+    write_documents(source.documents(spark, folder), landing)
+    load_run(spark, landing, base, mode=REPLACE, file_pattern=FILES, run_date=DATE, cities=SELECTED_CITIES)
+    return read_table(spark, base, "hourly_soil_conditions")
+
+
+def finite_or_kind(column: str) -> list:
+    """The value where it is finite, and what it is where it is not."""
+    value = F.col(column)
+    kind = (
+        F.when(F.isnan(value), "nan")
+        .when(value == float("inf"), "inf")
+        .when(value == float("-inf"), "-inf")
+        .otherwise("finite")
+    )
+    return [F.when(kind == "finite", value).alias(column), kind.alias(f"{column}_kind")]
+
+
+#: Temperatures of some events that no thermometer shows, by number of the event modulo 1000.
+EXTREMES = {1: 2.5e9, 2: 1e300, 3: float("nan"), 4: float("inf"), 5: float("-inf"), 999: -3.25e10}
+
+
+def daily_extreme_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily rows of documents with absurd hours: nothing stops, and every mean is defined."""
+    temperature = F.col("value") / 5.0 + F.lit(20.0)
+    for rest, absurd in EXTREMES.items():
+        temperature = F.when(F.col("event_id") % 1000 == rest, F.lit(absurd)).otherwise(temperature)
+    base = fresh_folder(spark, "tables")
+    documents = source.documents(spark, folder, changed={"temperature_2m": temperature})
+    publish_rows(parse_documents(documents.drop("document")), base, mode=REPLACE)
+    daily = read_table(spark, base, DAILY_TABLE)
+    measured = [f"{kind}_temperature_2m" for kind in ("average", "max", "min")]
+    shown = [c for m in measured for c in finite_or_kind(m)]
+    return daily.select(*DAY_KEYS, "total_precipitation", *shown)
+
+
+def _versions(spark: SparkSession, folder: str, modified: str, snowfall: float) -> DataFrame:
+    """All documents, as versions of a time, with some inches more or less of snow."""
+    more = {"snowfall": (F.col("event_id") % 9) / 100.0 + F.lit(snowfall)}
+    documents = source.documents(spark, folder, with_first_event=True, changed=more)
+    return documents.withColumns({"document": F.col("file"), "modified": F.lit(modified).cast("timestamp")})
+
+
+def replace_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The second version of all documents is published before the first, and a third of some last."""
+    base = fresh_folder(spark, "tables")
+    for modified, snowfall in (("2024-06-02", 0.0), ("2024-06-01", -5.0), ("2024-06-03", 1.0)):
+        documents = _versions(spark, folder, modified, snowfall)
+        if snowfall > 0:
+            documents = documents.where("first_event % 2 = 0")
+        publish_rows(parse_documents(documents.drop("first_event")), base, mode=REPLACE, load_id=modified)
+    return read_table(spark, base, "hourly_precipitation_evaporation")
+
+
+def compacted_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads, a snapshot of them, a newer version of some documents, and a snapshot of all; older files go."""
+    base = fresh_folder(spark, "tables")
+    documents = _versions(spark, folder, "2024-06-01", 0.0)
+    for rest in (0, 1):
+        part = documents.where(F.col("first_event") % 2 == rest).drop("first_event")
+        publish_rows(parse_documents(part), base, mode=REPLACE, load_id=f"part-{rest}")
+    compact(spark, base)
+    newer = _versions(spark, folder, "2024-06-02", 1.0).where("first_event % 3 = 0").drop("first_event")
+    publish_rows(parse_documents(newer), base, mode=REPLACE, load_id="newer")
+    compact(spark, base)
+    drop_unused(spark, base, older_than_hours=0)
+    return read_table(spark, base, "hourly_precipitation_evaporation")
+
+
+def quarantine_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Some documents are cut off, some are errors; the first are mended and loaded. The audit has both."""
+    base = fresh_folder(spark, "tables")
+    documents = source.documents(spark, folder, with_first_event=True).drop("document")
+    kind = F.col("first_event") % 4
+    spoiled = (
+        F.when(kind == 0, F.expr("substr(text, 1, length(text) - 2)"))
+        .when(kind == 1, F.lit('{"error": true}'))
+        .otherwise(F.col("text"))
+    )
+    publish_rows(parse_documents(documents.withColumn("text", spoiled).drop("first_event")), base, mode=REPLACE)
+
+    def closed(rejected: DataFrame) -> DataFrame:
+        cut = rejected.where(F.col("reason") == UNPARSEABLE)
+        return cut.withColumn("text", F.concat("text", F.lit("}]")))
+
+    replay_quarantine(spark, base, closed)
+    audit = read_audit(spark, base)
+    hours = read_table(spark, base, "hourly_soil_conditions").agg(F.count("*").alias("hours"))
+    # one row, beside every row of the audit
+    return audit.select("city", "run_date", "status", "rows", "message").join(F.broadcast(hours))
+
+
+def streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream that ends after its first load, before that is noted, and is started again."""
+    landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+    checkpoint = fresh_folder(spark, "stream")
+    write_documents(source.documents(spark, folder), landing)
+
+    def lost(batch: int) -> None:
+        raise RuntimeError("lost after the load")
+
+    try:
+        stream_load(spark, landing, base, checkpoint, files_per_batch=500, file_pattern=FILES, published=lost)
+    except StreamingQueryException:
+        pass
+    stream_load(spark, landing, base, checkpoint, files_per_batch=500, file_pattern=FILES)
+    return read_table(spark, base, "hourly_weather_conditions")
+
+
 def quarantine_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Files that are no documents, in every way that the load tells apart, and their audit."""
     landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
@@ -406,14 +535,20 @@ QUERIES: dict[str, Query] = {
     "incremental_resent_key": incremental_resent_key,
     "incremental_old_file": incremental_old_file,
     "quarantine_documents": quarantine_documents,
-    "load_run_all": load_documents(None),
-    "load_run_selected": load_documents("hourly_soil_conditions", selected=True),
-    "loaded_meteorological": load_documents("meteorological_calculations"),
-    "loaded_precip_evap": load_documents("hourly_precipitation_evaporation"),
-    "loaded_soil": load_documents("hourly_soil_conditions"),
-    "loaded_weather": load_documents("hourly_weather_conditions"),
-    "loaded_wind": load_documents("hourly_wind_atmospheric_conditions"),
-    "loaded_daily": load_documents(DAILY_TABLE),
+    "load_run_all": load_run_all,
+    "load_run_selected": load_run_selected,
+    "loaded_meteorological": loaded_table("meteorological_calculations"),
+    "loaded_precip_evap": loaded_table("hourly_precipitation_evaporation"),
+    "loaded_soil": loaded_table("hourly_soil_conditions"),
+    "loaded_weather": loaded_table("hourly_weather_conditions"),
+    "loaded_wind": loaded_table("hourly_wind_atmospheric_conditions"),
+    "loaded_daily": loaded_table(DAILY_TABLE),
+    "daily_merged": loaded_table(DAILY_TABLE, merge_days=True),
+    "daily_extreme_values": daily_extreme_values,
+    "replace_out_of_order": replace_out_of_order,
+    "compacted_tables": compacted_tables,
+    "quarantine_replay": quarantine_replay,
+    "stream_load": streamed,
     "sql_preview_daily": by_statement("preview_daily"),
     "sql_daily_extremes": by_statement("daily_extremes", date=DATE),
     "sql_city_averages": by_statement("city_averages"),

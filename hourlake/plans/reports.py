@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.functions.rounding import exact_mean
+from hourlake.operators.exact import Summary, summarise
 from hourlake.schema import DAILY_TABLE
 
 JOIN_KEYS = ["city", "date", "hour"]
@@ -46,12 +46,8 @@ def city_averages(
     joined = fall.select(*JOIN_KEYS, "snowfall", "rain").join(
         air.select(*JOIN_KEYS, "surface_pressure", "wind_speed_10m"), JOIN_KEYS
     )
-    return joined.groupBy("city").agg(
-        exact_mean("snowfall", fall_scale).alias("average_snowfall"),
-        exact_mean("rain", fall_scale).alias("average_rain"),
-        exact_mean("surface_pressure", air_scale).alias("average_surface_pressure"),
-        exact_mean("wind_speed_10m", air_scale).alias("average_wind_speed_10m"),
-    )
+    scales = {"snowfall": fall_scale, "rain": fall_scale, "surface_pressure": air_scale, "wind_speed_10m": air_scale}
+    return summarise(joined, ["city"], Summary(means={f"average_{c}": (c, s) for c, s in scales.items()}))
 
 
 def temperatures(

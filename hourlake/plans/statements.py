@@ -5,11 +5,31 @@ Run with ``spark.sql(STATEMENTS[name], args)``.
 
 from __future__ import annotations
 
-# decimals of eleven places add up exactly: see hourlake.functions.rounding
-def _mean(column: str, scale: int) -> str:
-    total = f"cast(sum(cast({column} AS decimal(20, 11))) AS decimal(28, 11))"
-    mean = f"{total} / cast(count({column}) AS decimal(12, 0))"
-    return f"cast(round({mean}, {scale}) AS double)"
+from hourlake.functions import rounding
+
+
+def _means(source: str, key: str, scales: dict[str, int]) -> str:
+    """``source`` (a named query) with the exact mean of some columns by ``key``, as SQL."""
+    columns, first = list(scales), "coalesce(place, 0) = 0"
+    kinds = {"sum": rounding.ordinary_sum, "n": rounding.value_count, "marks": rounding.marks}
+    states = ", ".join(f"{text(c, first)} AS {kind}_{c}" for c in columns for kind, text in kinds.items())
+    folds = {"sum": "sum", "n": "sum", "marks": "bit_or"}
+    merged = ", ".join(f"{fold}({kind}_{c}) AS {kind}_{c}" for c in columns for kind, fold in folds.items())
+    results = ",\n".join(
+        rounding.result(i, f"sum_{c}", f"n_{c}", f"marks_{c}", "bands", scale, True) + f" AS average_{c}"
+        for i, (c, scale) in enumerate(scales.items())
+    )
+    return f"""large_values AS (
+            SELECT *, posexplode_outer({rounding.large_values(columns)}) AS (place, large) FROM {source}
+        ), states AS (
+            SELECT {key}, large.slot, large.band, sum(large.digits) AS large_sum, {states}
+            FROM large_values GROUP BY {key}, large.slot, large.band
+        ), merged AS (
+            SELECT {key}, collect_list(CASE WHEN large_sum <> 0 THEN
+                struct(slot, band, large_sum AS sum) END) AS bands, {merged}
+            FROM states GROUP BY {key}
+        )
+        SELECT {key}, {results} FROM merged"""
 
 
 STATEMENTS = {
@@ -22,17 +42,17 @@ STATEMENTS = {
         FROM daily_weather_summary
         WHERE date = :date AND NOT forecast_data
     """,
-    "city_averages": f"""
-        SELECT w.city,
-               {_mean("p.snowfall", 6)} AS average_snowfall,
-               {_mean("p.rain", 6)} AS average_rain,
-               {_mean("w.surface_pressure", 4)} AS average_surface_pressure,
-               {_mean("w.wind_speed_10m", 4)} AS average_wind_speed_10m
-        FROM hourly_precipitation_evaporation p
-        JOIN hourly_wind_atmospheric_conditions w USING (city, date, hour)
-        WHERE NOT w.forecast_data AND NOT p.forecast_data
-        GROUP BY w.city
-    """,
+    "city_averages": """
+        WITH fall AS (
+            SELECT city, date, hour, snowfall, rain
+            FROM hourly_precipitation_evaporation WHERE NOT forecast_data
+        ), air AS (
+            SELECT city, date, hour, surface_pressure, wind_speed_10m
+            FROM hourly_wind_atmospheric_conditions WHERE NOT forecast_data
+        ), hours AS (
+            SELECT * FROM fall JOIN air USING (city, date, hour)
+        ), """
+    + _means("hours", "city", {"snowfall": 6, "rain": 6, "surface_pressure": 4, "wind_speed_10m": 4}),
     "temperatures": """
         SELECT temperature_2m, temperature_80m, temperature_120m
         FROM hourly_weather_conditions
@@ -56,8 +76,7 @@ STATEMENTS = {
     """,
     "wide_report": """
         WITH soil AS (
-            SELECT * EXCEPT (is_day, soil_moisture_0_to_1cm, soil_moisture_1_to_3cm,
-                             soil_moisture_3_to_9cm)
+            SELECT city, date, hour, soil_temperature_0cm, soil_temperature_6cm, soil_temperature_18cm
             FROM hourly_soil_conditions
             WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
         ), wind AS (
@@ -65,7 +84,8 @@ STATEMENTS = {
             FROM hourly_wind_atmospheric_conditions
             WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
         ), indices AS (
-            SELECT * EXCEPT (is_day, forecast_data)
+            SELECT city, date, hour, heat_index, wind_chill, precipitation_rate,
+                   potential_evapotranspiration, atmospheric_pressure_diff
             FROM meteorological_calculations
             WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
         ), air AS (
@@ -73,7 +93,12 @@ STATEMENTS = {
             FROM hourly_weather_conditions
             WHERE forecast_data AND city = :city AND date BETWEEN :first_date AND :last_date
         )
-        SELECT * EXCEPT (forecast_data)
+        SELECT city, date, hour,
+               temperature_2m, temperature_80m, temperature_120m,
+               soil_temperature_0cm, soil_temperature_6cm, soil_temperature_18cm,
+               wind_speed_10m, wind_speed_80m, wind_speed_120m,
+               heat_index, wind_chill, precipitation_rate,
+               potential_evapotranspiration, atmospheric_pressure_diff
         FROM air JOIN soil USING (city, date, hour) JOIN wind USING (city, date, hour)
              JOIN indices USING (city, date, hour)
         ORDER BY date NULLS LAST, hour NULLS LAST

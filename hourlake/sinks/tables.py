@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.schema import BATCH_KEYS, DAILY_TABLE, HOUR_KEYS
-from hourlake.sources.tables import loads_path, read_unloaded, table_exists, table_path
+from hourlake.sources.store import LOADS, store_path
+from hourlake.sources.tables import read_unloaded, table_exists, table_path
 
 APPEND = "append"
 REPLACE = "replace_batch"
@@ -43,7 +44,7 @@ def write_tables(
 
 def write_load(table: DataFrame, base: str, name: str, load_id: str) -> None:
     """Rows of a load that are arranged already, in its own folder: no exchange, only a projection."""
-    folder = f"{loads_path(base, name)}/load_id={load_id}"
+    folder = store_path(base, LOADS, name, f"load_id={load_id}")
     table.write.partitionBy("date").parquet(folder)
 
 

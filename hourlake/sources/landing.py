@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,23 +161,60 @@ def document_columns(path: Column) -> list[Column]:
 
 
 def listed_versions(files: DataFrame) -> DataFrame:
-    """(document, modified, size) of all files of a frame of binary files.
-
-    Spark reads no file without bytes, but its index lists it; such a file has no time here.
-    """
+    """(document, modified, size) of all files of a frame of binary files, those without bytes included."""
     read = files.select(
         F.col("_metadata.file_path").alias("document"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("size"),
     )
+    empty = empty_versions(files, read)
+    return read if empty is None else read.unionByName(empty)
+
+
+def empty_versions(files: DataFrame, read: DataFrame) -> DataFrame | None:
+    """Versions of the files without bytes, which Spark lists but does not read; None if there is none.
+
+    The listing stays in the JVM, where Spark's index has it; Python sees the paths of empty files only, and
+    asks the file system for their times.
+    """
     spark = files.sparkSession
-    # an empty authority is written in one of two ways; rows of files have the shorter one
-    paths = [(path.replace(":///", ":/", 1),) for path in files.inputFiles()]
-    listed = spark.createDataFrame(paths, "document string")
-    empty = listed.join(read, "document", "left_anti").select(
-        "document", F.timestamp_seconds(F.lit(0)).alias("modified"), F.lit(0).cast("long").alias("size")
+    listed = files._jdf.inputFiles()  # a reference to the JVM's array
+    if len(listed) == read.count():
+        return None
+    strings = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(listed)
+    paths = DataFrame(
+        spark._jsparkSession.createDataset(strings, spark._jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark
     )
-    return read.unionByName(empty)
+    # an empty authority is written in one of two ways; rows of files have the shorter one
+    named = paths.select(F.regexp_replace("value", r"^([A-Za-z0-9.+-]+):///", "$1:/").alias("document"))
+    found = []
+    for row in named.join(read, "document", "left_anti").collect():
+        status = _file_status(spark, row["document"])
+        if status is not None and status.getLen() == 0:
+            found.append((row["document"], status.getModificationTime()))
+    if not found:
+        return None
+    versions = spark.createDataFrame(found, "document string, millis long")
+    return versions.select("document", F.timestamp_millis("millis").alias("modified"), F.lit(0).cast("long").alias("size"))
+
+
+def _file_status(spark: SparkSession, document: str):
+    """What the file system says of a file; None if it is gone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(document))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        return system.getFileStatus(path)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() != "java.io.FileNotFoundException":
+            raise
+        return None
+
+
+def only_files(files: DataFrame, documents: list[str]) -> DataFrame:
+    """The rows of the named files; the condition reaches the index, so no other file is read."""
+    quoted = ("'" + d.replace("\\", "\\\\").replace("'", "\\'") + "'" for d in documents)
+    # as text: a column per name takes far longer to make
+    return files.where(f"_metadata.file_path IN ({', '.join(quoted)})") if documents else files.where("false")
 
 
 def empty_documents(versions: DataFrame) -> DataFrame:
@@ -218,7 +256,9 @@ def _documents(spark, path, run_date, cities, pattern) -> DataFrame:
     files = binary_files(spark, root, pattern)
     if files is None:
         return spark.createDataFrame([], _DOCUMENT_ROW)
-    return documents_in(files).unionByName(empty_documents(listed_versions(files)))
+    documents = documents_in(files)
+    empty = empty_versions(files, files.select(F.col("_metadata.file_path").alias("document")))
+    return documents if empty is None else documents.unionByName(empty_documents(empty))
 
 
 def _lines(spark, path, run_date, cities) -> DataFrame:

@@ -2,95 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hourlake.schema import DAILY_TABLE, TABLE_NAMES, table_columns, table_schema
+from hourlake.operators.exact import finish_states, merge_states
+from hourlake.operators.tables import day_summary
+from hourlake.schema import DAILY_TABLE, DAY_KEYS, TABLE_NAMES, table_columns, table_schema
+from hourlake.sources.store import Store, existing, open_store
 
-
-MANIFEST = "load_manifest"
+#: What loads store of the daily table: states by document, which are finished when they are read.
+DAILY_STATES = "daily_states"
 
 
 def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def loads_path(base: str, name: str) -> str:
-    return f"{base.rstrip('/')}/loads/{name}"
+def states_schema() -> T.StructType:
+    keys = [f for f in table_schema(DAILY_TABLE).fields if f.name in DAY_KEYS]
+    return T.StructType([*keys, *day_summary().state_fields()])
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def read_table(
+    spark: SparkSession, base: str, name: str, store: Store | None = None, merge_days: bool = False
+) -> DataFrame:
     """One table; the schema is fixed, so no file is opened to find it.
 
     Rows that loads have written count as far as the manifests call them current; rows that were
-    written without a load (``write_tables``) always do.
+    written without a load (``write_tables``) always do. A daily row summarises a half of one document, or
+    with ``merge_days`` a half of a day over all its documents, so that its keys are unique.
     """
-    manifest = read_manifest(spark, base)
-    if manifest is None:
+    store = store or open_store(spark, base)
+    if store is None:
         return read_unloaded(spark, base, name)
-    schema = table_schema(name).add("document", "string").add("load_id", "string")
-    written = _existing(spark, loads_path(base, name), schema)
-    if written is None:  # no load has had a row for it
-        written = spark.createDataFrame([], schema)
-    # a manifest row per document and load; small next to the hours, and Spark sees how small
-    loaded = written.join(current_versions(manifest), ["document", "load_id"], "left_semi")
+    loaded = _daily(store, merge_days) if name == DAILY_TABLE else store.rows(name, table_schema(name))
     table = loaded.select(*table_columns(name))
     if table_exists(spark, base, name):
         table = table.unionByName(read_unloaded(spark, base, name))
     return table
 
 
+def _daily(store: Store, merge_days: bool) -> DataFrame:
+    """Daily rows from the states of documents: finished as they are, or merged first."""
+    states, summary = store.rows(DAILY_STATES, states_schema()), day_summary()
+    if not merge_days:
+        return finish_states(states, [*DAY_KEYS, "document", "load_id"], summary)
+    return finish_states(merge_states(states, DAY_KEYS, summary), DAY_KEYS, summary)
+
+
 def read_unloaded(spark: SparkSession, base: str, name: str) -> DataFrame:
     """The rows that were written without a load."""
     table = spark.read.schema(table_schema(name)).parquet(table_path(base, name))
     return table.select(*table_columns(name))
 
 
-def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def read_manifest(spark: SparkSession, base: str) -> DataFrame | None:
-    """Versions of documents by load, or None before the first load."""
-    schema = (
-        "document string, modified timestamp, size long, status string, feed string, batch int, "
-        "replaces boolean, published timestamp, load_id string"
-    )
-    return _existing(spark, table_path(base, MANIFEST), schema)
-
-
-def current_versions(manifest: DataFrame) -> DataFrame:
-    """(document, load_id) whose rows count: from the last replacing load of a document on.
-
-    A quarantined version replaces nothing: what was published stays.
-    """
-    known = manifest.where("status <> 'quarantined'").select(
-        "document", "load_id", "replaces", F.struct("published", "load_id").alias("order")
-    ).distinct()
-    last = known.groupBy("document").agg(
-        F.max(F.when(F.col("replaces"), F.col("order"))).alias("since")
-    )
-    return (
-        known.join(last, "document")
-        .where(F.col("since").isNull() | (F.col("order") >= F.col("since")))
-        .select("document", "load_id")
-        .distinct()
-    )
-
-
-def read_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, base, name) for name in TABLE_NAMES}
+def read_tables(spark: SparkSession, base: str, merge_days: bool = False) -> dict[str, DataFrame]:
+    """All tables, as one opening of the store has them."""
+    store = open_store(spark, base)
+    return {name: read_table(spark, base, name, store, merge_days) for name in TABLE_NAMES}
 
 
 def table_exists(spark: SparkSession, base: str, name: str) -> bool:
     """Whether rows were written without a load."""
-    return _existing(spark, table_path(base, name), table_schema(name)) is not None
+    return existing(spark, table_path(base, name), table_schema(name)) is not None
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourlake.operators.numbering import POSITION, number_rows
 from hourlake.plans.load import publish_rows, report_missing_documents, short_name
 from hourlake.session import drop_folder, write_aside
 from hourlake.sinks.tables import REPLACE
@@ -14,9 +15,15 @@ from hourlake.sources.landing import (
     documents_in,
     empty_documents,
     listed_versions,
+    only_files,
     parse_documents,
 )
-from hourlake.sources.tables import read_manifest
+from hourlake.sources.store import open_store
+
+#: Files that are named to the scan at a time, where not all that are there have arrived.
+FILES_AT_ONCE = 5_000
+#: Parts of the arrivals that are numbered on their own.
+_SLICES = 997
 
 
 def incremental_load(
@@ -34,55 +41,56 @@ def incremental_load(
 
     A version of a document is its path, time and size: the listing is joined to the versions
     that the manifests of this feed (``progress`` names it) have, so a document that is put again
-    is read again, and no age matters. A document without bytes is read unless it was so when last
-    read. A load that fails has no manifest, is not seen and is done again; nothing is published
-    twice. ``files_per_batch`` bounds what is read at a time, on average, and has no influence on
-    the result. What is missing of ``expected`` is reported once, after all documents have been seen.
+    is read again, and no age matters. A load that fails has no manifest, is not seen and is done again;
+    nothing is published twice. ``files_per_batch`` is how many documents are read at a time and has no
+    influence on the result; the scan of a batch opens its own files and no others. What is missing of
+    ``expected`` is reported once, after all documents have been seen.
     """
     feed = short_name(progress)
-    manifest = read_manifest(spark, base)
+    store = open_store(spark, base)
     files = binary_files(spark, landing, file_pattern)
     if files is not None:
         batch = 0
         listed = listed_versions(files)
-        if manifest is not None:
-            own = manifest.where(F.col("feed") == feed)
+        if store is not None:
+            own = store.manifest.where(F.col("feed") == feed)
             batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
-            listed = listed.join(_taken(own), VERSION, "left_anti")
+            listed = listed.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
         arrivals, folder = write_aside(listed, "arrivals")
         try:
-            _publish_arrivals(files, arrivals, base, expected, mode, feed, batch, files_per_batch, first_half_flag)
+            for documents in _batches(files, arrivals, store is None, files_per_batch):
+                load_id = f"batch-{feed}-{batch}"
+                rows = parse_documents(documents)
+                publish_rows(rows, base, expected, mode, load_id, first_half_flag, feed, batch, report_missing=False)
+                batch += 1
         finally:
             drop_folder(spark, folder)
-    if expected is not None and read_manifest(spark, base) is not None:
+    if expected is not None and open_store(spark, base) is not None:
         report_missing_documents(spark, base, expected, f"missing-{feed}")
 
 
-def _taken(own: DataFrame) -> DataFrame:
-    """The versions that are not read again, from the manifest rows of one feed.
-
-    All versions without bytes look alike, so one is known only if it is its document's last.
-    """
-    last = own.groupBy("document").agg(F.max_by(F.struct("modified", "size"), "batch").alias("last"))
-    empty = last.select("document", "last.*").where("size = 0")
-    return own.select(*VERSION).where("size > 0").distinct().unionByName(empty)
-
-
-def _publish_arrivals(
-    files, arrivals, base, expected, mode, feed, batch, files_per_batch, first_half_flag
-) -> None:
-    found = arrivals.agg(
-        F.count("*").alias("n"), F.min("modified").alias("first"), F.max("modified").alias("last")
-    ).first()
-    parts = -(-found["n"] // files_per_batch) if files_per_batch else min(1, found["n"])
-    for part in range(parts):
-        share = F.pmod(F.xxhash64(*VERSION), F.lit(parts)) == part
-        # the times reach the scan, which opens no other file
-        recent = files.where(F.col("modificationTime").between(found["first"], found["last"]))
-        documents = documents_in(recent).join(arrivals.where(share), VERSION, "left_semi")
-        documents = documents.unionByName(empty_documents(arrivals.where(share)))
-        load_id = f"batch-{feed}-{batch + part}"
-        rows = parse_documents(documents)
-        publish_rows(
-            rows, base, expected, mode, load_id, first_half_flag, feed, batch + part, report_missing=False
-        )
+def _batches(files: DataFrame, arrivals: DataFrame, all_files: bool, files_per_batch: int | None):
+    """Documents of each batch: of all files at once, or of the files that are named to the scan."""
+    number = arrivals.count()
+    if not number:
+        return
+    if all_files and files_per_batch is None:
+        yield documents_in(files).unionByName(empty_documents(arrivals))
+        return
+    size = files_per_batch or FILES_AT_ONCE
+    placed, folder = arrivals.withColumn("_batch", F.lit(0)), None
+    if number > size:
+        # numbered by a hash, in slices: no task gets all of them
+        sliced = arrivals.withColumns({"_all": F.lit(0), "_slice": F.pmod(F.xxhash64("document"), F.lit(_SLICES))})
+        numbered = number_rows(sliced, ["_all"], ["_slice", "document"], F.col("_slice"))
+        placed = numbered.withColumn("_batch", F.floor(F.col(POSITION) / size).cast("int"))
+        placed, folder = write_aside(placed.select(*VERSION, "_batch"), "batches")
+    try:
+        for batch in range(-(-number // size)):
+            own = placed.where(F.col("_batch") == batch)
+            # at most as many names as documents in a batch
+            named = [r["document"] for r in own.where("size > 0").select("document").collect()]
+            yield documents_in(only_files(files, named)).unionByName(empty_documents(own))
+    finally:
+        if folder is not None:
+            drop_folder(files.sparkSession, folder)
