@@ -7,20 +7,28 @@ of random strings and one of ordinary identifiers, are counted from labelled sam
 a finding if its log-likelihood ratio is high in total and by character. All of it stays in the
 row; only the counts of character pairs are aggregated.
 
+A text may be one run, or have very many findings. Characters are looked at once, and sums and maxima over
+the matches of a text are taken in blocks (``_scan``), so no step goes through a text, or copies a list of
+findings, once for each finding.
+
+Identifiers that are long enough to be findings teach the second model only if a first one, which has seen
+short ones alone, does not call them random: random strings that no pattern names are not taught as ordinary.
+
 Defined cases: a null text is empty; without labelled samples a model is uniform; a run that fixed
 findings cover wholly is not reported twice, one that reaches past them is reported with its whole
-span; repeated rows give repeated results; ``redact`` keeps all columns and replaces the texts'
-findings.
+span; repeated rows give repeated results, and repeated texts are learned from once; ``redact`` keeps all
+columns and replaces the texts' findings.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import free_name
+from hourlake.llm.common import free_name, stored
 
 #: Kinds in the order in which equal starts are listed: pattern, group and length that count.
 KINDS = {
@@ -41,8 +49,10 @@ RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}=*"
 #: Ordinary identifiers to learn from: words and numbers, with underscores and hyphens.
 IDENTIFIER = r"[A-Za-z0-9][A-Za-z0-9_-]{5,}"
 
-#: Expected number of documents whose labelled strings are counted, and their length at most.
+#: Expected number of documents whose labelled strings are counted (of equal texts one), and their length at most.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 5_000, 200_000
+#: Characters of a block of a text that is cut at its findings.
+BLOCK_CHARS = 4_096
 #: A finding's log-likelihood ratio in nats: in total, and per character.
 TOTAL, PER_PAIR = 12.0, 0.6
 
@@ -66,16 +76,49 @@ def _may_match(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _scan(array: str, start: str, fold: Callable[[str, str], str]) -> str:
+    """What the elements before each one fold to, from ``start``.
+
+    A list grows by copying, so it is grown in blocks of about the square root of the array's size.
+    """
+
+    def along(values: str, at: str) -> str:
+        nothing = f"named_struct('at', {at}, 'done', cast(array() as array<int>))"
+        step = f"named_struct('at', {fold('a.at', 'x')}, 'done', concat(a.done, array(a.at)))"
+        return f"aggregate({values}, {nothing}, (a, x) -> {step}, a -> a.done)"
+
+    folded = f"transform(b, t -> aggregate(t, {start}, (a, x) -> {fold('a', 'x')}))"
+    body = f"flatten(transform(b, (t, i) -> {along('t', 'o[i]')}))"
+    body = _let("o", along(folded, start), body)
+    body = _let("b", "transform(sequence(1, size(s), k), i -> slice(s, i, k))", body)
+    body = _let("k", "cast(ceil(sqrt(size(s))) as int)", body)
+    return _let("s", array, f"case when size(s) = 0 then cast(array() as array<int>) else {body} end")
+
+
 def _places(matches: str, between: str) -> Column:
     """Start and end of each match: lengths of all that stands before, added up."""
-    return F.expr(
-        f"""aggregate({matches}, struct(0 as at, cast(array() as {SPAN}) as spans), (a, m) ->
-              struct(a.at + length({between}[size(a.spans)]) + length(m) as at,
-                     concat(a.spans, array(struct(
-                       a.at + length({between}[size(a.spans)]) as start,
-                       a.at + length({between}[size(a.spans)]) + length(m) as past))) as spans),
-            a -> a.spans)"""
-    )
+    sizes = f"transform({matches}, (m, i) -> length({between}[i]) + length(m))"
+    spans = f"""transform(before, (p, i) -> named_struct(
+        'start', p + length({between}[i]), 'past', p + length({between}[i]) + length({matches}[i])))"""
+    return F.expr(_let("before", _scan(sizes, "0", lambda a, x: f"{a} + {x}"), spans))
+
+
+def _segments(spans: str, touching: bool) -> str:
+    """Union of spans that are sorted by start: (start, past) of its parts; ``touching`` spans are one part."""
+    apart = ">" if touching else ">="
+    reach = _scan(f"transform({spans}, x -> x.past)", "-1", lambda a, x: f"greatest({a}, {x})")
+    heads = f"filter(sequence(0, size({spans}) - 1), i -> {spans}[i].start {apart} reach[i])"
+    # up to the next head, spans reach no farther than that head sees
+    rest = f"array_max(transform(slice({spans}, h + 1, size({spans})), x -> x.past))"
+    past = f"case when i + 1 = size(heads) then {rest} else reach[heads[i + 1]] end"
+    parts = f"transform(heads, (h, i) -> named_struct('start', {spans}[h].start, 'past', {past}))"
+    body = _let("reach", reach, _let("heads", heads, parts))
+    return f"case when size({spans}) = 0 then cast(array() as {SPAN}) else {body} end"
 
 
 def _found(frame: DataFrame, name: str, text: str, pattern: str, group: int, may: Column) -> DataFrame:
@@ -104,11 +147,9 @@ def base_findings(frame: DataFrame, text: str = "text") -> DataFrame:
 
 def pair_counts(labelled: DataFrame) -> dict[tuple[int, str], int]:
     """Counts of (label, pair of characters) in strings with a label; at most a few thousand."""
+    pairs = "transform(slice(c, 1, size(c) - 1), (x, i) -> concat(x, c[i + 1]))"
     pairs = labelled.where(F.length("string") >= 2).select(
-        "label",
-        F.explode(
-            F.expr("transform(sequence(1, length(string) - 1), i -> substr(string, i, 2))")
-        ).alias("pair"),
+        "label", F.explode(F.expr(_let("c", "split(string, '')", pairs))).alias("pair")
     )
     counts = pairs.groupBy("label", "pair").agg(F.count("*").alias("n"))
     inside = F.col("pair").rlike(r"\A[A-Za-z0-9+/_=-]{2}\z")
@@ -142,7 +183,7 @@ def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
         & (F.octet_length("text") <= SAMPLE_BYTES)
     )
-    frame = base_findings(sampled)
+    frame = base_findings(sampled.distinct())
     values = F.flatten(F.array(*[F.transform(k, lambda x: x["value"]) for k in KINDS]))
     frame = frame.withColumn("values", values).withColumn(
         "others", F.array_except(_matches(F.col("text"), IDENTIFIER), F.col("values"))
@@ -160,6 +201,34 @@ def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     return frame.select(F.explode(both).alias("s")).select("s.*")
 
 
+def _ratio(run: str, model: list[float]) -> str:
+    """Log-likelihood ratio of a run: its characters become numbers once, and pairs of them places in a table."""
+    codes = [0] * 128
+    for i, character in enumerate(ALPHABET):
+        codes[ord(character)] = i
+    numbers = f"transform(split({run}, ''), x -> array({', '.join(map(str, codes))})[ascii(x)])"
+    table = "array(" + ", ".join(f"{x:.6f}D" for x in model) + ")"
+    step = f"named_struct('sum', a.sum + {table}[a.last * {len(ALPHABET)} + x], 'last', x)"
+    total = f"aggregate(slice(c, 2, size(c)), named_struct('sum', 0D, 'last', c[0]), (a, x) -> {step}, a -> a.sum)"
+    return _let("c", numbers, total)
+
+
+def _is_random(score: str, run: str) -> str:
+    return f"({score} >= {TOTAL} and {score} >= {PER_PAIR} * (length({run}) - 1))"
+
+
+def learn(docs: DataFrame, text: str = "text") -> list[float]:
+    """The two models, as ratios, from the documents' own labelled strings."""
+    labelled = stored(labelled_strings(docs, text), "strings")
+    long_ = (F.col("label") == 0) & (F.length("string") >= LENGTH)
+    counts = pair_counts(labelled.where(~long_))
+    scored = labelled.where(long_).withColumn("score", F.expr(_ratio("string", ratios(counts))))
+    ordinary = scored.where(f"not {_is_random('score', 'string')}")
+    for pair, n in pair_counts(ordinary).items():
+        counts[pair] = counts.get(pair, 0) + n
+    return ratios(counts)
+
+
 def scan_secrets(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     """``docs`` with ``findings``: kind, start, end (code points) and value, by start and kind."""
     result = free_name(docs, "findings")
@@ -175,46 +244,52 @@ def scan_secrets(docs: DataFrame, model: list[float], text: str = "text") -> Dat
         + ")"
     )
     frame = _found(frame.withColumn("fixed", F.array_sort(fixed)), "runs", "text", RUN, 0, F.lit(True))
-    table = "array(" + ", ".join(f"{x:.6f}D" for x in model) + ")"
-    ratio = f"""aggregate(sequence(1, length(v) - 1), 0D, (a, i) -> a +
-        {table}[(locate(substr(v, i, 1), '{ALPHABET}') - 1) * {len(ALPHABET)}
-                + locate(substr(v, i + 1, 1), '{ALPHABET}') - 1])"""
-    scored = F.expr(f"transform(runs_value, v -> {ratio})")
-    # up to where fixed findings, by start, cover the run without a gap
-    covered = """aggregate(fixed, x.runs.start, (a, f) ->
-        case when f.start <= a and f.past > a then f.past else a end)"""
+    scored = F.expr(f"transform(runs_value, v -> {_ratio('v', model)})")
+    found = f"""filter(arrays_zip(runs, runs_value, scores),
+        x -> {_is_random('x.scores', 'x.runs_value')})"""
+    frame = frame.withColumn("scores", scored).withColumn("high", F.expr(found))
+    # the parts of what fixed findings cover; only few texts have both these and high scores
+    both = (F.size("high") > 0) & (F.size("fixed") > 0)
+    parts = F.when(both, F.expr(_segments("fixed", True))).otherwise(F.array().cast(SPAN))
+    frame = frame.withColumn("parts", parts)
+    # the first part that ends after the run's start, by halving
+    first = """aggregate(sequence(1, 31), named_struct('low', 0, 'past', size(parts)), (a, i) ->
+        case when a.low >= a.past then a
+             when parts[(a.low + a.past) div 2].past > x.runs.start
+               then named_struct('low', a.low, 'past', cast((a.low + a.past) div 2 as int))
+             else named_struct('low', cast((a.low + a.past) div 2 as int) + 1, 'past', a.past) end, a -> a.low)"""
+    part = _let("p", f"get(parts, {first})", "coalesce(p.start <= x.runs.start and p.past >= x.runs.past, false)")
     random = F.expr(
-        f"""transform(filter(arrays_zip(runs, runs_value, scores),
-              x -> x.scores >= {TOTAL} and x.scores >= {PER_PAIR} * (length(x.runs_value) - 1)
-                and {covered} < x.runs.past),
+        f"""transform(filter(high, x -> size(parts) = 0 or not {part}),
             x -> struct(x.runs.start as start, {len(KINDS)} as order, x.runs.past as past,
                         '{RANDOM}' as kind, x.runs_value as value))"""
     )
     return (
-        frame.withColumn("scores", scored)
-        .withColumn("found", F.array_sort(F.concat("fixed", random)))
+        frame.withColumn("found", F.array_sort(F.concat("fixed", random)))
         .select("doc.*", F.col("found").alias(result))
     )
 
 
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """Learn the two models from the documents' own labelled strings and scan all documents."""
-    return scan_secrets(docs, ratios(pair_counts(labelled_strings(docs, text))), text)
+    return scan_secrets(docs, learn(docs, text), text)
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """``docs`` with each finding replaced; where findings overlap, their union is."""
     name = free_name(docs, "findings")
     found = find_secrets(docs, text)
-    # (end of what is done, text so far), by start
-    cut = F.expr(
-        f"""aggregate(`{name}`, struct(0 as at, '' as done), (a, f) ->
-              case when f.past <= a.at then a
-                   when f.start < a.at then struct(f.past as at, a.done as done)
-                   else struct(f.past as at, concat(a.done,
-                        substr(`{text}`, a.at + 1, f.start - a.at), '{mark}') as done) end,
-            a -> concat(a.done, substr(`{text}`, a.at + 1)))"""
-    )
+    # pieces between the parts of the union, out of blocks of the text: a block is gone through, not the text
+    piece = f"""array_join(transform(sequence(low div {BLOCK_CHARS}, (past - 1) div {BLOCK_CHARS}), k -> {_let(
+        "l", f"cast(greatest(low - k * {BLOCK_CHARS}, 0) as int)",
+        f"substr(blocks[cast(k as int)], l + 1, cast(least(past - k * {BLOCK_CHARS}, {BLOCK_CHARS}) as int) - l)",
+    )}), '')"""
+    piece = _let("past", "coalesce(parts[i].start, size)", f"case when low >= past then '' else {piece} end")
+    piece = _let("low", "case when i = 0 then 0 else parts[i - 1].past end", piece)
+    joined = f"array_join(transform(sequence(0, size(parts)), i -> {piece.replace('parts[i]', 'get(parts, i)')}), '{mark}')"
+    cut = _let("size", f"length(`{text}`)", joined)
+    cut = _let("blocks", f"regexp_extract_all(`{text}`, '(?s).{{1,{BLOCK_CHARS}}}', 0)", cut)
+    cut = F.expr(_let("parts", _segments(f"`{name}`", False), cut))
     return found.withColumn(
         text, F.when(F.size(name) > 0, cut).otherwise(F.col(text))
     ).select(*docs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from hourlake.llm import secrets as S
 from tests.llm.texts import SF, docs_frame, prose
@@ -63,7 +64,7 @@ def held_out_strings(seed=5):
 
 def test_models_tell_random_strings_from_identifiers(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    model = S.ratios(S.pair_counts(S.labelled_strings(docs)))
+    model = S.learn(docs)
     random_ = held_out_strings()
     # identifiers that the training texts do not have
     ordinary = ["".join(prose(700 + i, 6).split()[:5])[:40] for i in range(200)]
@@ -97,7 +98,7 @@ def test_random_runs_longer_than_fixed_findings_are_found_and_cut(spark):
     runs = [f"{key}/{tail}", f"{key}-{tail}", f"{tail}_{key}", f"{digits}{tail}", f"{tail}+{digits}/{key}"]
     covered = [key, digits, f"token={tail}", f"token={tail}/{digits}"]
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    model = S.ratios(S.pair_counts(S.labelled_strings(docs)))
+    model = S.learn(docs)
     frame = docs_frame(spark, [f"see {r} now" for r in [*runs, *covered]])
     for r in S.scan_secrets(frame, model).collect():
         spans = [(f.start, f.past) for f in r.findings if f.kind == S.RANDOM]
@@ -106,3 +107,92 @@ def test_random_runs_longer_than_fixed_findings_are_found_and_cut(spark):
     # the pipeline's stage learns from what it redacts
     clean = S.redact(docs.unionByName(docs_frame(spark, [f"see {r} now" for r in runs], -10).select("doc_id", "text")))
     assert {r.text for r in clean.where("doc_id < 0").collect()} == {"see [secret] now"}
+
+
+def brute_random(text, model):
+    """Random runs of a text: scored pair by pair, and left out where fixed findings cover them."""
+    spans = [(*m.span(),) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [m.span() for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [m.span() for m in re.finditer("[0-9a-f]{32,}", text)]
+    found = []
+    for m in re.finditer(S.RUN, text):
+        v = m[0]
+        score = sum(round(model[S.ALPHABET.index(a) * len(S.ALPHABET) + S.ALPHABET.index(b)], 6) for a, b in zip(v, v[1:]))
+        reach = m.start()
+        for start, past in sorted(spans):
+            if start <= reach < past:
+                reach = past
+        if score >= S.TOTAL and score >= S.PER_PAIR * (len(v) - 1) and reach < m.end():
+            found.append(m.span())
+    return found
+
+
+def test_random_runs_equal_brute_force(spark):
+    rng = random.Random(11)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = S.learn(docs)
+    tokens = ["token=", "secret: ", "AKIA", "é ", " ", "_", "/", "+", "𝄞", "\n", "word ", "theination"]
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 25)):
+            parts.append(rng.choice(tokens))
+            if rng.random() < 0.6:
+                alphabet = rng.choice([S.ALPHABET[:62], "0123456789abcdef", S.ALPHABET[:26] + S.ALPHABET[52:62]])
+                parts.append("".join(rng.choices(alphabet, k=rng.randint(6, 50))))
+        texts.append("".join(parts))
+    found = S.scan_secrets(docs_frame(spark, texts), model).collect()
+    assert sum(len(brute_random(t, model)) for t in texts) > 100
+    for r in found:
+        assert [(f.start, f.past) for f in r.findings if f.kind == S.RANDOM] == brute_random(texts[r.doc_id], model)
+
+
+def union_cut(text, findings):
+    out, at = [], 0
+    for start, past in findings:
+        if past <= at:
+            continue
+        if start >= at:
+            out.append(text[at:start] + "[secret]")
+        at = max(at, past)
+    return "".join(out) + text[at:]
+
+
+def test_one_long_run_and_very_many_findings_in_one_text(spark):
+    """Time must not grow with the square of a run's length, or of the number of findings."""
+    rng = random.Random(3)
+    run = "".join(rng.choices(S.ALPHABET[:62], k=1_000_000))
+    short = [rng.choice(["token=", "see ", "é: ", "AKIA"]) + "".join(rng.choices(S.ALPHABET[:62], k=20)) for _ in range(50_000)]
+    texts = [f"see {run} now", " ".join(short), "plain words"]
+    learned = S.learn(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    started = time.time()
+    rows = {r.doc_id: r.findings for r in S.scan_secrets(docs_frame(spark, texts), learned).collect()}
+    assert time.time() - started < 60
+    assert [(f.kind, f.start, f.past) for f in rows[0]] == [(S.RANDOM, 4, 1_000_004)]
+    assert len(rows[1]) > 45_000 and not rows[2]
+    docs = docs_frame(spark, [*texts, *TEXTS])
+    clean = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    assert time.time() - started < 150
+    for r in S.find_secrets(docs).collect():
+        wanted = union_cut(r.text, [(f.start, f.past) for f in r.findings]) if r.findings else r.text
+        assert clean[r.doc_id] == wanted
+
+
+def test_random_strings_without_a_pattern_are_not_taught_as_ordinary(spark):
+    """More characters of unnamed random runs than of all identifiers: they are findings all the same."""
+    rng = random.Random(8)
+    runs = ["".join(rng.choices(S.ALPHABET[:62], k=n)) for n in [40] * 200 + [80_000]]
+    given = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = given.unionByName(docs_frame(spark, [f"see {r} now" for r in runs], -1_000).select("doc_id", "text"))
+    found = [r.findings for r in S.find_secrets(docs).where("doc_id < 0").collect()]
+    assert len(found) == len(runs) and all([f.value for f in fs] for fs in found)
+    # with the models of all identifiers taken as ordinary, they would not be
+    naive = S.ratios(S.pair_counts(S.labelled_strings(docs)))
+    missed = S.scan_secrets(docs.where("doc_id < 0"), naive).where("size(findings) = 0").count()
+    assert missed > 50
+
+
+def test_repeated_texts_are_learned_from_once(spark):
+    text = "token=abcdefgh12345678 some_identifier"
+    once = S.labelled_strings(docs_frame(spark, [text])).collect()
+    assert sorted(S.labelled_strings(docs_frame(spark, [text] * 200)).collect()) == sorted(once)
