@@ -37,6 +37,47 @@ def words_of(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+#: Places in a text or a list of words: from ``start`` up to ``past``.
+SPAN = "array<struct<start:int,past:int>>"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def scan_before(array: str, start: str, fold: Callable[[str, str], str]) -> str:
+    """What the elements before each one fold to, from ``start``.
+
+    A list grows by copying, so it is grown in blocks of about the square root of the array's size.
+    """
+
+    def along(values: str, at: str) -> str:
+        nothing = f"named_struct('at', {at}, 'done', cast(array() as array<int>))"
+        step = f"named_struct('at', {fold('a.at', 'x')}, 'done', concat(a.done, array(a.at)))"
+        return f"aggregate({values}, {nothing}, (a, x) -> {step}, a -> a.done)"
+
+    folded = f"transform(b, t -> aggregate(t, {start}, (a, x) -> {fold('a', 'x')}))"
+    body = f"flatten(transform(b, (t, i) -> {along('t', 'o[i]')}))"
+    body = let("o", along(folded, start), body)
+    body = let("b", "transform(sequence(1, size(s), k), i -> slice(s, i, k))", body)
+    body = let("k", "cast(ceil(sqrt(size(s))) as int)", body)
+    return let("s", array, f"case when size(s) = 0 then cast(array() as array<int>) else {body} end")
+
+
+def segments(spans: str, touching: bool) -> str:
+    """Union of spans that are sorted by start: (start, past) of its parts; ``touching`` spans are one part."""
+    apart = ">" if touching else ">="
+    reach = scan_before(f"transform({spans}, x -> x.past)", "-1", lambda a, x: f"greatest({a}, {x})")
+    heads = f"filter(sequence(0, size({spans}) - 1), i -> {spans}[i].start {apart} reach[i])"
+    # up to the next head, spans reach no farther than that head sees
+    rest = f"array_max(transform(slice({spans}, h + 1, size({spans})), x -> x.past))"
+    past = f"case when i + 1 = size(heads) then {rest} else reach[heads[i + 1]] end"
+    parts = f"transform(heads, (h, i) -> named_struct('start', {spans}[h].start, 'past', {past}))"
+    body = let("reach", reach, let("heads", heads, parts))
+    return f"case when size({spans}) = 0 then cast(array() as {SPAN}) else {body} end"
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """``frame`` written to the cluster's shared folder and read again.
 

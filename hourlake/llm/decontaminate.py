@@ -1,10 +1,14 @@
-"""Benchmark decontamination with a set of normalised n-grams.
+"""Benchmark decontamination with a broadcast hash set of normalised n-grams.
 
-The items' windows of ``n`` words are hashed word by word. Documents are scanned once: a place is
-a candidate if its first word, its last word and its window are in the sets of hashes, which are
-part of the plan as long as there are at most ``SET_WINDOWS`` of them; beyond that, the document
-windows are joined by hash instead. Each candidate is verified by its words, and the places that a
-document's verified windows cover are merged.
+The items' windows of ``n`` words are hashed word by word. Documents are scanned once, in the row: a place
+stays if the codes of its first word, its last word and its window are in bitmaps of the items' codes, which
+have a fixed size and are part of the plan. What stays is joined to the set of window codes, which is
+broadcast (eight bytes a window), and verified word by word; so a candidate's words are put together only if
+its code is in the set. A set of more than ``SET_BYTES`` is joined by hash instead; nothing else changes.
+
+A window is one class with one set of items, however many items share it, and equal sets of items are one
+set. A place has at most one class, and a document's items are unfolded once for each of its sets. The places
+that a document's verified windows cover are merged.
 
 Defined cases: null or empty texts have no words; an item of fewer than ``n`` words is one window;
 an item without an id contaminates, but is not listed; repeated rows are told apart; without items
@@ -13,18 +17,20 @@ nothing is hit; extra columns of ``documents`` pass through ``decontaminate``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import CASED_WORD, free_name, row_mark, stored, words_of
+from hourlake.llm.common import CASED_WORD, SPAN, free_name, row_mark, segments, stored, words_of
 
 WINDOW = 10
-#: More windows than that are joined, not put into the plan.
-SET_WINDOWS = 50_000
-#: A window table of at most so many rows is broadcast to verify candidates.
-BROADCAST_WINDOWS = 200_000
+#: Bits of each bitmap. With many windows more places pass, and the join sorts them out.
+BITS = 1 << 20
+#: Bytes up to which the set of codes, and the windows' words, are broadcast.
+SET_BYTES = 64 << 20
+#: Bytes of a code in a broadcast set, with what its table adds.
+CODE_BYTES = 32
 
-HIT = "array<struct<place:int,size:int,gram:string>>"
+HIT = "array<struct<place:int,size:int,code:bigint>>"
 
 
 def _hash(size: int, at: str = "i") -> str:
@@ -63,112 +69,120 @@ def item_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
     ).distinct()
 
 
-def _listed(test: str, values: set[int]) -> str:
-    return f"{test} in ({', '.join(f'{v}L' for v in sorted(values))})"
+def _bitmaps(windows: DataFrame) -> dict[str, list[int]]:
+    """For the codes of first words, last words and windows, which residues occur; at most ``BITS`` / 64 rows."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("first", "last", "code")])
+    values = windows.select("size", F.explode(kinds).alias("v")).select("v.kind", F.expr(_residue("v.value", "size")).alias("bit"))
+    words = values.groupBy("kind", F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+    maps = {kind: [0] * (BITS // 64) for kind in ("first", "last", "code")}
+    for r in words.collect():
+        maps[r["kind"]][r["word"]] = r["bits"]
+    return maps
+
+
+def _residue(code: str, size: int | str) -> str:
+    """A code's bit, apart for each size of windows."""
+    return f"pmod({code} + {size} * 40503L, {BITS}L)"
 
 
-def _hits_in_row(windows: list) -> Column:
-    """Candidates of a row, found by the sets of hashes; ``words`` and ``codes`` are columns."""
+def _candidates(sizes: list[int]) -> str:
+    """Places of a row that the bitmaps let pass; ``codes`` is a column."""
     found = []
-    for size in sorted({w["size"] for w in windows}):
-        own = [w for w in windows if w["size"] == size]
-        tests = [_listed("codes[i]", {w["first"] for w in own})]
+    for size in sizes:
+
+        def passes(kind: str, code: str, size: int = size) -> str:
+            bit = _residue(code, size)
+            return f"shiftright({kind}_bits[cast(shiftright({bit}, 6) as int)], cast({bit} % 64 as int)) & 1 = 1"
+
+        tests = [passes("first", "codes[i]")]
         if size > 1:
-            tests += [
-                _listed(f"codes[i + {size - 1}]", {w["last"] for w in own}),
-                _listed(_hash(size), {w["code"] for w in own}),
-            ]
+            tests.append(passes("last", f"codes[i + {size - 1}]"))
+        tests.append(passes("code", _hash(size)))
         found.append(
             f"case when size(codes) >= {size} then transform(filter("
             f"sequence(0, size(codes) - {size}), i -> {' and '.join(tests)}), "
-            f"i -> struct(i as place, {size} as size, {_gram(size)} as gram)) else array() end"
+            f"i -> struct(i as place, {size} as size, {_hash(size)} as code)) else array() end"
         )
-    return F.expr("concat(" + ", ".join(f"cast({x} as {HIT})" for x in found) + ")")
+    return "concat(" + ", ".join(f"cast({x} as {HIT})" for x in found) + ")"
 
 
-def _hits_by_join(coded: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
-    """(row, place, size, gram) of candidates, by an equi-join of all document windows."""
-    parts = []
-    for size in sizes:
-        spread = coded.where(F.size("codes") >= size).withColumn(
-            "i", F.explode(F.expr(f"sequence(0, size(codes) - {size})"))
-        )
-        parts.append(
-            spread.select(
-                "row",
-                F.col("i").alias("place"),
-                F.lit(size).alias("size"),
-                F.expr(_gram(size)).alias("gram"),
-                F.expr(_hash(size)).alias("code"),
-            )
-        )
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
-    known = windows.select("size", "code").distinct()
-    return everything.join(known, ["size", "code"], "left_semi").drop("code")
+def _grams(sizes: list[int]) -> str:
+    """The words of a hit, which is a column."""
+    cases = " ".join(f"when {size} then {_gram(size, 'hit.place')}" for size in sizes)
+    return f"case hit.size {cases} end"
+
+
+def _broadcast(frame: DataFrame, size: int, most: int) -> DataFrame:
+    return F.broadcast(frame) if size <= most else frame
 
 
 def scan(
     docs: DataFrame, items: DataFrame, key: list[str], text: str = "text", n: int = WINDOW,
-    set_windows: int = SET_WINDOWS,
+    set_bytes: int = SET_BYTES,
 ) -> DataFrame:
     """Per row of ``docs``: the columns ``key``, n_words, spans of hit words, n_hit, items."""
     windows = stored(item_windows(items, n), "benchmark-windows")
-    sets = windows.select("size", "code", "first", "last").distinct()
-    count = sets.count()
+    # one row a window, with its set of items
+    classes = stored(
+        windows.groupBy("size", "gram", "code").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+        .withColumn("set", F.md5(F.to_json(F.struct("items")))),
+        "benchmark-classes",
+    )
+    codes = classes.select("size", "code").distinct()
+    measured = classes.agg(F.count("*").alias("n"), F.sum(F.octet_length("gram") + 64).alias("bytes")).first()
+    sizes = sorted(r["size"] for r in classes.select("size").distinct().collect())
     source = docs.select(F.struct(*key).alias("key"), F.col(text).alias("text"))
-    if count <= set_windows:
-        hits = _hits_in_row(sets.collect()) if count else F.array().cast(HIT)
-        rows = stored(
-            _coded(source, "text").select(
-                F.monotonically_increasing_id().alias("row"),
-                "key",
-                F.size("words").cast("long").alias("n_words"),
-                hits.alias("hits"),
-            ),
-            "scanned",
-        )
-        candidates = rows.where(F.size("hits") > 0).select("row", F.explode("hits").alias("hit"))
-        candidates = candidates.select("row", "hit.*")
+    coded = _coded(source, "text")
+    if sizes:
+        maps = _bitmaps(windows)
+        bits = {f"{k}_bits": F.expr("array(" + ", ".join(f"{b}L" for b in _signed(m)) + ")") for k, m in maps.items()}
+        hits = F.expr(_candidates(sizes))
+        coded = coded.withColumns(bits)
     else:
-        numbered = stored(
-            source.withColumn("row", F.monotonically_increasing_id()), "numbered"
-        )
-        coded = _coded(numbered, "text")
-        sizes = [r["size"] for r in windows.select("size").distinct().collect()]
-        candidates = _hits_by_join(coded, windows, sizes)
-        rows = coded.select("row", "key", F.size("words").cast("long").alias("n_words"))
-    known = windows.select("item_id", "size", "gram")
-    verified = candidates.join(
-        F.broadcast(known) if windows.count() <= BROADCAST_WINDOWS else known, ["size", "gram"]
-    )
-    # first one row for each place, then one for each document
-    per_place = verified.groupBy("row", "place", "size").agg(F.collect_set("item_id").alias("items"))
-    per_row = per_place.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("place", "size"))).alias("windows"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-    )
-    merged = F.expr(
-        """aggregate(windows, cast(array() as array<struct<first:int,past:int>>), (a, w) ->
-             case when size(a) > 0 and w.place <= a[size(a) - 1].past
-               then concat(slice(a, 1, size(a) - 1), array(struct(a[size(a) - 1].first as first,
-                    greatest(a[size(a) - 1].past, w.place + w.size) as past)))
-               else concat(a, array(struct(w.place as first, w.place + w.size as past))) end)"""
+        hits = F.array().cast(HIT)
+    # the words of candidates are kept with them: few rows have any
+    coded = coded.withColumn("hits", hits)
+    hit_words = F.when(F.size("hits") > 0, F.col("words"))
+    rows = stored(
+        coded.select(
+            F.monotonically_increasing_id().alias("row"), "key", F.size("words").cast("long").alias("n_words"),
+            "hits", hit_words.alias("words"),
+        ),
+        "scanned",
     )
+    found = rows.where(F.size("hits") > 0).select("row", "words", F.explode("hits").alias("hit"))
+    gram = F.expr(_grams(sizes)) if sizes else F.lit(None).cast("string")
+    in_set = _broadcast(codes, measured["n"] * CODE_BYTES, set_bytes)
+    found = found.select("row", "hit.place", "hit.size", "hit.code", "words", "hit")
+    found = found.join(in_set, ["size", "code"], "left_semi").select("row", "place", "size", gram.alias("gram"))
+    known = _broadcast(classes.select("size", "gram", "set"), measured["bytes"] or 0, set_bytes)
+    verified = stored(found.join(known, ["size", "gram"]).select("row", "place", "size", "set"), "verified")
+    span = F.struct(F.col("place").alias("start"), (F.col("place") + F.col("size")).cast("int").alias("past"))
+    covered = verified.groupBy("row").agg(F.sort_array(F.collect_set(span)).alias("windows"))
+    covered = covered.select("row", F.expr(segments("windows", True)).alias("parts"))
+    sets = classes.select("set", "items").dropDuplicates(["set"]).select("set", F.explode("items").alias("item"))
+    listed = verified.select("row", "set").distinct().join(sets, "set")
+    listed = listed.groupBy("row").agg(F.collect_set("item").alias("items"))
     return (
-        rows.drop("hits")
-        .join(per_row.withColumn("spans", merged).drop("windows"), "row", "left")
+        rows.drop("hits", "words")
+        .join(covered, "row", "left")
+        .join(listed, "row", "left")
+        .withColumn("spans", F.expr(f"transform(coalesce(parts, cast(array() as {SPAN})), s -> struct(s.start as first, s.past as past))"))
         .select(
             "key.*",
             "n_words",
-            F.coalesce("spans", F.array().cast("array<struct<first:int,past:int>>")).alias("spans"),
+            "spans",
             F.coalesce(F.expr("aggregate(spans, 0L, (a, s) -> a + s.past - s.first)"), F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("items", F.array()).alias("items"),
         )
     )
 
 
+def _signed(words: list[int]) -> list[str]:
+    # the least long cannot be written as a number with a sign
+    return [str(w) if w != -(1 << 63) else "-9223372036854775807L - 1" for w in words]
+
+
 def decontaminate(
     docs: DataFrame, items: DataFrame, action: str = "documents", text: str = "text",
     n: int = WINDOW, key: str = "doc_id",

@@ -8,7 +8,7 @@ a finding if its log-likelihood ratio is high in total and by character. All of
 row; only the counts of character pairs are aggregated.
 
 A text may be one run, or have very many findings. Characters are looked at once, and sums and maxima over
-the matches of a text are taken in blocks (``_scan``), so no step goes through a text, or copies a list of
+the matches of a text are taken in blocks (``common.scan_before``), so no step goes through a text, or copies a list of
 findings, once for each finding.
 
 Identifiers that are long enough to be findings teach the second model only if a first one, which has seen
@@ -23,12 +23,11 @@ columns and replaces the texts' findings.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import free_name, stored
+from hourlake.llm.common import SPAN, free_name, let, scan_before, segments, stored
 
 #: Kinds in the order in which equal starts are listed: pattern, group and length that count.
 KINDS = {
@@ -56,9 +55,6 @@ BLOCK_CHARS = 4_096
 #: A finding's log-likelihood ratio in nats: in total, and per character.
 TOTAL, PER_PAIR = 12.0, 0.6
 
-SPAN = "array<struct<start:int,past:int>>"
-
-
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
@@ -76,49 +72,12 @@ def _may_match(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def _let(name: str, value: str, body: str) -> str:
-    """``body`` with ``name`` for a value that is computed once."""
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
-
-
-def _scan(array: str, start: str, fold: Callable[[str, str], str]) -> str:
-    """What the elements before each one fold to, from ``start``.
-
-    A list grows by copying, so it is grown in blocks of about the square root of the array's size.
-    """
-
-    def along(values: str, at: str) -> str:
-        nothing = f"named_struct('at', {at}, 'done', cast(array() as array<int>))"
-        step = f"named_struct('at', {fold('a.at', 'x')}, 'done', concat(a.done, array(a.at)))"
-        return f"aggregate({values}, {nothing}, (a, x) -> {step}, a -> a.done)"
-
-    folded = f"transform(b, t -> aggregate(t, {start}, (a, x) -> {fold('a', 'x')}))"
-    body = f"flatten(transform(b, (t, i) -> {along('t', 'o[i]')}))"
-    body = _let("o", along(folded, start), body)
-    body = _let("b", "transform(sequence(1, size(s), k), i -> slice(s, i, k))", body)
-    body = _let("k", "cast(ceil(sqrt(size(s))) as int)", body)
-    return _let("s", array, f"case when size(s) = 0 then cast(array() as array<int>) else {body} end")
-
-
 def _places(matches: str, between: str) -> Column:
     """Start and end of each match: lengths of all that stands before, added up."""
     sizes = f"transform({matches}, (m, i) -> length({between}[i]) + length(m))"
     spans = f"""transform(before, (p, i) -> named_struct(
         'start', p + length({between}[i]), 'past', p + length({between}[i]) + length({matches}[i])))"""
-    return F.expr(_let("before", _scan(sizes, "0", lambda a, x: f"{a} + {x}"), spans))
-
-
-def _segments(spans: str, touching: bool) -> str:
-    """Union of spans that are sorted by start: (start, past) of its parts; ``touching`` spans are one part."""
-    apart = ">" if touching else ">="
-    reach = _scan(f"transform({spans}, x -> x.past)", "-1", lambda a, x: f"greatest({a}, {x})")
-    heads = f"filter(sequence(0, size({spans}) - 1), i -> {spans}[i].start {apart} reach[i])"
-    # up to the next head, spans reach no farther than that head sees
-    rest = f"array_max(transform(slice({spans}, h + 1, size({spans})), x -> x.past))"
-    past = f"case when i + 1 = size(heads) then {rest} else reach[heads[i + 1]] end"
-    parts = f"transform(heads, (h, i) -> named_struct('start', {spans}[h].start, 'past', {past}))"
-    body = _let("reach", reach, _let("heads", heads, parts))
-    return f"case when size({spans}) = 0 then cast(array() as {SPAN}) else {body} end"
+    return F.expr(let("before", scan_before(sizes, "0", lambda a, x: f"{a} + {x}"), spans))
 
 
 def _found(frame: DataFrame, name: str, text: str, pattern: str, group: int, may: Column) -> DataFrame:
@@ -149,7 +108,7 @@ def pair_counts(labelled: DataFrame) -> dict[tuple[int, str], int]:
     """Counts of (label, pair of characters) in strings with a label; at most a few thousand."""
     pairs = "transform(slice(c, 1, size(c) - 1), (x, i) -> concat(x, c[i + 1]))"
     pairs = labelled.where(F.length("string") >= 2).select(
-        "label", F.explode(F.expr(_let("c", "split(string, '')", pairs))).alias("pair")
+        "label", F.explode(F.expr(let("c", "split(string, '')", pairs))).alias("pair")
     )
     counts = pairs.groupBy("label", "pair").agg(F.count("*").alias("n"))
     inside = F.col("pair").rlike(r"\A[A-Za-z0-9+/_=-]{2}\z")
@@ -210,7 +169,7 @@ def _ratio(run: str, model: list[float]) -> str:
     table = "array(" + ", ".join(f"{x:.6f}D" for x in model) + ")"
     step = f"named_struct('sum', a.sum + {table}[a.last * {len(ALPHABET)} + x], 'last', x)"
     total = f"aggregate(slice(c, 2, size(c)), named_struct('sum', 0D, 'last', c[0]), (a, x) -> {step}, a -> a.sum)"
-    return _let("c", numbers, total)
+    return let("c", numbers, total)
 
 
 def _is_random(score: str, run: str) -> str:
@@ -250,7 +209,7 @@ def scan_secrets(docs: DataFrame, model: list[float], text: str = "text") -> Dat
     frame = frame.withColumn("scores", scored).withColumn("high", F.expr(found))
     # the parts of what fixed findings cover; only few texts have both these and high scores
     both = (F.size("high") > 0) & (F.size("fixed") > 0)
-    parts = F.when(both, F.expr(_segments("fixed", True))).otherwise(F.array().cast(SPAN))
+    parts = F.when(both, F.expr(segments("fixed", True))).otherwise(F.array().cast(SPAN))
     frame = frame.withColumn("parts", parts)
     # the first part that ends after the run's start, by halving
     first = """aggregate(sequence(1, 31), named_struct('low', 0, 'past', size(parts)), (a, i) ->
@@ -258,7 +217,7 @@ def scan_secrets(docs: DataFrame, model: list[float], text: str = "text") -> Dat
              when parts[(a.low + a.past) div 2].past > x.runs.start
                then named_struct('low', a.low, 'past', cast((a.low + a.past) div 2 as int))
              else named_struct('low', cast((a.low + a.past) div 2 as int) + 1, 'past', a.past) end, a -> a.low)"""
-    part = _let("p", f"get(parts, {first})", "coalesce(p.start <= x.runs.start and p.past >= x.runs.past, false)")
+    part = let("p", f"get(parts, {first})", "coalesce(p.start <= x.runs.start and p.past >= x.runs.past, false)")
     random = F.expr(
         f"""transform(filter(high, x -> size(parts) = 0 or not {part}),
             x -> struct(x.runs.start as start, {len(KINDS)} as order, x.runs.past as past,
@@ -280,16 +239,16 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
     name = free_name(docs, "findings")
     found = find_secrets(docs, text)
     # pieces between the parts of the union, out of blocks of the text: a block is gone through, not the text
-    piece = f"""array_join(transform(sequence(low div {BLOCK_CHARS}, (past - 1) div {BLOCK_CHARS}), k -> {_let(
+    piece = f"""array_join(transform(sequence(low div {BLOCK_CHARS}, (past - 1) div {BLOCK_CHARS}), k -> {let(
         "l", f"cast(greatest(low - k * {BLOCK_CHARS}, 0) as int)",
         f"substr(blocks[cast(k as int)], l + 1, cast(least(past - k * {BLOCK_CHARS}, {BLOCK_CHARS}) as int) - l)",
     )}), '')"""
-    piece = _let("past", "coalesce(parts[i].start, size)", f"case when low >= past then '' else {piece} end")
-    piece = _let("low", "case when i = 0 then 0 else parts[i - 1].past end", piece)
+    piece = let("past", "coalesce(parts[i].start, size)", f"case when low >= past then '' else {piece} end")
+    piece = let("low", "case when i = 0 then 0 else parts[i - 1].past end", piece)
     joined = f"array_join(transform(sequence(0, size(parts)), i -> {piece.replace('parts[i]', 'get(parts, i)')}), '{mark}')"
-    cut = _let("size", f"length(`{text}`)", joined)
-    cut = _let("blocks", f"regexp_extract_all(`{text}`, '(?s).{{1,{BLOCK_CHARS}}}', 0)", cut)
-    cut = F.expr(_let("parts", _segments(f"`{name}`", False), cut))
+    cut = let("size", f"length(`{text}`)", joined)
+    cut = let("blocks", f"regexp_extract_all(`{text}`, '(?s).{{1,{BLOCK_CHARS}}}', 0)", cut)
+    cut = F.expr(let("parts", segments(f"`{name}`", False), cut))
     return found.withColumn(
         text, F.when(F.size(name) > 0, cut).otherwise(F.col(text))
     ).select(*docs.columns)

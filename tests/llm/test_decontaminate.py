@@ -65,7 +65,7 @@ def test_digest_equals_brute_force(spark):
 def test_joined_windows_give_the_same(spark):
     docs = docs_frame(spark, TEXTS)
     listed = D.scan(docs, items_frame(spark), ["doc_id"]).collect()
-    joined = D.scan(docs, items_frame(spark), ["doc_id"], set_windows=0).collect()
+    joined = D.scan(docs, items_frame(spark), ["doc_id"], set_bytes=0).collect()
 
     def key(r):
         return repr((r.doc_id, r.n_words, r.n_hit, r.spans, sorted(map(str, r["items"]))))
@@ -97,3 +97,33 @@ def test_documents_or_spans_are_removed(spark):
     assert any(i == 3 and t.split() == ["x", "y"] for i, t in texts if t)
     assert any(i == 9 and t.split() == ["a", "b"] for i, t in texts if t)
     assert (8, "alpha beta") in texts and (0, None) in texts
+
+
+def test_a_passage_that_very_many_items_share(spark):
+    """Items are unfolded once for each set of them, not at each place."""
+    passage, other = prose(31, 60), prose(32, 40)
+    rows = [(f"i{i}", passage) for i in range(3_000)] + [("other", other), ("both", f"{passage} {other}")]
+    items = spark.createDataFrame(rows, "item_id string, text string")
+    docs = docs_frame(spark, [f"{prose(33, 30)} {passage} {passage} x", f"{passage[:200]} {other}", "clean words only"])
+    got = {r.doc_id: r for r in D.scan(docs, items, ["doc_id"]).collect()}
+    assert sorted(got[0]["items"]) == sorted([*(f"i{i}" for i in range(3_000)), "both"])
+    assert set(got[1]["items"]) == {"other", "both", *(f"i{i}" for i in range(3_000))} and not got[2]["items"]
+    assert got[0].n_hit == 120
+
+
+def test_more_windows_than_bits(spark, monkeypatch):
+    """Full bitmaps let every place pass; the result is the same."""
+    docs, items = docs_frame(spark, [prose(s, 80) for s in range(40, 60)]), spark.createDataFrame(
+        [(f"i{s}", " ".join(prose(s, 80).split()[20:45])) for s in range(45, 52)] + [("short", "a the")], "item_id string, text string"
+    )
+    wanted = sorted(map(repr, D.contamination_digest(docs, items).collect()))
+    monkeypatch.setattr(D, "BITS", 64)
+    assert sorted(map(repr, D.contamination_digest(docs, items).collect())) == wanted
+
+
+def test_one_document_with_very_many_separate_hits(spark):
+    hit = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([("i", hit)], "item_id string, text string")
+    docs = docs_frame(spark, [" x ".join([hit] * 20_000)])
+    r = D.contamination_digest(docs, items).first()
+    assert (r.n_hit, r.n_items) == (200_000, 1)
