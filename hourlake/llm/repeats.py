@@ -14,8 +14,11 @@ around equal minimizers are compared:
    minimizer. Each task builds a run-length index of its strings and streams their matching statistics
    (see ``run_index``); matches of LENGTH bytes mark windows. (A stretch has no window twice, so a match
    is with another one.)
-4. A minimizer with more than ``CONTENTS`` distinct contents would make one task too large. Its windows are
-   hashed (128 bits) and counted instead, which spreads them over all tasks.
+4. A minimizer with more than ``CONTENTS`` distinct contents is split. A window reaches so many bytes to the left
+   of its minimizer; windows that reach from ``low`` to ``low + width`` bytes share ``low`` bytes there and the rest,
+   less the width, to the right. So stretches are cut for a few such ranges, dealt out by the bytes that their
+   windows must share, and indexed as before; what is still too much is split into narrower ranges. Where only
+   one reach is left, all members of a group have the same window, and it is repeated.
 5. Marked windows are brought to their texts by a join, merged, and cut out.
 
 Intervals carry the hash of the content they were found in, so that a clash of the 64-bit document hash,
@@ -28,6 +31,7 @@ rows; columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,8 +47,10 @@ from hourlake.llm.run_index import repeated_windows
 LENGTH, ANCHOR = 200, 41
 #: Anchors in a window; a stretch has at most so many windows.
 PLACES = LENGTH - ANCHOR + 1
-#: Distinct contents of a minimizer that are indexed in one task, and bytes of a task's strings.
+#: Distinct contents that are indexed as one group, and bytes of a task's strings.
 CONTENTS, BUCKET_BYTES = 2_048, 1 << 21
+#: Widths of the ranges of reaches that larger groups are split into, one after the other.
+WIDTHS = (80, 20, 5, 1)
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -231,14 +237,14 @@ def comparable(strings: list[bytes], groups: np.ndarray, places: np.ndarray) ->
 FOUND = "doc long, where long, content long, begin int, past int"
 
 
-def _found_rows(docs, wheres, contents, windows) -> pa.Table:
+def _found_rows(docs, wheres, contents, skips, windows) -> pa.Table:
     """Runs of repeated windows of each string: from ``begin`` up to ``past``, counted in its stretch."""
     rows = []
-    for doc, where, content, found in zip(docs, wheres, contents, windows, strict=True):
+    for doc, where, content, skip, found in zip(docs, wheres, contents, skips, windows, strict=True):
         if len(found):
             cuts = np.flatnonzero(np.diff(found) != 1) + 1
             for part in np.split(found, cuts):
-                rows.append((doc, where, content, int(part[0]), int(part[-1]) + 1))
+                rows.append((doc, where, content, skip + int(part[0]), skip + int(part[-1]) + 1))
     kinds = [pa.int64()] * 3 + [pa.int32()] * 2
     columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
     names = [c.split()[0] for c in FOUND.split(", ")]
@@ -246,46 +252,58 @@ def _found_rows(docs, wheres, contents, windows) -> pa.Table:
 
 
 def _by_index(strings: DataFrame, buckets: int) -> DataFrame:
-    """Repeated windows of lone strings, by a run-length index in each bucket of minimizers."""
+    """Repeated windows of lone strings, by a run-length index in each bucket of groups."""
 
     def search(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("minimizer", "ascending"), ("content", "ascending")])
+        table = table.sort_by([("group", "ascending"), ("content", "ascending"), ("doc", "ascending")])
         texts = table.column("string").to_pylist()
-        groups, places = (table.column(n).to_numpy() for n in ("minimizer", "at"))
+        groups, places = (table.column(n).to_numpy() for n in ("group", "at"))
         kept = comparable(texts, groups, places)
         lone = table.column("lone").to_numpy(zero_copy_only=False)[kept].astype(bool)
         windows = repeated_windows([texts[i] for i in kept], lone, LENGTH)
         wanted = kept[lone]
-        columns = [table.column(n).to_numpy()[wanted].tolist() for n in ("doc", "where", "content")]
+        columns = [table.column(n).to_numpy()[wanted].tolist() for n in ("doc", "where", "content", "skip")]
         return _found_rows(*columns, windows)
 
     ship(strings.sparkSession.sparkContext)
-    dealt = strings.withColumn("bucket", F.pmod(F.xxhash64("minimizer"), F.lit(buckets)))
+    dealt = strings.withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)))
     return dealt.groupBy("bucket").applyInArrow(search, FOUND)
 
 
-def _by_count(strings: DataFrame) -> DataFrame:
-    """The same for minimizers with very many contents: windows are counted by their hashes."""
+PART = "group long, content long, doc long, where long, lone boolean, at int, skip int, low int, wide int, string binary"
+
+
+def _split(strings: DataFrame, width: int) -> DataFrame:
+    """Stretches cut for the windows of each range of reaches; grouped by the bytes that these must share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "where", "content", "lone", "window", "one", "two"]
+        names = [c.split()[0] for c in PART.split(", ")]
+        kinds = [pa.int64()] * 4 + [pa.bool_()] + [pa.int32()] * 4 + [pa.binary()]
         for batch in batches:
-            for row in batch.to_pylist():
-                one, two = (Hashed(row["string"], b).all(LENGTH) for b in _BASES)
-                n = len(one)
-                same = [pa.array(np.full(n, row[k])) for k in ("doc", "where", "content", "lone")]
-                window = pa.array(np.arange(n, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([*same, window, _signed(one), _signed(two)], names)
-
-    columns = ["doc", "where", "content", "lone", "string"]
-    kinds = "doc long, where long, content long, lone boolean, window int, one long, two long"
-    windows = in_batches(strings.select(*columns), run, kinds)
-    # a window is in a distinct content once at most
-    twice = windows.groupBy("one", "two").count().where("count > 1").select("one", "two")
-    found = windows.where("lone").join(twice, ["one", "two"])
-    return found.select(
-        "doc", "where", "content", F.col("window").alias("begin"), (F.col("window") + 1).alias("past")
-    )
+            rows = []
+            for group, content, doc, where, lone, at, skip, low, wide, string in zip(
+                *(batch.column(n).to_pylist() for n in names), strict=True
+            ):
+                for first in range(low, low + wide, width):
+                    most = min(first + width - 1, at, low + wide - 1)
+                    least = max(first, at + LENGTH - len(string))
+                    if least > most:
+                        continue  # no window reaches that far
+                    shared = string[at - first : at + ANCHOR + PLACES - first - width]
+                    key = hashlib.blake2b(shared, digest_size=8, key=f"{group} {first}".encode()).digest()
+                    start = at - most
+                    part = (int.from_bytes(key, "little", signed=True), content, doc, where, lone, most, skip + start)
+                    rows.append((*part, first, width, string[start : at - least + LENGTH]))
+            columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return in_batches(strings.select(*[c.split()[0] for c in PART.split(", ")]), run, PART)
+
+
+def _sized(strings: DataFrame) -> DataFrame:
+    """Groups of several strings, with the size of their group."""
+    sizes = strings.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
+    return stored(strings.join(sizes, "group"), "strings")
 
 
 def repeated_intervals(source: DataFrame, contents_at_once: int = CONTENTS) -> DataFrame:
@@ -303,20 +321,27 @@ def repeated_intervals(source: DataFrame, contents_at_once: int = CONTENTS) -> D
         "contents",
     )
     copied = mixed.join(contents.where("not lone").select("minimizer", "content"), ["minimizer", "content"])
-    copied = copied.select("doc", "where", "content", *whole)
-    many = contents.groupBy("minimizer").count().withColumn("many", F.col("count") > contents_at_once)
-    marked = contents.join(many.select("minimizer", "many"), "minimizer")
-    size = contents.agg(F.sum(count + (LENGTH - 1)).alias("bytes")).first()["bytes"] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-    strings = stored(
-        _fetched(source, contents).join(
-            marked.where("many").select("minimizer").distinct().withColumn("many", F.lit(True)), "minimizer", "left"
-        ),
-        "strings",
-    )
-    indexed = _by_index(strings.where("many is null").drop("many"), buckets)
-    counted = _by_count(strings.where("many").drop("many"))
-    return equal.unionByName(copied).unionByName(indexed).unionByName(counted)
+    # stored on its own: a content that is everywhere is then dealt out anew by adaptive execution
+    copied = stored(copied.select("doc", "where", "content", *whole), "copied")
+    found = equal.unionByName(copied)
+    strings = _fetched(source, contents).withColumnRenamed("minimizer", "group")
+    reaches = {"skip": F.lit(0), "low": F.lit(0), "wide": F.lit(PLACES)}
+    strings = _sized(strings.withColumns(reaches))
+    for width in (*WIDTHS, None):
+        indexed = strings.where(F.col("members") <= contents_at_once)
+        size = indexed.agg(F.sum(F.octet_length("string"))).first()[0] or 0
+        if size:
+            found = found.unionByName(_by_index(indexed, max(1, -(-size // BUCKET_BYTES))))
+        rest = strings.where(F.col("members") > contents_at_once)
+        if rest.isEmpty():
+            break
+        if width is None:
+            # one reach: the members have one and the same window
+            same = rest.where("lone").select("doc", "where", "content", F.col("skip").alias("begin"))
+            found = found.unionByName(same.withColumn("past", F.col("begin") + 1))
+        else:
+            strings = _sized(_split(rest, width))
+    return found
 
 
 def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -114,3 +114,28 @@ def test_runs_are_few_for_repetitive_strings():
     text = prose(1, 100).encode()
     copies = X.RunIndex(X.joined([text[i:] for i in range(0, 40)]))
     assert copies.runs < 0.1 * len(copies.text)
+
+
+def test_a_minimizer_with_very_many_contents_is_split(spark, monkeypatch):
+    """One passage among ever other texts: groups are split down to a single reach, and nothing is lost."""
+    monkeypatch.setattr(R, "BUCKET_BYTES", 50_000)
+    rng = random.Random(6)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    middle = text(130)
+    texts = [text(rng.randint(30, 90)) + middle + text(rng.randint(30, 90)) for _ in range(120)]
+    texts += [t[:-5] + text(5) for t in texts[:20]] + [text(8) + t[8:] for t in texts[20:40]]
+    line = text(215)
+    texts += [text(100) + line + text(100) for _ in range(60)]
+    rows = [*enumerate(texts)]
+    wanted = brute(rows)
+    split = []
+    original = R._split
+    monkeypatch.setattr(R, "_split", lambda strings, width: split.append(width) or original(strings, width))
+    for contents, widths in ((2_048, []), (40, [80, 20, 5, 1])):
+        split.clear()
+        monkeypatch.setattr(R.repeated_intervals, "__defaults__", (contents,))
+        got = sorted((tuple(r) for r in R.repeat_digest(docs_frame(spark, rows)).collect()), key=repr)
+        assert got == wanted and split == widths
