@@ -2,10 +2,12 @@
 
 A batch is normally one small document, so a window per batch is the cheapest plan: one
 exchange. A batch may also hold a large share of all rows, and a window would put it in
-one task. Then the caller names slices: an expression that rises with the order of a batch,
-such as the hour of a time. Rows are numbered per batch and slice, and the slices' sizes,
-which are pre-aggregated, give where each begins. Both are plans and nothing else: no job
-runs, and nothing is stored, before the result is used.
+one task. Then rows are numbered in slices: per batch and slice, and the slices' sizes,
+which are pre-aggregated, give where each begins. Slices are named by the caller, as an
+expression that rises with the order of a batch, such as the hour of a time; or they come
+from the rows themselves (``spread``): borders of about equal ranges of batch and order,
+out of a bounded sample by hash that is the same whenever it is taken. All of it is a plan
+and nothing else: no job runs, and nothing is stored, before the result is used.
 """
 
 from __future__ import annotations
@@ -17,21 +19,30 @@ from pyspark.sql import functions as F
 
 POSITION = "batch_position"
 SIZE = "batch_rows"
+#: Rows of the sample, and slices of all batches together, where rows are spread by themselves.
+SAMPLE_ROWS, SLICES = 20_000, 256
 
 
 def number_rows(
-    df: DataFrame, batch_cols: list[str], order_cols: list[str], slice_by: Column | None = None
+    df: DataFrame,
+    batch_cols: list[str],
+    order_cols: list[str],
+    slice_by: Column | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Add ``batch_position`` (from 0) and ``batch_rows``.
 
     ``order_cols`` must order the rows of a batch totally. With ``slice_by``, no task gets
     more than a slice; it must not fall as the order of a batch rises. The result is the
     same with any slices, or none. One slice per ten thousand rows or more is plenty: the
-    slices of a batch are put in order in one task.
+    slices of a batch are put in order in one task. With ``spread``, slices are found in the
+    data: a batch with most of the rows is dealt to most of the slices.
     """
-    if slice_by is None:
-        return _by_window(df, batch_cols, order_cols)
-    return _by_slice(df, batch_cols, order_cols, slice_by)
+    if slice_by is not None:
+        return _by_slice(df.withColumn("_slice", slice_by), batch_cols, order_cols)
+    if spread:
+        return _by_slice(_own_slices(df, [*batch_cols, *order_cols]), batch_cols, order_cols)
+    return _by_window(df, batch_cols, order_cols)
 
 
 def label_halves(
@@ -60,9 +71,10 @@ def label_batch(
     order_cols: list[str],
     first_half_flag: bool = True,
     slice_by: Column | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Number the rows of each batch and label its halves."""
-    numbered = number_rows(df, batch_cols, order_cols, slice_by)
+    numbered = number_rows(df, batch_cols, order_cols, slice_by, spread)
     return label_halves(numbered, first_half_flag=first_half_flag).drop(POSITION, SIZE)
 
 
@@ -78,10 +90,45 @@ def _by_window(df: DataFrame, batch_cols: list[str], order_cols: list[str]) -> D
     )
 
 
-def _by_slice(
-    df: DataFrame, batch_cols: list[str], order_cols: list[str], slice_by: Column
-) -> DataFrame:
-    sliced = df.withColumn("_slice", slice_by)
+def _own_slices(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``_slice``: how many borders a row has passed, in the order of ``keys``.
+
+    The sample is the rows of least hash, so that it does not depend on partitions; rows of equal
+    hash are taken by their keys. Structs compare as their fields do, NULL first, as in a sort.
+    """
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    sample = df.select(key.alias("key")).orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS)
+    # the sample is bounded, so one task may order it
+    all_ = Window.partitionBy(F.lit(0))
+    place, total = F.row_number().over(all_.orderBy("key")), F.count(F.lit(1)).over(all_)
+    step = F.greatest(F.lit(1), F.ceil(F.col("total") / SLICES))
+    marks = sample.select("key", place.alias("place"), total.alias("total")).where(F.col("place") % step == 0)
+    borders = marks.agg(F.sort_array(F.collect_set("key")).alias("borders"))
+    # one row, computed once, and before the rows are read; a column first, as functions of
+    # arrays take no subquery
+    bordered = df.withColumn("_borders", borders.scalar())
+    return bordered.withColumn("_slice", _passed(F.col("_borders"), key)).drop("_borders")
+
+
+def _passed(borders: Column, key: Column) -> Column:
+    """Number of sorted ``borders`` that are not greater than ``key``, by halving."""
+    state = F.struct(F.lit(0).alias("low"), F.size(borders).alias("past"))
+    middle = lambda a: F.shiftright(a["low"] + a["past"], 1)
+
+    def halve(a: Column, _: Column) -> Column:
+        beyond = F.get(borders, middle(a)) > key
+        return F.when(a["low"] >= a["past"], a).otherwise(
+            F.struct(
+                F.when(beyond, a["low"]).otherwise(middle(a) + 1).alias("low"),
+                F.when(beyond, middle(a)).otherwise(a["past"]).alias("past"),
+            )
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(SLICES.bit_length()))
+    return F.aggregate(steps, state, halve, lambda a: a["low"])
+
+
+def _by_slice(sliced: DataFrame, batch_cols: list[str], order_cols: list[str]) -> DataFrame:
     slice_ = Window.partitionBy(*batch_cols, "_slice").orderBy(*order_cols)
     numbered = sliced.withColumn("_in_slice", F.row_number().over(slice_).cast("long"))
     pieces = sliced.groupBy(*batch_cols, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
@@ -96,8 +143,9 @@ def _by_slice(
     )
     names = {**{c: f"_piece_{c}" for c in batch_cols}, "_slice": "_piece_slice"}
     matched = numbered.join(offsets, _same(numbered, offsets, names), "inner")
+    columns = [c for c in sliced.columns if c != "_slice"]
     return matched.withColumn(POSITION, F.col("_before") + F.col("_in_slice") - 1).select(
-        *df.columns, POSITION, SIZE
+        *columns, POSITION, SIZE
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hourlake.functions.keys import city_of_path, iso_text, object_key, run_date_of_path
 from hourlake.operators import audit, presentation, tables
-from hourlake.operators.numbering import label_halves
+from hourlake.operators.numbering import POSITION, SIZE, label_halves, number_rows
 from hourlake.plans import event_observations as source
 from hourlake.plans import reports
 from hourlake.plans.load import load_run, publish_rows, read_audit
@@ -28,8 +28,10 @@ from hourlake.sources.landing import (
     DOCUMENT_KEYS,
     UNPARSEABLE,
     VERSION,
+    binary_files,
     parse_documents,
     read_landing,
+    rows_of_files,
     split_rejected,
 )
 from hourlake.sources.payload import explode_payload
@@ -498,6 +500,21 @@ def incremental_old_file(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, base, "hourly_weather_conditions")
 
 
+def numbered_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as one batch, which spreads over all tasks without a word from the caller."""
+    rows = source.events(spark, folder).withColumn("batch", F.lit("all"))
+    numbered = number_rows(rows, ["batch"], source.ORDER, spread=True)
+    return numbered.select("event_id", F.col(POSITION).alias("position"), F.col(SIZE).alias("size"))
+
+
+def documents_in_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents read as large ones are: cut where records end, by tasks that know a part of the file."""
+    path = fresh_folder(spark, "documents")
+    write_documents(source.documents(spark, folder), path)
+    rows = rows_of_files(binary_files(spark, path, FILES), path, large_bytes=0)
+    return rows.select("city", "run_date", "status", "pos", "doc_rows", "date", *MEASURES)
+
+
 QUERIES: dict[str, Query] = {
     "hourly_obs": hourly_obs,
     "label_batch": label_batch,
@@ -549,6 +566,8 @@ QUERIES: dict[str, Query] = {
     "compacted_tables": compacted_tables,
     "quarantine_replay": quarantine_replay,
     "stream_load": streamed,
+    "numbered_spread": numbered_spread,
+    "documents_in_pieces": documents_in_pieces,
     "sql_preview_daily": by_statement("preview_daily"),
     "sql_daily_extremes": by_statement("daily_extremes", date=DATE),
     "sql_city_averages": by_statement("city_averages"),

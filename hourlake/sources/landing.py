@@ -5,8 +5,8 @@ Layout ``hive``: JSON lines below ``city=/year=/month=/day=/``, where every line
 its place in the document, so files may be split freely.
 
 Both are parsed with the fixed schema, once. A row of an array gets its place from the array
-itself, so numbering a document needs no exchange. One task reads a document whole; data too
-large for that is landed as lines.
+itself, so numbering a document needs no exchange. One task reads a document whole, up to
+``LARGE_BYTES``; larger ones are cut where their records end (see ``large_documents``).
 
 Every document gives at least one row, with its ``status``: ``loaded`` rows are hours, and an
 ``empty`` or ``quarantined`` document has one row without an hour. Quarantined is what is not an
@@ -31,6 +31,9 @@ DOCUMENT_KEYS = ["city", "run_date", "file"]
 #: What tells a document, and one version of it, from others.
 VERSION = ["document", "modified", "size"]
 
+#: Documents of more bytes are read by several tasks.
+LARGE_BYTES = 64 << 20
+
 LOADED = "loaded"
 EMPTY = "empty"
 QUARANTINED = "quarantined"
@@ -78,7 +81,7 @@ def read_rows(
     """Good and rejected rows in one frame, so that one scan serves both."""
     run_date = _as_date(run_date)
     if layout == "object_key":
-        return parse_documents(_documents(spark, path, run_date, cities, file_pattern))
+        return _document_rows(spark, path, run_date, cities, file_pattern)
     if layout == "hive":
         return _parse_lines(_lines(spark, path, run_date, cities))
     raise ValueError(f"layout must be 'object_key' or 'hive', not {layout!r}")
@@ -245,7 +248,7 @@ def binary_files(spark: SparkSession, root: str, pattern: str) -> DataFrame | No
         return None
 
 
-def _documents(spark, path, run_date, cities, pattern) -> DataFrame:
+def _document_rows(spark, path, run_date, cities, pattern) -> DataFrame:
     # a pattern only as far as a choice needs one; below it, listing is distributed
     root = path.rstrip("/")
     if cities or run_date:
@@ -255,10 +258,26 @@ def _documents(spark, path, run_date, cities, pattern) -> DataFrame:
         root += "".join("/" + _either(name, [str(value)]) for name, value in day.items())
     files = binary_files(spark, root, pattern)
     if files is None:
-        return spark.createDataFrame([], _DOCUMENT_ROW)
-    documents = documents_in(files)
+        return parse_documents(spark.createDataFrame([], _DOCUMENT_ROW))
     empty = empty_versions(files, files.select(F.col("_metadata.file_path").alias("document")))
-    return documents if empty is None else documents.unionByName(empty_documents(empty))
+    return rows_of_files(files, root, None if empty is None else empty_documents(empty))
+
+
+def rows_of_files(
+    files: DataFrame, root: str, empty: DataFrame | None = None, large_bytes: int | None = None
+) -> DataFrame:
+    """Rows of the documents of a frame of binary files below ``root``, and of ``empty`` documents.
+
+    Large documents are named: there are few, as each has more than ``LARGE_BYTES``.
+    """
+    from hourlake.sources.large_documents import read_large_documents
+
+    most = LARGE_BYTES if large_bytes is None else large_bytes
+    large = files.where(F.col("length") > most).select(F.col("_metadata.file_path").alias("path"))
+    named = [r["path"] for r in large.collect()]
+    small = documents_in(files.where(F.col("length") <= most) if named else files)
+    rows = parse_documents(small if empty is None else small.unionByName(empty))
+    return rows.unionByName(read_large_documents(files, named, root)) if named else rows
 
 
 def _lines(spark, path, run_date, cities) -> DataFrame:

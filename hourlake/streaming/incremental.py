@@ -12,11 +12,10 @@ from hourlake.sinks.tables import REPLACE
 from hourlake.sources.landing import (
     VERSION,
     binary_files,
-    documents_in,
     empty_documents,
     listed_versions,
     only_files,
-    parse_documents,
+    rows_of_files,
 )
 from hourlake.sources.store import open_store
 
@@ -58,9 +57,9 @@ def incremental_load(
             listed = listed.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
         arrivals, folder = write_aside(listed, "arrivals")
         try:
-            for documents in _batches(files, arrivals, store is None, files_per_batch):
+            for own, empty in _batches(files, arrivals, store is None, files_per_batch):
                 load_id = f"batch-{feed}-{batch}"
-                rows = parse_documents(documents)
+                rows = rows_of_files(own, landing, empty_documents(empty))
                 publish_rows(rows, base, expected, mode, load_id, first_half_flag, feed, batch, report_missing=False)
                 batch += 1
         finally:
@@ -70,12 +69,12 @@ def incremental_load(
 
 
 def _batches(files: DataFrame, arrivals: DataFrame, all_files: bool, files_per_batch: int | None):
-    """Documents of each batch: of all files at once, or of the files that are named to the scan."""
+    """Files and versions without bytes of each batch: all at once, or those that are named to the scan."""
     number = arrivals.count()
     if not number:
         return
     if all_files and files_per_batch is None:
-        yield documents_in(files).unionByName(empty_documents(arrivals))
+        yield files, arrivals
         return
     size = files_per_batch or FILES_AT_ONCE
     placed, folder = arrivals.withColumn("_batch", F.lit(0)), None
@@ -90,7 +89,7 @@ def _batches(files: DataFrame, arrivals: DataFrame, all_files: bool, files_per_b
             own = placed.where(F.col("_batch") == batch)
             # at most as many names as documents in a batch
             named = [r["document"] for r in own.where("size > 0").select("document").collect()]
-            yield documents_in(only_files(files, named)).unionByName(empty_documents(own))
+            yield only_files(files, named), own
     finally:
         if folder is not None:
             drop_folder(files.sparkSession, folder)

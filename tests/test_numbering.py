@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hourlake.operators import numbering
 from hourlake.operators.numbering import POSITION, SIZE, label_batch, label_halves, number_rows
 from hourlake.plans.queries import QUERIES
 from hourlake.session import shared_folder
@@ -48,6 +49,36 @@ def test_slices_may_be_null(spark):
     check(number_rows(df, KEYS, ORDER, F.when(F.col("first") >= 2, F.col("first"))))
 
 
+@pytest.mark.parametrize("rows_in_sample", [50, 20_000])
+def test_rows_spread_by_themselves(spark, monkeypatch, rows_in_sample):
+    monkeypatch.setattr(numbering, "SAMPLE_ROWS", rows_in_sample)
+    df = batches(spark, random_sizes(5))
+    numbered = number_rows(df, KEYS, ORDER, spread=True)
+    assert numbered.columns == [*df.columns, POSITION, SIZE] and numbered.count() == df.count()
+    check(numbered)
+    check(number_rows(df.where("false"), KEYS, ORDER, spread=True))
+
+
+def test_a_third_of_all_rows_in_one_batch_spreads(spark):
+    sizes = {("hot", "2024-01-01"): 10_000} | {(f"c{i}", None): 2_000 for i in range(10)}
+    df = batches(spark, sizes)
+    check(number_rows(df, KEYS, ORDER, spread=True))
+    # rows of the hot batch by slice: that is what a task of the window gets
+    slices = numbering._own_slices(df, [*KEYS, *ORDER])
+    largest = slices.where("city = 'hot'").groupBy("_slice").count().agg(F.max("count")).first()[0]
+    assert largest < 1_000
+
+
+def test_spread_rows_with_equal_keys_and_odd_values(spark):
+    """Slices follow the sort order: NULL first, NaN last."""
+    data = [(c, x, i) for i, (c, x) in enumerate((c, x) for c in ("a", None, "b") for x in (None, -1.0, 0.0, 5.5, float("inf"), float("nan")))]
+    df = spark.createDataFrame(data * 30, "city string, x double, i long")
+    by_window = number_rows(df, ["city"], ["x", "i"])
+    spread = number_rows(df, ["city"], ["x", "i"], spread=True)
+    # rows of equal keys are interchangeable
+    assert repr(rows(spread)) == repr(rows(by_window))
+
+
 def test_one_batch_with_most_rows(spark):
     sizes = {("hot", "2024-01-01"): 30_000, (None, None): 20_000}
     sizes |= {(f"c{i}", "2024-01-01"): 3 for i in range(40)}
@@ -68,15 +99,16 @@ def test_one_batch_with_most_rows(spark):
     assert parts[0] < 15_000 and parts[1] >= 4
 
 
-@pytest.mark.parametrize("sliced", [False, True])
+@pytest.mark.parametrize("sliced", [False, True, None])
 def test_nothing_runs_before_the_result_is_used(spark, sliced, tmp_path):
     df = batches(spark, random_sizes(1))
     tracker = spark.sparkContext.statusTracker()
     shared = shared_folder(spark)
+    # None: slices that are found in the data
     before = sorted(glob.glob(f"{shared}/**", recursive=True))
     spark.sparkContext.setJobGroup("build", "build")
     try:
-        label_batch(df, KEYS, ORDER, slice_by=F.col("first") if sliced else None)
+        label_batch(df, KEYS, ORDER, slice_by=F.col("first") if sliced else None, spread=sliced is None)
         assert list(tracker.getJobIdsForGroup("build")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -259,13 +259,14 @@ def test_a_batch_reads_its_own_files_and_no_others(spark, tmp_path, monkeypatch,
     for i in range(9):
         put_document(landing, f"O'Ham \\ [{i}] 100%", DAY, hours(i, 2))
     opened = []
-    parse = incremental.parse_documents
+    parse = incremental.rows_of_files
 
-    def count(documents):
-        opened.append(files_read(documents.select("text")))
-        return parse(documents)
+    def count(files, root, empty):
+        found = parse(files, root, empty)
+        opened.append(files_read(found.select("text")))
+        return found
 
-    monkeypatch.setattr(incremental, "parse_documents", count)
+    monkeypatch.setattr(incremental, "rows_of_files", count)
     incremental_load(spark, landing, base, "feed", files_per_batch=files_per_batch)
     size = files_per_batch or 9
     assert opened == [min(size, 9 - at) for at in range(0, 9, size)]
