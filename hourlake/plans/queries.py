@@ -288,17 +288,28 @@ def write_documents(documents: DataFrame, landing: str) -> None:
 FILES = "*.{txt,json}"
 
 
-# tables that all documents have been loaded to, by application and folder: queries that only read share them
+# files of all documents, and tables they have been loaded to, by application and folder: queries
+# that only read them share them
+_LANDED: dict[tuple[str, str], str] = {}
 _LOADED: dict[tuple[str, str], str] = {}
 
 
+def landed_documents(spark: SparkSession, folder: str) -> str:
+    """Files of all documents; once in an application."""
+    mine = (application_folder(spark), folder)
+    if mine not in _LANDED:
+        landing = fresh_folder(spark, "documents")
+        write_documents(source.documents(spark, folder), landing)
+        _LANDED[mine] = landing
+    return _LANDED[mine]
+
+
 def loaded_base(spark: SparkSession, folder: str) -> str:
-    """Files of all documents, published by one load; once in an application."""
+    """The tables of one load of all documents; once in an application."""
     mine = (application_folder(spark), folder)
     if mine not in _LOADED:
-        landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
-        write_documents(source.documents(spark, folder), landing)
-        load_run(spark, landing, base, mode=REPLACE, file_pattern=FILES)
+        base = fresh_folder(spark, "tables")
+        load_run(spark, landed_documents(spark, folder), base, mode=REPLACE, file_pattern=FILES)
         _LOADED[mine] = base
     return _LOADED[mine]
 
@@ -320,8 +331,7 @@ def load_run_all(spark: SparkSession, folder: str) -> DataFrame:
 
 def load_run_selected(spark: SparkSession, folder: str) -> DataFrame:
     """A load of one date and some cities."""
-    landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
-    write_documents(source.documents(spark, folder), landing)
+    landing, base = landed_documents(spark, folder), fresh_folder(spark, "tables")
     load_run(spark, landing, base, mode=REPLACE, file_pattern=FILES, run_date=DATE, cities=SELECTED_CITIES)
     return read_table(spark, base, "hourly_soil_conditions")
 
@@ -414,9 +424,8 @@ def quarantine_replay(spark: SparkSession, folder: str) -> DataFrame:
 
 def streamed(spark: SparkSession, folder: str) -> DataFrame:
     """A stream that ends after its first load, before that is noted, and is started again."""
-    landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
+    landing, base = landed_documents(spark, folder), fresh_folder(spark, "tables")
     checkpoint = fresh_folder(spark, "stream")
-    write_documents(source.documents(spark, folder), landing)
 
     def lost(batch: int) -> None:
         raise RuntimeError("lost after the load")
@@ -465,8 +474,7 @@ def _one_document(spark: SparkSession, folder: str):
 
 def incremental(files_per_batch: int | None = None) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        landing, base = fresh_folder(spark, "documents"), fresh_folder(spark, "tables")
-        write_documents(source.documents(spark, folder), landing)
+        landing, base = landed_documents(spark, folder), fresh_folder(spark, "tables")
         incremental_load(
             spark, landing, base, "feed", files_per_batch=files_per_batch, file_pattern=FILES
         )
@@ -509,8 +517,7 @@ def numbered_spread(spark: SparkSession, folder: str) -> DataFrame:
 
 def documents_in_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """All documents read as large ones are: cut where records end, by tasks that know a part of the file."""
-    path = fresh_folder(spark, "documents")
-    write_documents(source.documents(spark, folder), path)
+    path = landed_documents(spark, folder)
     rows = rows_of_files(binary_files(spark, path, FILES), path, large_bytes=0)
     return rows.select("city", "run_date", "status", "pos", "doc_rows", "date", *MEASURES)
 

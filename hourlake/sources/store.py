@@ -14,7 +14,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,12 +39,10 @@ def store_path(base: str, *parts: str) -> str:
 
 def existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """Parquet files of a known schema; None where there is no such folder."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return None
+    return spark.read.schema(schema).parquet(path)
 
 
 @dataclass
