@@ -198,17 +198,18 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
         F.col(key).cast("long").alias("key"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).withColumn("tie", F.xxhash64("text"))
-    dealt = _dealt_by_range(keyed)
-    tasks = shuffle_partitions(docs.sparkSession)
-    ordered = dealt.repartition(tasks, "part").sortWithinPartitions(
+    dealt, ranges = _dealt_by_range(keyed)
+    # range i goes to task i: hashed numbers would give some tasks several, and some none
+    ordered = dealt.repartitionById(max(1, ranges), "part").sortWithinPartitions(
         "part", "after", F.col("key").asc_nulls_first(), "tie"
     )
     found = in_batches(ordered, _walk, f"key long, {RESULT}")
     return found.withColumnRenamed("key", key)
 
 
-def _dealt_by_range(keyed: DataFrame) -> DataFrame:
-    """(part, after, key, tie, packed): documents by range of (key, tie), each range closed by ``after``."""
+def _dealt_by_range(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """(part, after, key, tie, packed): documents by range of (key, tie), each range closed by ``after``; and
+    the number of ranges."""
     spark = keyed.sparkSession
     first = (
         keyed.select("key", "tie")
@@ -247,11 +248,12 @@ def _dealt_by_range(keyed: DataFrame) -> DataFrame:
                 list(rows),
             )
 
-    return in_batches(
+    dealt = in_batches(
         keyed.select("key", "text", "tie"),
         run,
         "part int, after boolean, key long, tie long, packed binary",
     )
+    return dealt, len(begins)
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
