@@ -300,10 +300,9 @@ def _split(strings: DataFrame, width: int) -> DataFrame:
     return in_batches(strings.select(*[c.split()[0] for c in PART.split(", ")]), run, PART)
 
 
-def _sized(strings: DataFrame) -> DataFrame:
-    """Groups of several strings, with the size of their group."""
-    sizes = strings.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
-    return stored(strings.join(sizes, "group"), "strings")
+def _sizes(strings: DataFrame, group: str) -> DataFrame:
+    """Groups of several strings, and how many."""
+    return strings.groupBy(F.col(group).alias("group")).agg(F.count("*").alias("members")).where("members > 1")
 
 
 def repeated_intervals(source: DataFrame, contents_at_once: int = CONTENTS) -> DataFrame:
@@ -326,7 +325,8 @@ def repeated_intervals(source: DataFrame, contents_at_once: int = CONTENTS) -> D
     found = equal.unionByName(copied)
     strings = _fetched(source, contents).withColumnRenamed("minimizer", "group")
     reaches = {"skip": F.lit(0), "low": F.lit(0), "wide": F.lit(PLACES)}
-    strings = _sized(strings.withColumns(reaches))
+    # sizes from the contents, so that the strings are cut out once
+    strings = stored(strings.withColumns(reaches).join(_sizes(contents, "minimizer"), "group"), "strings")
     for width in (*WIDTHS, None):
         indexed = strings.where(F.col("members") <= contents_at_once)
         size = indexed.agg(F.sum(F.octet_length("string"))).first()[0] or 0
@@ -340,7 +340,8 @@ def repeated_intervals(source: DataFrame, contents_at_once: int = CONTENTS) -> D
             same = rest.where("lone").select("doc", "where", "content", F.col("skip").alias("begin"))
             found = found.unionByName(same.withColumn("past", F.col("begin") + 1))
         else:
-            strings = _sized(_split(rest, width))
+            parts = stored(_split(rest, width), "parts")
+            strings = stored(parts.join(_sizes(parts, "group"), "group"), "strings")
     return found
 
 
