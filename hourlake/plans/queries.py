@@ -19,7 +19,7 @@ from hourlake.plans.load import load_run, publish_rows, read_audit
 from hourlake.plans.quarantine import replay_quarantine
 from hourlake.plans.statements import STATEMENTS
 from hourlake.schema import CITIES, DAILY_TABLE, DAY_KEYS, HOUR_KEYS, MEASURES
-from hourlake.session import application_folder, fresh_folder, shuffle_partitions, write_aside
+from hourlake.session import application_folder, folder_exists, fresh_folder, shuffle_partitions, write_aside
 from hourlake.sinks.compaction import compact, drop_unused
 from hourlake.sinks.landing import PARTITIONS, put_document, write_landing
 from hourlake.sinks.tables import APPEND, REPLACE, write_tables
@@ -297,7 +297,7 @@ _LOADED: dict[tuple[str, str], str] = {}
 def landed_documents(spark: SparkSession, folder: str) -> str:
     """Files of all documents; once in an application."""
     mine = (application_folder(spark), folder)
-    if mine not in _LANDED:
+    if mine not in _LANDED or not folder_exists(spark, _LANDED[mine]):
         landing = fresh_folder(spark, "documents")
         write_documents(source.documents(spark, folder), landing)
         _LANDED[mine] = landing
@@ -307,7 +307,7 @@ def landed_documents(spark: SparkSession, folder: str) -> str:
 def loaded_base(spark: SparkSession, folder: str) -> str:
     """The tables of one load of all documents; once in an application."""
     mine = (application_folder(spark), folder)
-    if mine not in _LOADED:
+    if mine not in _LOADED or not folder_exists(spark, _LOADED[mine]):
         base = fresh_folder(spark, "tables")
         load_run(spark, landed_documents(spark, folder), base, mode=REPLACE, file_pattern=FILES)
         _LOADED[mine] = base

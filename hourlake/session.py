@@ -72,6 +72,11 @@ def write_aside(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     return frame.sparkSession.read.schema(frame.schema).parquet(path), path
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``fresh_folder`` named, wherever it is stored.
 

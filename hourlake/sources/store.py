@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourlake.session import folder_exists
+
 LOADS, MANIFEST, QUARANTINE = "loads", "load_manifest", "load_quarantine"
 SNAPSHOTS, PACKED = "load_snapshots", "packed"
 
@@ -39,10 +41,7 @@ def store_path(base: str, *parts: str) -> str:
 
 def existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """Parquet files of a known schema; None where there is no such folder."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        return None
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path) if folder_exists(spark, path) else None
 
 
 @dataclass
