@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hourlake.plans.load import publish_rows, short_name
+from hourlake.session import listed_by_few_tasks
 from hourlake.sinks.tables import REPLACE
 from hourlake.sources.landing import documents_in, parse_documents
-from hourlake.sources.store import open_store
+from hourlake.sources.store import load_committed
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -38,13 +38,9 @@ def stream_load(
     feed = short_name("stream", checkpoint)
 
     def publish(documents: DataFrame, batch: int) -> None:
-        store = open_store(spark, base)
-        done = store is not None and not store.manifest.where(
-            (F.col("feed") == feed) & (F.col("batch") == batch)
-        ).isEmpty()
-        if not done:
-            rows = parse_documents(documents)
-            publish_rows(rows, base, None, mode, f"stream-{feed}-{batch}", first_half_flag, feed, batch)
+        load = f"stream-{feed}-{batch}"
+        if not load_committed(spark, base, load, feed, batch):
+            publish_rows(parse_documents(documents), base, None, mode, load, first_half_flag, feed, batch)
         if published is not None:
             published(batch)
 
@@ -56,11 +52,13 @@ def stream_load(
         .option("maxFilesPerTrigger", files_per_batch)
         .load(landing)
     )
-    query = (
+    writer = (
         documents_in(files)
         .writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # each batch lists its files by name; a stream keeps the settings it is started with
+    with listed_by_few_tasks(spark):
+        query = writer.start()
     query.awaitTermination()
