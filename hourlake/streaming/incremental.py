@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.operators.numbering import POSITION, number_rows
 from hourlake.plans.load import publish_rows, report_missing_documents, short_name
 from hourlake.session import drop_folder, write_aside
 from hourlake.sinks.tables import REPLACE
@@ -13,16 +15,18 @@ from hourlake.sources.landing import (
     VERSION,
     binary_files,
     empty_documents,
-    listed_versions,
-    only_files,
+    empty_versions,
+    file_paths,
+    named_files,
+    read_versions,
     rows_of_files,
 )
 from hourlake.sources.store import open_store
 
 #: Files that are named to the scan at a time, where not all that are there have arrived.
 FILES_AT_ONCE = 5_000
-#: Parts of the arrivals that are numbered on their own.
-_SLICES = 997
+#: Batches that are published at one time: each is small next to a cluster, and none meets another.
+LOADS_AT_ONCE = 4
 
 
 def incremental_load(
@@ -41,8 +45,9 @@ def incremental_load(
     A version of a document is its path, time and size: the listing is joined to the versions
     that the manifests of this feed (``progress`` names it) have, so a document that is put again
     is read again, and no age matters. A load that fails has no manifest, is not seen and is done again;
-    nothing is published twice. ``files_per_batch`` is how many documents are read at a time and has no
-    influence on the result; the scan of a batch opens its own files and no others. What is missing of
+    nothing is published twice. ``files_per_batch`` is how many documents a load reads and has no
+    influence on the result; the scan of a batch lists and opens its own files and no others, and up to
+    ``LOADS_AT_ONCE`` batches are published at one time. What is missing of
     ``expected`` is reported once, after all documents have been seen.
     """
     feed = short_name(progress)
@@ -50,46 +55,51 @@ def incremental_load(
     files = binary_files(spark, landing, file_pattern)
     if files is not None:
         batch = 0
-        listed = listed_versions(files)
-        if store is not None:
-            own = store.manifest.where(F.col("feed") == feed)
-            batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
-            listed = listed.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
-        arrivals, folder = write_aside(listed, "arrivals")
+        # one pass over the files; the versions without bytes are what it has not seen
+        read, folder = write_aside(read_versions(files).hint("rebalance"), "listed")
+        folders = [folder]
         try:
-            for own, empty in _batches(files, arrivals, store is None, files_per_batch):
-                load_id = f"batch-{feed}-{batch}"
-                rows = rows_of_files(own, landing, empty_documents(empty))
-                publish_rows(rows, base, expected, mode, load_id, first_half_flag, feed, batch, report_missing=False)
-                batch += 1
+            empty = empty_versions(files, read)
+            arrivals = read if empty is None else read.unionByName(empty)
+            if store is not None:
+                own = store.manifest.where(F.col("feed") == feed)
+                batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
+                new = arrivals.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
+                arrivals, folder = write_aside(new.hint("rebalance"), "arrivals")
+                folders.append(folder)
+            batches = _batches(files, landing, arrivals, store is None, files_per_batch, file_pattern)
+            with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+                running = []
+                for own, root, empty in batches:
+                    rows = rows_of_files(own, root, empty_documents(empty))
+                    load_id = f"batch-{feed}-{batch}"
+                    arguments = rows, base, expected, mode, load_id, first_half_flag, feed, batch
+                    running.append(pool.submit(publish_rows, *arguments, report_missing=False))
+                    batch += 1
+                    if len(running) == LOADS_AT_ONCE:
+                        running.pop(0).result()
+                for load in running:
+                    load.result()
         finally:
-            drop_folder(spark, folder)
+            for folder in folders:
+                drop_folder(spark, folder)
     if expected is not None and open_store(spark, base) is not None:
         report_missing_documents(spark, base, expected, f"missing-{feed}")
 
 
-def _batches(files: DataFrame, arrivals: DataFrame, all_files: bool, files_per_batch: int | None):
-    """Files and versions without bytes of each batch: all at once, or those that are named to the scan."""
-    number = arrivals.count()
-    if not number:
+def _batches(
+    files: DataFrame, landing: str, arrivals: DataFrame, all_files: bool, files_per_batch: int | None, pattern: str
+):
+    """Files, where they are, and versions without bytes of each batch: all at once, or those that are named."""
+    if arrivals.isEmpty():
         return
     if all_files and files_per_batch is None:
-        yield files, arrivals
+        yield files, landing, arrivals
         return
-    size = files_per_batch or FILES_AT_ONCE
-    placed, folder = arrivals.withColumn("_batch", F.lit(0)), None
-    if number > size:
-        # numbered by a hash, in slices: no task gets all of them
-        sliced = arrivals.withColumns({"_all": F.lit(0), "_slice": F.pmod(F.xxhash64("document"), F.lit(_SLICES))})
-        numbered = number_rows(sliced, ["_all"], ["_slice", "document"], F.col("_slice"))
-        placed = numbered.withColumn("_batch", F.floor(F.col(POSITION) / size).cast("int"))
-        placed, folder = write_aside(placed.select(*VERSION, "_batch"), "batches")
-    try:
-        for batch in range(-(-number // size)):
-            own = placed.where(F.col("_batch") == batch)
-            # at most as many names as documents in a batch
-            named = [r["document"] for r in own.where("size > 0").select("document").collect()]
-            yield only_files(files, named), own
-    finally:
-        if folder is not None:
-            drop_folder(files.sparkSession, folder)
+    # in the order of their paths, so that a batch has few dates to write; a part of the names comes at a time
+    ordered = arrivals.orderBy("document").toLocalIterator()
+    while batch := list(islice(ordered, files_per_batch or FILES_AT_ONCE)):
+        paths = file_paths([r["document"] for r in batch if r["size"]])
+        blank = [r["document"] for r in batch if not r["size"]]
+        own = named_files(files.sparkSession, paths, pattern) if paths else files.where("false")
+        yield own, paths or landing, arrivals.where(F.col("document").isin(blank)) if blank else arrivals.where("false")
