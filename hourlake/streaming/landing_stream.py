@@ -58,7 +58,6 @@ def stream_load(
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    # each batch lists its files by name; a stream keeps the settings it is started with
+    # each batch lists its files by name
     with listed_by_few_tasks(spark):
-        query = writer.start()
-    query.awaitTermination()
+        writer.start().awaitTermination()
