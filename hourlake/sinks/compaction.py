@@ -10,6 +10,7 @@ the meantime are not in the snapshot and stay what they are.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +34,13 @@ def compact(spark: SparkSession, base: str) -> str | None:
     snapshot = f"{store.seq + 1:08d}-{uuid.uuid4().hex[:8]}"
     schemas: dict[str, T.StructType] = {name: table_schema(name) for name in HOURLY_TABLES}
     schemas[DAILY_STATES] = states_schema()
-    for name, schema in schemas.items():
-        packed = _arranged(store.rows(name, schema))
-        packed.write.partitionBy("date").parquet(store_path(base, PACKED, snapshot, name))
-    for name, rows in {MANIFEST: store.manifest, QUARANTINE: store.quarantine()}.items():
-        rows.hint("rebalance").write.parquet(store_path(base, PACKED, snapshot, name))
+    packed = {name: _arranged(store.rows(name, schema)).write.partitionBy("date") for name, schema in schemas.items()}
+    packed |= {name: rows.hint("rebalance").write for name, rows in {MANIFEST: store.manifest, QUARANTINE: store.quarantine()}.items()}
+    # at one time, as loads write them: the end of one write leaves cores to the next
+    with ThreadPoolExecutor(len(packed)) as pool:
+        writes = [pool.submit(w.parquet, store_path(base, PACKED, snapshot, name)) for name, w in packed.items()]
+    for done in writes:
+        done.result()
     # one row a load since files were last dropped
     loads = store.manifest.select("load_id").distinct()
     pointer = loads.select(F.lit(store.seq + 1).cast("long").alias("seq"), "load_id", F.now().alias("taken"))
