@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.plans.load import publish_rows, report_missing_documents, short_name
-from hourlake.session import drop_folder, write_aside
+from hourlake.session import drop_folder, many_files_a_task, write_aside
 from hourlake.sinks.tables import REPLACE
 from hourlake.sources.landing import (
     VERSION,
@@ -54,35 +54,36 @@ def incremental_load(
     store = open_store(spark, base)
     files = binary_files(spark, landing, file_pattern)
     if files is not None:
-        batch = 0
-        # one pass over the files; the versions without bytes are what it has not seen
-        read, folder = write_aside(read_versions(files).hint("rebalance"), "listed")
-        folders = [folder]
-        try:
-            empty = empty_versions(files, read)
-            arrivals = read if empty is None else read.unionByName(empty)
-            if store is not None:
-                own = store.manifest.where(F.col("feed") == feed)
-                batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
-                new = arrivals.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
-                arrivals, folder = write_aside(new.hint("rebalance"), "arrivals")
-                folders.append(folder)
-            batches = _batches(files, landing, arrivals, store is None, files_per_batch, file_pattern)
-            with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
-                running = []
-                for own, root, empty in batches:
-                    rows = rows_of_files(own, root, empty_documents(empty))
-                    load_id = f"batch-{feed}-{batch}"
-                    arguments = rows, base, expected, mode, load_id, first_half_flag, feed, batch
-                    running.append(pool.submit(publish_rows, *arguments, report_missing=False))
-                    batch += 1
-                    if len(running) == LOADS_AT_ONCE:
-                        running.pop(0).result()
-                for load in running:
-                    load.result()
-        finally:
-            for folder in folders:
-                drop_folder(spark, folder)
+        with many_files_a_task(spark):
+            batch = 0
+            # one pass over the files; the versions without bytes are what it has not seen
+            read, folder = write_aside(read_versions(files).hint("rebalance"), "listed")
+            folders = [folder]
+            try:
+                empty = empty_versions(files, read)
+                arrivals = read if empty is None else read.unionByName(empty)
+                if store is not None:
+                    own = store.manifest.where(F.col("feed") == feed)
+                    batch = own.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
+                    new = arrivals.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
+                    arrivals, folder = write_aside(new.hint("rebalance"), "arrivals")
+                    folders.append(folder)
+                batches = _batches(files, landing, arrivals, store is None, files_per_batch, file_pattern)
+                with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+                    running = []
+                    for own, root, empty in batches:
+                        rows = rows_of_files(own, root, empty_documents(empty))
+                        load_id = f"batch-{feed}-{batch}"
+                        arguments = rows, base, expected, mode, load_id, first_half_flag, feed, batch
+                        running.append(pool.submit(publish_rows, *arguments, report_missing=False))
+                        batch += 1
+                        if len(running) == LOADS_AT_ONCE:
+                            running.pop(0).result()
+                    for load in running:
+                        load.result()
+            finally:
+                for folder in folders:
+                    drop_folder(spark, folder)
     if expected is not None and open_store(spark, base) is not None:
         report_missing_documents(spark, base, expected, f"missing-{feed}")
 

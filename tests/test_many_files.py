@@ -8,8 +8,10 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from hourlake.plans.load import read_audit
+from hourlake.plans import load
+from hourlake.plans.load import load_run, read_audit
 from hourlake.plans.quarantine import read_quarantine
+from hourlake.session import OPEN_COST, many_files_a_task
 from hourlake.sinks.compaction import compact, drop_unused
 from hourlake.sinks.landing import write_files
 from hourlake.sources.landing import binary_files, file_paths, named_files, rows_of_files
@@ -94,3 +96,40 @@ def test_a_batch_of_a_stream_is_found_by_its_own_manifest(spark, tmp_path):
         # also where a snapshot has taken it in
         compact(spark, base)
         drop_unused(spark, base, older_than_hours=0)
+
+
+@pytest.mark.parametrize("module", [load, incremental])
+def test_a_task_reads_many_small_documents(spark, tmp_path, monkeypatch, module):
+    landing, base = str(tmp_path / "landing"), str(tmp_path / "tables")
+    for i in range(200):
+        put_document(landing, f"City {i}", DAY, hours(i, 1))
+    publish, tasks = module.publish_rows, []
+
+    def counted(read, *arguments, **named):
+        tasks.append(read.rdd.getNumPartitions())
+        publish(read, *arguments, **named)
+
+    monkeypatch.setattr(module, "publish_rows", counted)
+    if module is load:
+        load_run(spark, landing, base)
+    else:
+        incremental.incremental_load(spark, landing, base, "feed")
+    # a task a core of the four, and one for files without bytes; with 32 files a task there were seven
+    assert len(tasks) == 1 and tasks[0] <= 5
+    audit = read_audit(spark, base)
+    assert sorted(r[0] for r in rows(audit, "city")) == sorted(f"City {i}" for i in range(200))
+    assert rows(audit.select("status").distinct()) == [("loaded",)]
+
+
+def test_a_chosen_cost_of_files_stays(spark):
+    name = "spark.sql.files.openCostInBytes"
+    with many_files_a_task(spark):
+        assert spark.conf.get(name) == str(OPEN_COST)
+    assert spark.conf.get(name, None) is None
+    spark.conf.set(name, "1MB")
+    try:
+        with many_files_a_task(spark):
+            assert spark.conf.get(name) == "1MB"
+        assert spark.conf.get(name) == "1MB"
+    finally:
+        spark.conf.unset(name)
