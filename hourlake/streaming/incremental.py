@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.plans.load import publish_rows, report_missing_documents, short_name
-from hourlake.session import drop_folder, many_files_a_task, write_aside
+from hourlake.plans.load import publish_batches, publish_rows, report_missing_documents, short_name
+from hourlake.session import drop_folder, listed_by_few_tasks, many_files_a_task, write_aside
 from hourlake.sinks.tables import REPLACE
 from hourlake.sources.landing import (
     VERSION,
@@ -25,8 +26,10 @@ from hourlake.sources.store import open_store
 
 #: Files that are named to the scan at a time, where not all that are there have arrived.
 FILES_AT_ONCE = 5_000
-#: Batches that are published at one time: each is small next to a cluster, and none meets another.
+#: What is published at one time, batches or groups of them: each is small next to a cluster, and none meets another.
 LOADS_AT_ONCE = 4
+#: Where batches are many, so many groups at least are made of them; a group is published by the same jobs.
+GROUPS = 16
 
 
 def incremental_load(
@@ -46,8 +49,9 @@ def incremental_load(
     that the manifests of this feed (``progress`` names it) have, so a document that is put again
     is read again, and no age matters. A load that fails has no manifest, is not seen and is done again;
     nothing is published twice. ``files_per_batch`` is how many documents a load reads and has no
-    influence on the result; the scan of a batch lists and opens its own files and no others, and up to
-    ``LOADS_AT_ONCE`` batches are published at one time. What is missing of
+    influence on the result; a scan lists and opens the files of its batches and no others. Where batches are
+    many, each is still a load of its own, but as many as have ``FILES_AT_ONCE`` files together share their jobs
+    (``publish_batches``). Up to ``LOADS_AT_ONCE`` of these groups are published at one time. What is missing of
     ``expected`` is reported once, after all documents have been seen.
     """
     feed = short_name(progress)
@@ -68,15 +72,26 @@ def incremental_load(
                     new = arrivals.join(own.select(*VERSION).distinct(), VERSION, "left_anti")
                     arrivals, folder = write_aside(new.hint("rebalance"), "arrivals")
                     folders.append(folder)
-                batches = _batches(files, landing, arrivals, store is None, files_per_batch, file_pattern)
-                with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+                groups = _groups(arrivals, store is None, files_per_batch)
+
+                def rows(group: list[Row] | None) -> DataFrame:
+                    return rows_of_files(*_files(files, landing, arrivals, group, file_pattern))
+
+                def publish(group: list[Row], batch: int) -> None:
+                    firsts = [r["document"] for r in group[::files_per_batch]]
+                    load_id = f"batch-{feed}"
+                    publish_batches(rows(group), base, expected, mode, load_id, first_half_flag, feed, batch, firsts)
+
+                # for all files that are named in here
+                with listed_by_few_tasks(spark), ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
                     running = []
-                    for own, root, empty in batches:
-                        rows = rows_of_files(own, root, empty_documents(empty))
-                        load_id = f"batch-{feed}-{batch}"
-                        arguments = rows, base, expected, mode, load_id, first_half_flag, feed, batch
-                        running.append(pool.submit(publish_rows, *arguments, report_missing=False))
-                        batch += 1
+                    for group, count in groups:
+                        if count > 1:
+                            running.append(pool.submit(publish, group, batch))
+                        else:
+                            arguments = base, expected, mode, f"batch-{feed}-{batch}", first_half_flag, feed, batch
+                            running.append(pool.submit(publish_rows, rows(group), *arguments, report_missing=False))
+                        batch += count
                         if len(running) == LOADS_AT_ONCE:
                             running.pop(0).result()
                     for load in running:
@@ -88,19 +103,30 @@ def incremental_load(
         report_missing_documents(spark, base, expected, f"missing-{feed}")
 
 
-def _batches(
-    files: DataFrame, landing: str, arrivals: DataFrame, all_files: bool, files_per_batch: int | None, pattern: str
-):
-    """Files, where they are, and versions without bytes of each batch: all at once, or those that are named."""
-    if arrivals.isEmpty():
+def _groups(arrivals: DataFrame, all_files: bool, files_per_batch: int | None) -> Iterator[tuple[list[Row] | None, int]]:
+    """Versions of the batches that are published together, and the number of these; no versions are all at once."""
+    count = arrivals.count()
+    if not count:
         return
     if all_files and files_per_batch is None:
-        yield files, landing, arrivals
+        yield None, 1
         return
+    size = files_per_batch or FILES_AT_ONCE
+    together = max(1, min(FILES_AT_ONCE // size, -(-count // size) // GROUPS))
     # in the order of their paths, so that a batch has few dates to write; a part of the names comes at a time
     ordered = arrivals.orderBy("document").toLocalIterator()
-    while batch := list(islice(ordered, files_per_batch or FILES_AT_ONCE)):
-        paths = file_paths([r["document"] for r in batch if r["size"]])
-        blank = [r["document"] for r in batch if not r["size"]]
-        own = named_files(files.sparkSession, paths, pattern) if paths else files.where("false")
-        yield own, paths or landing, arrivals.where(F.col("document").isin(blank)) if blank else arrivals.where("false")
+    while group := list(islice(ordered, size * together)):
+        yield group, -(-len(group) // size)
+
+
+def _files(
+    files: DataFrame, landing: str, arrivals: DataFrame, group: list[Row] | None, pattern: str
+) -> tuple[DataFrame, str | list[str], DataFrame]:
+    """Files of a group, where they are, and documents without bytes: of all at once, or those that are named."""
+    if group is None:
+        return files, landing, empty_documents(arrivals)
+    paths = file_paths([r["document"] for r in group if r["size"]])
+    blank = [r["document"] for r in group if not r["size"]]
+    own = named_files(files.sparkSession, paths, pattern) if paths else files.where("false")
+    empty = arrivals.where(F.col("document").isin(blank)) if blank else arrivals.where("false")
+    return own, paths or landing, empty_documents(empty)
