@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.plans.load import publish_batches, publish_rows, report_missing_documents, short_name
-from hourlake.session import drop_folder, listed_by_few_tasks, many_files_a_task, write_aside
+from hourlake.session import drop_folder, kept_in_here, listed_by_few_tasks, many_files_a_task, write_aside
 from hourlake.sinks.tables import REPLACE
 from hourlake.sources.landing import (
     VERSION,
@@ -80,10 +80,11 @@ def incremental_load(
                 def publish(group: list[Row], batch: int) -> None:
                     firsts = [r["document"] for r in group[::files_per_batch]]
                     load_id = f"batch-{feed}"
-                    publish_batches(rows(group), base, expected, mode, load_id, first_half_flag, feed, batch, firsts)
+                    with kept_in_here(spark):
+                        publish_batches(rows(group), base, expected, mode, load_id, first_half_flag, feed, batch, firsts)
 
                 # for all files that are named in here
-                with listed_by_few_tasks(spark), ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+                with listed_by_few_tasks(spark), kept_in_here(spark), ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
                     running = []
                     for group, count in groups:
                         if count > 1:
